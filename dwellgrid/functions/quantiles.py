@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellgrid.functions.running import running_total
+from dwellgrid.functions.running import running_total, window
 
 
 def percentiles(
@@ -25,65 +25,53 @@ def percentiles(
     """
     keys = list(keys)
     per_value = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__cell", F.floor(F.col("__v") / cell_width))
+        df.filter(f"{value} IS NOT NULL")
+        .selectExpr(*keys, f"cast({value} AS double) AS __v")
+        .groupBy(*keys, "__v")
+        .count()
+        .selectExpr(*keys, "__v", "count AS __n", f"floor(__v / {cell_width}D) AS __cell")
     )
-    cells = per_value.groupBy(*keys, "__cell").agg(F.sum("__n").alias("__n"))
+    whole = f"OVER ({'PARTITION BY ' + ', '.join(keys) if keys else ''})"
+    cells = per_value.groupBy(*keys, "__cell").sum("__n").withColumnRenamed("sum(__n)", "__n")
     cells = running_total(cells, ["__cell"], {"__upto": "__n"}, keys)
-    cells = cells.withColumn("n", F.sum("__n").over(Window.partitionBy(*keys)))
 
     wanted = []
     for i, p in enumerate(probs.values()):
-        h = (F.col("n") - 1) * F.lit(float(p))
-        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+        h = f"((n - 1) * {float(p)}D)"
+        for side, rank in (("lo", "floor"), ("hi", "ceil")):
             wanted.append(
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(side).alias("side"),
-                    rank.cast("bigint").alias("rank"),
-                    (h - F.floor(h)).alias("part"),
-                )
+                f"named_struct('i', {i}, 'side', '{side}', 'rank', cast({rank}({h}) AS bigint), "
+                f"'part', {h} - floor({h}))"
             )
-    before = F.col("__upto") - F.col("__n")
-    hit = F.filter(F.array(*wanted), lambda t: (t["rank"] >= before) & (t["rank"] < F.col("__upto")))
-    hits = cells.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col("__cell").alias("__hit_cell"),
-        "n",
-        before.alias("__before"),
-        hit.alias("__wanted"),
-    ).filter(F.size("__wanted") > 0)
-
-    same = F.col("__cell") == F.col("__hit_cell")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    w = (
-        Window.partitionBy(*keys, "__cell").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    hits = (
+        cells.selectExpr("*", f"sum(__n) {whole} AS n")
+        .selectExpr(
+            *[f"{k} AS __k_{k}" for k in keys],
+            "__cell AS __hit_cell",
+            "n",
+            "__upto - __n AS __before",
+            f"filter(array({', '.join(wanted)}), t -> t.rank >= __upto - __n AND t.rank < __upto) AS __wanted",
+        )
+        .filter("size(__wanted) > 0")
     )
+    same = " AND ".join(["__cell = __hit_cell", *[f"{k} <=> __k_{k}" for k in keys]])
+    within = window([*keys, "__cell"], ["__v"])[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     ranked = (
-        per_value.join(hits, same)
-        .withColumn("__to", F.col("__before") + F.sum("__n").over(w))
-        .select(
+        per_value.join(hits, F.expr(same))
+        .selectExpr(*keys, "n", "__v", "__n", "__wanted", f"__before + sum(__n) {within} AS __to")
+        .selectExpr(
             *keys,
             "n",
             "__v",
-            F.explode(
-                F.filter(
-                    "__wanted",
-                    lambda t: (t["rank"] >= F.col("__to") - F.col("__n")) & (t["rank"] < F.col("__to")),
-                )
-            ).alias("__t"),
+            "explode(filter(__wanted, t -> t.rank >= __to - __n AND t.rank < __to)) AS __t",
         )
     )
 
-    def pick(i: int, side: str, what):
-        return F.max(F.when((F.col("__t.i") == i) & (F.col("__t.side") == side), what))
+    def pick(i: int, side: str, what: str) -> str:
+        return f"max(CASE WHEN __t.i = {i} AND __t.side = '{side}' THEN {what} END)"
 
-    out = []
+    out = ["max(n) AS n"]
     for i, name in enumerate(probs):
-        lo, hi = pick(i, "lo", F.col("__v")), pick(i, "hi", F.col("__v"))
-        part = pick(i, "lo", F.col("__t.part"))
-        out.append((lo + part * (hi - lo)).alias(name))
-    return ranked.groupBy(*keys).agg(F.max("n").alias("n"), *out)
+        lo, hi, part = pick(i, "lo", "__v"), pick(i, "hi", "__v"), pick(i, "lo", "__t.part")
+        out.append(f"{lo} + {part} * ({hi} - {lo}) AS {name}")
+    return ranked.groupBy(*keys).agg(*[F.expr(e) for e in out])

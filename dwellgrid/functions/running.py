@@ -9,14 +9,32 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from dwellgrid.functions.timecols import floor_index
 
 _CARRY = "__carry"
-_CHUNK = "__chunk"
-_HOME = "__home_chunk"
+CHUNK = "__chunk"
+HOME = "__home_chunk"
+
+
+def window(by: Sequence[str], order: Sequence[str], frame: tuple[int, int] | None = None) -> str:
+    """The text of an OVER clause; ``frame`` counts rows from the current one."""
+    parts = f"PARTITION BY {', '.join(by)} " if by else ""
+    parts += f"ORDER BY {', '.join(order)}"
+    if frame is not None:
+
+        def edge(k: int) -> str:
+            if k == 0:
+                return "CURRENT ROW"
+            return f"{abs(k)} {'PRECEDING' if k < 0 else 'FOLLOWING'}"
+
+        parts += f" ROWS BETWEEN {edge(frame[0])} AND {edge(frame[1])}"
+    return f"OVER ({parts})"
+
+
+def _up_to_here(by: Sequence[str], order: Sequence[str]) -> str:
+    return window(by, order)[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
 def running_total(
@@ -28,53 +46,56 @@ def running_total(
 ) -> DataFrame:
     """Add ``{output: source}`` inclusive running sums per ``keys`` in ``order``.
 
-    ``levels`` are chunk columns from coarse to fine, each monotone in ``order``. The only
-    window over a whole series is the one over its coarsest chunks. The total before a
-    chunk enters as one extra row at its head, so the rows are shuffled once, no join is
-    needed and null keys keep their own series.
+    ``levels`` are chunk columns from coarse to fine, each monotone in ``order``; they are
+    dropped from the result. The only window over a whole series is the one over its coarsest
+    chunks. The total before a chunk enters as one extra row at its head, so the rows are
+    shuffled once, no join is needed and null keys keep their own series.
     """
     if not levels:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(src).over(w).alias(out) for out, src in sums.items()])
+        over = _up_to_here(keys, order)
+        return df.selectExpr("*", *[f"sum({src}) {over} AS {out}" for out, src in sums.items()])
 
     fine = levels[-1]
     sources = list(dict.fromkeys(sums.values()))
-    totals = df.groupBy(*keys, *levels).agg(*[F.sum(s).alias(s) for s in sources])
-    carried = running_total(totals, [fine], {f"__upto_{s}": s for s in sources}, keys, levels[:-1])
-    heads = carried.select(
+    upto = {f"__upto_{s}": s for s in sources}
+    totals = df.selectExpr(*keys, *levels, *sources).groupBy(*keys, *levels).sum(*sources)
+    totals = totals.selectExpr(*keys, *levels, *[f"`sum({s})` AS {s}" for s in sources])
+    carried = running_total(totals, [fine], upto, keys, levels[:-1])
+    plain = [c for c in df.columns if c not in (*keys, *sources, fine)]
+    heads = carried.selectExpr(
         *keys,
-        *levels,
-        *[(F.col(f"__upto_{s}") - F.col(s)).alias(s) for s in sources],
-        F.lit(0).alias(_CARRY),
-    )
-    rows = df.withColumn(_CARRY, F.lit(1)).unionByName(heads, allowMissingColumns=True)
-    w = (
-        Window.partitionBy(*keys, fine)
-        .orderBy(_CARRY, *order)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        *[f"__upto_{s} - {s} AS {s}" for s in sources],
+        fine,
+        *[f"cast(null AS {t}) AS {c}" for c, t in df.dtypes if c in plain],
+        f"0 AS {_CARRY}",
     )
-    out = rows.select("*", *[F.sum(src).over(w).alias(name) for name, src in sums.items()])
-    return out.filter(F.col(_CARRY) == 1).drop(_CARRY)
+    rows = df.selectExpr(*keys, *sources, fine, *plain, f"1 AS {_CARRY}").union(heads)
+    over = _up_to_here([*keys, fine], [_CARRY, *order])
+    kept = [c for c in df.columns if c not in levels]
+    return rows.selectExpr(
+        *kept, _CARRY, *[f"sum({src}) {over} AS {out}" for out, src in sums.items()]
+    ).filter(f"{_CARRY} = 1").drop(_CARRY)
 
 
-def halo(df: DataFrame, ts: Column, chunk_seconds: int, back_seconds: int, ahead_seconds: int = 0) -> DataFrame:
+def halo(df: DataFrame, ts: str, chunk_seconds: int, back_seconds: int, ahead_seconds: int = 0) -> DataFrame:
     """Copy each row into every chunk with a row that looks at it.
 
     A row may look ``back_seconds`` into the past and ``ahead_seconds`` into the future.
     """
-    first = floor_index(ts - F.expr(f"INTERVAL '{ahead_seconds}' SECOND"), chunk_seconds)
-    last = floor_index(ts + F.expr(f"INTERVAL '{back_seconds}' SECOND"), chunk_seconds)
-    return df.select(
+    first = floor_index(f"{ts} - INTERVAL '{ahead_seconds}' SECOND", chunk_seconds)
+    last = floor_index(f"{ts} + INTERVAL '{back_seconds}' SECOND", chunk_seconds)
+    return df.selectExpr(
         "*",
-        floor_index(ts, chunk_seconds).alias(_HOME),
-        F.explode(F.sequence(first, last)).alias(_CHUNK),
+        f"{floor_index(ts, chunk_seconds)} AS {HOME}",
+        f"explode(sequence({first}, {last})) AS {CHUNK}",
     )
 
 
-def chunk_window(keys: Sequence[str], *order: str) -> WindowSpec:
-    return Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+def in_chunk(keys: Sequence[str], order: str, frame: tuple[int, int] | None = None) -> str:
+    """The OVER clause of a window inside a chunk of ``halo``."""
+    return window([*keys, CHUNK], [order], frame)
 
 
 def drop_halo(df: DataFrame) -> DataFrame:
     """Keep each row once, in its own chunk."""
-    return df.filter(F.col(_HOME) == F.col(_CHUNK)).drop(_HOME, _CHUNK)
+    return df.filter(f"{HOME} = {CHUNK}").drop(HOME, CHUNK)

@@ -1,61 +1,62 @@
-"""Time columns. Everything is ``timestamp_ntz``, so no result depends on the session zone."""
+"""Time expressions as SQL text for ``selectExpr``, ``filter`` and ``F.expr``.
+
+Everything is ``timestamp_ntz``, so no result depends on the session zone.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # A full Gregorian cycle is 146097 days (a whole number of weeks). Counting from one
 # cycle before 1970 keeps the second counts positive, so truncation equals flooring.
 ORIGIN = "timestamp_ntz'1570-01-01 00:00:00'"
 CYCLE = "INTERVAL '146097' DAY"
 
 
-def ts_lit(value: str | datetime) -> Column:
+def ts_lit(value: str | datetime) -> str:
     """A timestamp literal from text or a Python datetime; a zone on the value is dropped."""
-    if isinstance(value, datetime):
-        value = value.replace(tzinfo=None).isoformat(sep=" ")
-    return F.lit(value).cast("timestamp_ntz")
+    if not isinstance(value, datetime):
+        value = datetime.fromisoformat(value)
+    return f"timestamp_ntz'{value.replace(tzinfo=None).isoformat(sep=' ')}'"
 
 
-def seconds(ts: Column) -> Column:
+def seconds(ts: str) -> str:
     """Whole seconds since ORIGIN."""
-    return F.unix_timestamp(ts + F.expr(CYCLE))
-
+    return f"unix_timestamp({ts} + {CYCLE})"
 
-def from_seconds(count: Column) -> Column:
-    return F.expr(ORIGIN) + count * F.expr("INTERVAL '1' SECOND")
 
-
-def floor_index(ts: Column, width_seconds: int) -> Column:
+def floor_index(ts: str, width_seconds: int) -> str:
     """Number of the fixed-width interval that holds ``ts``."""
-    return F.floor(seconds(ts) / F.lit(width_seconds))
+    return f"({seconds(ts)} div {width_seconds})"
 
 
-def floor_to(ts: Column, width_seconds: int) -> Column:
+def floor_to(ts: str, width_seconds: int) -> str:
     """Start of the half-open interval ``[start, start + width)`` that holds ``ts``."""
-    s = seconds(ts)
-    return from_seconds(s - F.pmod(s, F.lit(width_seconds)))
+    return f"({ORIGIN} + {floor_index(ts, width_seconds)} * INTERVAL '{width_seconds}' SECOND)"
 
 
-def shift(ts: Column, minutes: int | Column) -> Column:
+def shift(ts: str, minutes: int | str) -> str:
+    """``ts`` moved by a number of minutes, which may be a column."""
     if isinstance(minutes, int):
-        minutes = F.lit(minutes)
-    return ts + minutes * F.expr("INTERVAL '1' MINUTE")
+        return f"({ts} + INTERVAL '{minutes}' MINUTE)"
+    return f"({ts} + {minutes} * INTERVAL '1' MINUTE)"
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Exact length of ``end - start`` in minutes, to the microsecond."""
-    return (end - start).cast("interval second").cast("decimal(18,6)").cast("double") / 60.0
+    length = f"cast(cast({end} - {start} AS interval second) AS decimal(18,6))"
+    return f"(cast({length} AS double) / 60.0D)"
 
 
-def calendar(ts: Column) -> dict[str, Column]:
+def calendar(ts: str) -> dict[str, str]:
     """Hour, weekday with Monday 0, and the weekend flag."""
-    day = F.weekday(ts)
     return {
-        "hour": F.hour(ts),
-        "day_of_week": day,
-        "is_weekend": day.isin(5, 6).cast("int"),
+        "hour": f"hour({ts})",
+        "day_of_week": f"weekday({ts})",
+        "is_weekend": f"cast(weekday({ts}) IN (5, 6) AS int)",
     }
+
+
+def named(columns: dict[str, str]) -> list[str]:
+    """``expression AS name`` for every entry."""
+    return [f"{expression} AS {name}" for name, expression in columns.items()]

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellgrid.functions.running import running_total
-from dwellgrid.functions.timecols import calendar, floor_index, shift, ts_lit
+from dwellgrid.functions.running import running_total, window
+from dwellgrid.functions.timecols import calendar, floor_index, named, shift, ts_lit
 from dwellgrid.operators.grid import movements
 from dwellgrid.operators.reliability import in_bad_period, overlaps_bad_period
 from dwellgrid.settings import Settings
@@ -47,18 +47,18 @@ def as_datetime(value) -> datetime:
 
 
 def active_at(t) -> Column:
-    return F.count_if((F.col("entry_time") <= ts_lit(t)) & (F.col("exit_time") > ts_lit(t)))
+    return F.expr(f"count_if(entry_time <= {ts_lit(t)} AND exit_time > {ts_lit(t)})")
 
 
 def arrivals_between(a, b) -> Column:
-    return F.count_if((F.col("entry_time") > ts_lit(a)) & (F.col("entry_time") <= ts_lit(b)))
+    return F.expr(f"count_if(entry_time > {ts_lit(a)} AND entry_time <= {ts_lit(b)})")
 
 
 def exits_between(a, b) -> Column:
-    return F.count_if((F.col("exit_time") > ts_lit(a)) & (F.col("exit_time") <= ts_lit(b)))
+    return F.expr(f"count_if(exit_time > {ts_lit(a)} AND exit_time <= {ts_lit(b)})")
 
 
-def ineligible_reason(ts: Column, seen_entry: Column | None = None, s: Settings = Settings()) -> Column:
+def ineligible_reason(ts: str, seen_entry: str | None = None, s: Settings = Settings()) -> str:
     """The first rule an instant breaks, or null if features can be built."""
     rules = [(in_bad_period(ts, s), "instant unreliable")]
     for name, minutes in LAG_MINUTES:
@@ -68,15 +68,11 @@ def ineligible_reason(ts: Column, seen_entry: Column | None = None, s: Settings
     for minutes in PAST_MINUTES:
         rules.append((in_bad_period(shift(ts, -minutes), s), "rolling unreliable"))
     for minutes in PAST_MINUTES:
-        past = shift(ts, -minutes)
-        rules.append((overlaps_bad_period(shift(past, -STEP), past, s), "rolling unreliable"))
+        start, end = shift(ts, -minutes - STEP), shift(ts, -minutes)
+        rules.append((overlaps_bad_period(start, end, s), "rolling unreliable"))
     if seen_entry is not None:
-        rules.append((~seen_entry, "before first entry"))
-    condition, text = rules[0]
-    out = F.when(condition, text)
-    for condition, text in rules[1:]:
-        out = out.when(condition, text)
-    return out
+        rules.append((f"NOT ({seen_entry})", "before first entry"))
+    return f"CASE {' '.join(f'WHEN {rule} THEN {text!r}' for rule, text in rules)} END"
 
 
 def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -87,124 +83,109 @@ def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) ->
     chunk; only movements in chunks that hold a probe are put in order.
     """
     keys = list(s.keys)
-    chunk = floor_index(F.col("ts"), s.fine_seconds).alias("__fine")
-    moves = movements(visits, s).select(*keys, "ts", "arrivals", "exits", chunk)
-    points = probes.select(
-        "*",
-        F.col("probe_ts").alias("ts"),
-        floor_index(F.col("probe_ts"), s.fine_seconds).alias("__fine"),
-    )
-    zero = F.lit(0).cast("bigint")
-
-    per_chunk = moves.groupBy(*keys, "__fine").agg(
-        F.sum("arrivals").alias("arrivals"), F.sum("exits").alias("exits")
+    moves = movements(visits, s).selectExpr(
+        *keys, "ts", "arrivals", "exits", f"{floor_index('ts', s.fine_seconds)} AS __fine"
     )
+    points = probes.selectExpr("*", f"{floor_index('probe_ts', s.fine_seconds)} AS __fine")
     probed = points.select(*keys, "__fine").distinct()
+
+    # Chunk totals, with a zero row for each chunk that holds a probe.
+    per_chunk = moves.groupBy(*keys, "__fine").sum("arrivals", "exits")
+    marks = probed.selectExpr(*keys, "__fine", "0L", "0L", "1")
     chunks = (
-        per_chunk.withColumn("__probed", F.lit(0))
-        .unionByName(
-            probed.select(
-                "*", zero.alias("arrivals"), zero.alias("exits"), F.lit(1).alias("__probed")
-            )
-        )
+        per_chunk.selectExpr("*", "0 AS __probed")
+        .union(marks)
         .groupBy(*keys, "__fine")
-        .agg(
-            F.sum("arrivals").alias("arrivals"),
-            F.sum("exits").alias("exits"),
-            F.max("__probed").alias("__probed"),
-        )
-        .withColumn("__coarse", F.floor(F.col("__fine") * s.fine_seconds / 86400))
+        .sum("sum(arrivals)", "sum(exits)", "__probed")
+        .toDF(*keys, "__fine", "arrivals", "exits", "__probed")
+        .selectExpr("*", f"__fine * {s.fine_seconds} div 86400 AS __coarse")
     )
     heads = (
-        running_total(
-            chunks, ["__fine"], {"__a": "arrivals", "__x": "exits"}, keys, ["__coarse"]
-        )
-        .filter("__probed = 1")
-        .select(
-            *keys,
-            "__fine",
-            (F.col("__a") - F.col("arrivals")).alias("arrivals"),
-            (F.col("__x") - F.col("exits")).alias("exits"),
-            F.lit(0).alias("__kind"),
-        )
+        running_total(chunks, ["__fine"], {"__a": "arrivals", "__x": "exits"}, keys, ["__coarse"])
+        .filter("__probed > 0")
+        .selectExpr(*keys, "__fine", "__a - arrivals AS arrivals", "__x - exits AS exits")
     )
 
-    near = probed.select(
-        F.col("__fine").alias("__p_fine"), *[F.col(k).alias(f"__p_{k}") for k in keys]
-    )
-    same = F.col("__fine") == F.col("__p_fine")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__p_{k}"))
+    near = probed.selectExpr("__fine AS __p_fine", *[f"{k} AS __p_{k}" for k in keys])
+    same = " AND ".join(["__fine = __p_fine", *[f"{k} <=> __p_{k}" for k in keys]])
     inside = (
-        moves.join(near, same, "left_semi")
+        moves.join(near, F.expr(same), "left_semi")
         .groupBy(*keys, "__fine", "ts")
-        .agg(F.sum("arrivals").alias("arrivals"), F.sum("exits").alias("exits"))
-        .withColumn("__kind", F.lit(1))
+        .sum("arrivals", "exits")
+        .toDF(*keys, "__fine", "ts", "arrivals", "exits")
     )
     # Order in a chunk: the count before it, then time, movements ahead of probes.
-    w = (
-        Window.partitionBy(*keys, "__fine")
-        .orderBy(F.col("__kind") > 0, "ts", "__kind")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    rows = heads.unionByName(inside, allowMissingColumns=True).unionByName(
-        points.select("*", zero.alias("arrivals"), zero.alias("exits"), F.lit(2).alias("__kind")),
-        allowMissingColumns=True,
+    carried = [c for c in probes.columns if c not in keys]
+    kinds = dict(probes.dtypes)
+    blank = [f"cast(null AS {kinds[c]}) AS {c}" for c in carried]
+    rows = (
+        heads.selectExpr(
+            *keys, "__fine", "0 AS __kind", "cast(null AS timestamp_ntz) AS ts", "arrivals", "exits", *blank
+        )
+        .union(inside.selectExpr(*keys, "__fine", "1", "ts", "arrivals", "exits", *blank))
+        .union(points.selectExpr(*keys, "__fine", "2", "probe_ts", "0L", "0L", *carried))
     )
+    over = window([*keys, "__fine"], ["least(__kind, 1)", "ts", "__kind"])[:-1]
+    over += " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return (
-        rows.select(
-            "*", F.sum("arrivals").over(w).alias("entered"), F.sum("exits").over(w).alias("left")
+        rows.selectExpr(
+            *keys,
+            *carried,
+            "__kind",
+            f"sum(arrivals) {over} AS entered",
+            f"sum(exits) {over} AS left",
         )
         .filter("__kind = 2")
-        .select(*probes.columns, "entered", "left")
+        .drop("__kind")
     )
 
 
 def _instant_counts(visits: DataFrame, instants: DataFrame, s: Settings) -> DataFrame:
     """One row per distinct instant with ``e_<offset>`` and ``x_<offset>`` counts."""
     keys = list(s.keys)
-    offsets = F.array(*[F.lit(m) for m in OFFSETS])
+    offsets = ", ".join(str(m) for m in OFFSETS)
     probes = (
         instants.select(*keys, "prediction_time")
         .distinct()
-        .select("*", F.explode(offsets).alias("__offset"))
-        .withColumn("probe_ts", shift(F.col("prediction_time"), -F.col("__offset")))
+        .selectExpr(*keys, "prediction_time", f"explode(array({offsets})) AS __offset")
+        .selectExpr("*", f"{shift('prediction_time', '-__offset')} AS probe_ts")
     )
     counted = counts_at(visits, probes, s)
+    at = "max(CASE WHEN __offset = {m} THEN {c} END)"
     return counted.groupBy(*keys, "prediction_time").agg(
-        *[F.max(F.when(F.col("__offset") == m, F.col("entered"))).alias(f"e_{m}") for m in OFFSETS],
-        *[F.max(F.when(F.col("__offset") == m, F.col("left"))).alias(f"x_{m}") for m in OFFSETS],
+        *[F.expr(at.format(m=m, c="entered")).alias(f"e_{m}") for m in OFFSETS],
+        *[F.expr(at.format(m=m, c="left")).alias(f"x_{m}") for m in OFFSETS],
     )
 
 
-def _feature_columns(s: Settings) -> dict[str, Column]:
-    e = {m: F.col(f"e_{m}") for m in OFFSETS}
-    x = {m: F.col(f"x_{m}") for m in OFFSETS}
-    inside = {m: e[m] - x[m] for m in OFFSETS}
-    out: dict[str, Column] = {"active_vehicles": inside[0]}
-    for name, m in LAG_MINUTES:
-        out[name] = inside[m]
-    for label, m in FLOW_MINUTES:
-        out[f"arrivals_{label}"] = e[0] - e[m]
-    for label, m in FLOW_MINUTES:
-        out[f"exits_{label}"] = x[0] - x[m]
-    for label, m in FLOW_MINUTES:
-        out[f"net_flow_{label}"] = (e[0] - e[m]) - (x[0] - x[m])
-    for label, m in (("15m", 15), ("1h", 60), ("2h", 120)):
-        out[f"occupancy_change_{label}"] = inside[0] - inside[m]
-    came = e[15] - e[75]
-    went = x[15] - x[75]
-    out["rolling_mean_occupancy_1h"] = (inside[15] + inside[30] + inside[45] + inside[60]) / 4.0
-    out["rolling_mean_arrivals_1h"] = came / 4.0
-    out["rolling_mean_exits_1h"] = went / 4.0
-    out["rolling_mean_net_flow_1h"] = (came - went) / 4.0
-    out.update(calendar(F.col("prediction_time")))
-    return out
-
+def _feature_columns() -> dict[str, str]:
+    def inside(m: int) -> str:
+        return f"(e_{m} - x_{m})"
 
-def _expand_horizons(df: DataFrame, s: Settings) -> DataFrame:
-    horizons = F.array(*[F.lit(m) for m in s.horizons])
-    return df.select("*", F.explode(horizons).alias("horizon_minutes"))
+    out = {"active_vehicles": inside(0)}
+    out |= {name: inside(m) for name, m in LAG_MINUTES}
+    out |= {f"arrivals_{label}": f"e_0 - e_{m}" for label, m in FLOW_MINUTES}
+    out |= {f"exits_{label}": f"x_0 - x_{m}" for label, m in FLOW_MINUTES}
+    out |= {f"net_flow_{label}": f"{inside(0)} - {inside(m)}" for label, m in FLOW_MINUTES}
+    for label, m in (("15m", 15), ("1h", 60), ("2h", 120)):
+        out[f"occupancy_change_{label}"] = f"{inside(0)} - {inside(m)}"
+    # Four 15-minute windows that end 15 to 60 minutes before the instant.
+    out["rolling_mean_occupancy_1h"] = f"({' + '.join(inside(m) for m in PAST_MINUTES)}) / 4.0D"
+    out["rolling_mean_arrivals_1h"] = "(e_15 - e_75) / 4.0D"
+    out["rolling_mean_exits_1h"] = "(x_15 - x_75) / 4.0D"
+    out["rolling_mean_net_flow_1h"] = f"({inside(15)} - {inside(75)}) / 4.0D"
+    return out | calendar("prediction_time")
+
+
+def _with_horizons(counts: DataFrame, s: Settings) -> DataFrame:
+    """Turn the counts of an instant into its features, one row per horizon."""
+    horizons = ", ".join(str(m) for m in s.horizons)
+    return counts.selectExpr(
+        *s.keys,
+        "prediction_time",
+        *named(_feature_columns()),
+        f"explode(array({horizons})) AS horizon_minutes",
+    ).select(*s.keys, "prediction_time", *s.model_features)
 
 
 def eligibility(visits: DataFrame, instants: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -216,21 +197,17 @@ def eligibility(visits: DataFrame, instants: DataFrame, s: Settings = Settings()
         points = points.join(first, keys, "left")
     else:
         points = points.withColumn("__first", first.select("__first").scalar())
-    seen = F.coalesce(F.col("__first") <= F.col("prediction_time"), F.lit(False))
-    reason = ineligible_reason(F.col("prediction_time"), seen, s)
-    return points.select(
-        *keys, "prediction_time", reason.isNull().alias("is_eligible"), reason.alias("reason")
-    )
+    seen = "coalesce(__first <= prediction_time, false)"
+    return points.selectExpr(
+        *keys, "prediction_time", f"{ineligible_reason('prediction_time', seen, s)} AS reason"
+    ).selectExpr(*keys, "prediction_time", "reason IS NULL AS is_eligible", "reason")
 
 
 def features_at(visits: DataFrame, instants: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The 29 model features of every eligible instant, one row per horizon."""
-    usable = instants.filter(ineligible_reason(F.col("prediction_time"), s=s).isNull())
-    rows = _instant_counts(visits, usable, s).filter(F.col("e_0") > 0)
-    wide = rows.select(
-        *s.keys, "prediction_time", *[c.alias(name) for name, c in _feature_columns(s).items()]
-    )
-    return _expand_horizons(wide, s).select(*s.keys, "prediction_time", *s.model_features)
+    usable = instants.filter(f"({ineligible_reason('prediction_time', s=s)}) IS NULL")
+    # An instant before the first entry has seen nobody.
+    return _with_horizons(_instant_counts(visits, usable, s).filter("e_0 > 0"), s)
 
 
 def features_at_one(visits: DataFrame, instant, s: Settings = Settings()) -> DataFrame:
@@ -239,20 +216,19 @@ def features_at_one(visits: DataFrame, instant, s: Settings = Settings()) -> Dat
     counts = []
     for m in OFFSETS:
         at = ts_lit(t - timedelta(minutes=m))
-        counts.append(F.count_if(F.col("entry_time") <= at).alias(f"e_{m}"))
-        counts.append(F.count_if(F.col("exit_time") <= at).alias(f"x_{m}"))
-    row = visits.agg(*counts).withColumn("prediction_time", ts_lit(t))
-    wide = row.filter(
-        ineligible_reason(F.col("prediction_time"), F.col("e_0") > 0, s).isNull()
-    ).select("prediction_time", *[c.alias(name) for name, c in _feature_columns(s).items()])
-    return _expand_horizons(wide, s).select("prediction_time", *s.model_features)
+        counts.append(F.expr(f"count_if(entry_time <= {at})").alias(f"e_{m}"))
+        counts.append(F.expr(f"count_if(exit_time <= {at})").alias(f"x_{m}"))
+    row = visits.agg(*counts).selectExpr("*", f"{ts_lit(t)} AS prediction_time")
+    one = row.filter(f"({ineligible_reason('prediction_time', 'e_0 > 0', s)}) IS NULL")
+    return _with_horizons(one, Settings(bucket_minutes=s.bucket_minutes))
 
 
 def require_history(visits: DataFrame, instant, s: Settings = Settings()) -> None:
     """Raise with the reason if no features can be built at ``instant``."""
     t = as_datetime(instant)
-    row = visits.agg(F.min("entry_time").alias("first")).select(
-        ineligible_reason(ts_lit(t), F.coalesce(F.col("first") <= ts_lit(t), F.lit(False)), s).alias("reason")
+    seen = f"coalesce(first <= {ts_lit(t)}, false)"
+    row = visits.agg(F.min("entry_time").alias("first")).selectExpr(
+        f"{ineligible_reason(ts_lit(t), seen, s)} AS reason"
     )
     reason = row.first()["reason"]
     if reason is not None:

@@ -63,7 +63,7 @@ def persistence(long: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def _target_time():
-    return shift(F.col("timestamp"), F.col("horizon_minutes"))
+    return F.expr(shift("timestamp", "horizon_minutes"))
 
 
 def hourly_mean(long: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from dwellgrid.functions import timecols
-from dwellgrid.functions.running import chunk_window, drop_halo, halo
+from dwellgrid.functions.running import drop_halo, halo, in_chunk
+from dwellgrid.functions.timecols import calendar, named
 from dwellgrid.operators import grid as grids
 from dwellgrid.operators import reliability
 from dwellgrid.settings import (
@@ -24,50 +23,58 @@ from dwellgrid.settings import (
     Settings,
 )
 
-Maker = Callable[[WindowSpec, Settings], dict[str, Column]]
+Maker = Callable[[Settings], dict[str, str]]
 
 
-def _reliable_count(frame: WindowSpec) -> Column:
-    return F.count_if(F.col("is_reliable")).over(frame)
+def _here(s: Settings) -> str:
+    return in_chunk(s.keys, "timestamp")
 
 
-def raw_lags(w: WindowSpec, s: Settings) -> dict[str, Column]:
-    return {name: F.lag("active_vehicles", k).over(w) for name, k in OCCUPANCY_LAGS}
+def _before(k: int, s: Settings) -> str:
+    """The ``k`` rows before the current one."""
+    return in_chunk(s.keys, "timestamp", (-k, -1))
 
 
-def masked_lags(w: WindowSpec, s: Settings) -> dict[str, Column]:
+def _all_reliable(k: int, s: Settings) -> str:
+    """True when the ``k`` rows before exist and are all reliable."""
+    return f"count_if(is_reliable) {_before(k, s)} = {k}"
+
+
+def raw_lags(s: Settings) -> dict[str, str]:
+    return {name: f"lag(active_vehicles, {k}) {_here(s)}" for name, k in OCCUPANCY_LAGS}
+
+
+def masked_lags(s: Settings) -> dict[str, str]:
+    w = _here(s)
     return {
-        name: F.when(F.lag("is_reliable", k).over(w), F.lag("active_vehicles", k).over(w))
+        name: f"CASE WHEN lag(is_reliable, {k}) {w} THEN lag(active_vehicles, {k}) {w} END"
         for name, k in OCCUPANCY_LAGS
     }
 
 
-def flow_sums(w: WindowSpec, s: Settings) -> dict[str, Column]:
-    out = {}
-    for column in FLOW_COLUMNS:
-        for label, k in FLOW_WIDTHS:
-            frame = w.rowsBetween(-k, -1)
-            out[f"{column}_{label}"] = F.when(
-                _reliable_count(frame) == k, F.sum(column).over(frame)
-            )
-    return out
+def flow_sums(s: Settings) -> dict[str, str]:
+    return {
+        f"{column}_{label}": f"CASE WHEN {_all_reliable(k, s)} THEN sum({column}) {_before(k, s)} END"
+        for column in FLOW_COLUMNS
+        for label, k in FLOW_WIDTHS
+    }
 
 
-def rolling_means(w: WindowSpec, s: Settings) -> dict[str, Column]:
-    frame = w.rowsBetween(-s.rolling_steps, -1)
-    full = _reliable_count(frame) == s.rolling_steps
+def rolling_means(s: Settings) -> dict[str, str]:
+    k = s.rolling_steps
     return {
-        f"rolling_mean_{name}_1h": F.when(full, F.avg(column).over(frame))
+        f"rolling_mean_{name}_1h": f"CASE WHEN {_all_reliable(k, s)} THEN avg({column}) {_before(k, s)} END"
         for name, column in ROLLING_COLUMNS
     }
 
 
-def targets(w: WindowSpec, s: Settings) -> dict[str, Column]:
+def targets(s: Settings) -> dict[str, str]:
+    w = _here(s)
     out = {}
     for minutes in s.horizons:
         k = s.horizon_steps(minutes)
-        out[f"target_{minutes}m"] = F.when(
-            F.lead("is_reliable", k).over(w), F.lead("active_vehicles", k).over(w)
+        out[f"target_{minutes}m"] = (
+            f"CASE WHEN lead(is_reliable, {k}) {w} THEN lead(active_vehicles, {k}) {w} END"
         )
     return out
 
@@ -76,24 +83,22 @@ def with_windows(flagged: DataFrame, *makers: Maker, s: Settings = Settings()) -
     """Add the columns of ``makers``, computed per time chunk."""
     back = max(k for _, k in OCCUPANCY_LAGS) * s.bucket_seconds
     ahead = max(s.horizons) * 60
-    near = halo(flagged, F.col("timestamp"), s.chunk_seconds, back, ahead)
-    w = chunk_window(s.keys, "timestamp")
-    columns = {name: c for make in makers for name, c in make(w, s).items()}
-    return drop_halo(near.select("*", *[c.alias(name) for name, c in columns.items()]))
+    near = halo(flagged, "timestamp", s.chunk_seconds, back, ahead)
+    columns = {name: text for make in makers for name, text in make(s).items()}
+    return drop_halo(near.selectExpr("*", *named(columns)))
 
 
-def with_changes(lagged: DataFrame) -> DataFrame:
+def changes() -> dict[str, str]:
     """Occupancy change against a lag; null where the lag is."""
-    return lagged.withColumns(
-        {
-            f"occupancy_change_{width}": F.col("active_vehicles") - F.col(f"lag_{width}")
-            for width in CHANGE_LAGS
-        }
-    )
+    return {f"occupancy_change_{w}": f"active_vehicles - lag_{w}" for w in CHANGE_LAGS}
+
+
+def with_changes(lagged: DataFrame) -> DataFrame:
+    return lagged.selectExpr("*", *named(changes()))
 
 
 def with_calendar(df: DataFrame) -> DataFrame:
-    return df.withColumns(timecols.calendar(F.col("timestamp")))
+    return df.selectExpr("*", *named(calendar("timestamp")))
 
 
 def flagged_grid(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -105,6 +110,9 @@ def wide_frame(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     df = with_windows(
         flagged_grid(visits, s), masked_lags, flow_sums, rolling_means, targets, s=s
     )
-    df = with_calendar(with_changes(df))
+    derived = {**changes(), **calendar("timestamp")}
     grid = ["timestamp", "arrivals", "exits", "net_flow", "active_vehicles", "is_reliable"]
-    return df.select(*s.keys, *grid, *s.base_features[1:], *s.target_names)
+    names = [*grid, *s.base_features[1:], *s.target_names]
+    return df.selectExpr(
+        *s.keys, *[f"{derived[n]} AS {n}" if n in derived else n for n in names]
+    )

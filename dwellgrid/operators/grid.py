@@ -5,74 +5,74 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellgrid.functions.running import chunk_window, drop_halo, halo, running_total
+from dwellgrid.functions.running import drop_halo, halo, in_chunk, running_total
 from dwellgrid.functions.timecols import floor_index, floor_to
 from dwellgrid.settings import Settings
 
 
 def movements(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Two rows per visit: one arrival at its entry time, one exit at its exit time."""
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    pair = F.array(
-        F.struct(F.col("entry_time").alias("ts"), one.alias("arrivals"), zero.alias("exits")),
-        F.struct(F.col("exit_time").alias("ts"), zero.alias("arrivals"), one.alias("exits")),
+    return visits.selectExpr(
+        *s.keys, "stack(2, entry_time, 1L, 0L, exit_time, 0L, 1L) AS (ts, arrivals, exits)"
+    )
+
+
+def _summed(df: DataFrame, *by: str) -> DataFrame:
+    return (
+        df.groupBy(*by)
+        .sum("arrivals", "exits")
+        .withColumnsRenamed({"sum(arrivals)": "arrivals", "sum(exits)": "exits"})
     )
-    return visits.select(*s.keys, F.inline(pair))
 
 
 def bucket_flow(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Arrivals and exits of every bucket with any movement, in one scan of the visits."""
-    return (
-        movements(visits, s)
-        .groupBy(*s.keys, floor_to(F.col("ts"), s.bucket_seconds).alias("timestamp"))
-        .agg(F.sum("arrivals").alias("arrivals"), F.sum("exits").alias("exits"))
+    moves = movements(visits, s).selectExpr(
+        *s.keys, f"{floor_to('ts', s.bucket_seconds)} AS timestamp", "arrivals", "exits"
     )
+    return _summed(moves, *s.keys, "timestamp")
 
 
 def arrivals_by_bucket(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    bucket = floor_to(F.col("entry_time"), s.bucket_seconds).alias("timestamp")
+    bucket = F.expr(floor_to("entry_time", s.bucket_seconds)).alias("timestamp")
     return visits.groupBy(*s.keys, bucket).agg(F.count(F.lit(1)).alias("arrivals"))
 
 
 def exits_by_bucket(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    bucket = floor_to(F.col("exit_time"), s.bucket_seconds).alias("timestamp")
+    bucket = F.expr(floor_to("exit_time", s.bucket_seconds)).alias("timestamp")
     return visits.groupBy(*s.keys, bucket).agg(F.count(F.lit(1)).alias("exits"))
 
 
 def time_grid(flow: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Every bucket from the first to the last one of each series."""
-    step = F.expr(f"INTERVAL '{s.bucket_seconds}' SECOND")
-    day = F.expr("INTERVAL '1' DAY")
+    step = f"INTERVAL '{s.bucket_seconds}' SECOND"
     bounds = flow.groupBy(*s.keys).agg(
         F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")
     )
     # First days, then the buckets of a day: no long array in one row.
-    days = bounds.select(*s.keys, "lo", "hi", F.explode(F.sequence("lo", "hi", day)).alias("from"))
-    last = F.least(F.col("hi"), F.col("from") + day - step)
-    return days.select(*s.keys, F.explode(F.sequence(F.col("from"), last, step)).alias("timestamp"))
+    return bounds.selectExpr(
+        *s.keys, "hi", "explode(sequence(lo, hi, INTERVAL '1' DAY)) AS day"
+    ).selectExpr(
+        *s.keys,
+        f"explode(sequence(day, least(hi, day + INTERVAL '1' DAY - {step}), {step})) AS timestamp",
+    )
 
 
 def flow_grid(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The complete grid with arrivals, exits (zero where nothing happened) and net flow."""
     flow = bucket_flow(visits, s)
-    zero = F.lit(0).cast("bigint")
-    empty = time_grid(flow, s).select("*", zero.alias("arrivals"), zero.alias("exits"))
-    return (
-        flow.unionByName(empty)
-        .groupBy(*s.keys, "timestamp")
-        .agg(F.sum("arrivals").alias("arrivals"), F.sum("exits").alias("exits"))
-        .withColumn("net_flow", F.col("arrivals") - F.col("exits"))
+    empty = time_grid(flow, s).selectExpr(*s.keys, "timestamp", "0L AS arrivals", "0L AS exits")
+    return _summed(flow.union(empty), *s.keys, "timestamp").selectExpr(
+        "*", "arrivals - exits AS net_flow"
     )
 
 
 def occupancy_grid(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The grid with ``active_vehicles``: everyone inside at the end of the bucket."""
-    grid = flow_grid(visits, s).withColumn(
-        "__part", floor_index(F.col("timestamp"), s.chunk_seconds)
+    grid = flow_grid(visits, s).selectExpr(
+        "*", f"{floor_index('timestamp', s.chunk_seconds)} AS __part"
     )
-    return running_total(
-        grid, ["timestamp"], {"active_vehicles": "net_flow"}, s.keys, ["__part"]
-    ).drop("__part")
+    return running_total(grid, ["timestamp"], {"active_vehicles": "net_flow"}, s.keys, ["__part"])
 
 
 def event_occupancy(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -83,14 +83,20 @@ def event_occupancy(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """
     changes = (
         movements(visits, s)
-        .groupBy(*s.keys, F.col("ts").alias("timestamp"))
-        .agg(F.sum(F.col("arrivals") - F.col("exits")).alias("change"))
-        .withColumn("__day", F.to_date("timestamp"))
-        .withColumn("__fine", floor_index(F.col("timestamp"), s.fine_seconds))
+        .selectExpr(*s.keys, "ts AS timestamp", "arrivals - exits AS change")
+        .groupBy(*s.keys, "timestamp")
+        .sum("change")
+        .selectExpr(
+            *s.keys,
+            "timestamp",
+            "`sum(change)` AS change",
+            f"{floor_index('timestamp', 86400)} AS __day",
+            f"{floor_index('timestamp', s.fine_seconds)} AS __fine",
+        )
     )
     return running_total(
         changes, ["timestamp"], {"active_vehicles": "change"}, s.keys, ["__day", "__fine"]
-    ).drop("__day", "__fine")
+    )
 
 
 def occupancy_summary(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -115,12 +121,12 @@ def conservation_check(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def gap_histogram(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
     """How often each distance between neighbouring grid rows occurs, in minutes."""
-    near = halo(grid.select(*s.keys, "timestamp"), F.col("timestamp"), s.chunk_seconds, s.bucket_seconds)
-    before = F.lag("timestamp").over(chunk_window(s.keys, "timestamp"))
-    gap = (F.col("timestamp") - before).cast("interval minute").cast("bigint")
+    near = halo(grid.select(*s.keys, "timestamp"), "timestamp", s.chunk_seconds, s.bucket_seconds)
+    before = f"lag(timestamp) {in_chunk(s.keys, 'timestamp')}"
+    gaps = near.selectExpr("*", f"cast(cast(timestamp - {before} AS interval minute) AS bigint) AS gap_minutes")
     return (
-        drop_halo(near.withColumn("gap_minutes", gap))
-        .filter(F.col("gap_minutes").isNotNull())
+        drop_halo(gaps)
+        .filter("gap_minutes IS NOT NULL")
         .groupBy(*s.keys, "gap_minutes")
         .agg(F.count(F.lit(1)).alias("n"))
     )

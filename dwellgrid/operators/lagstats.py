@@ -10,10 +10,10 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwellgrid.functions.running import chunk_window, drop_halo, halo, running_total
+from dwellgrid.functions.running import CHUNK, HOME, drop_halo, halo, in_chunk, running_total
 from dwellgrid.functions.timecols import floor_index
 from dwellgrid.operators.reliability import longest_segment
 from dwellgrid.settings import Settings
@@ -35,85 +35,63 @@ NORMAL_95 = 1.959963984540054
 
 
 def _masked_series(flagged: DataFrame, s: Settings) -> DataFrame:
-    x = F.when(F.col("is_reliable"), F.col("active_vehicles").cast("double"))
-    return flagged.select(*s.keys, "timestamp", x.alias("x"))
+    return flagged.selectExpr(
+        *s.keys, "timestamp", "CASE WHEN is_reliable THEN cast(active_vehicles AS double) END AS x"
+    )
 
 
-def _chunk_seconds(steps: int, s: Settings) -> int:
-    """Chunks at least four lookbacks long, so that at most a fifth of the rows are copies."""
-    return max(s.chunk_seconds, 4 * steps * s.bucket_seconds)
+def _near(flagged: DataFrame, steps: int, s: Settings) -> DataFrame:
+    """The masked series in chunks of at least four lookbacks, so a fifth of it at most is copies."""
+    back = steps * s.bucket_seconds
+    return halo(_masked_series(flagged, s), "timestamp", max(s.chunk_seconds, 4 * back), back)
 
 
 def acf_at(flagged: DataFrame, lags: Sequence[tuple[str, int]] = STUDY_LAGS, s: Settings = Settings()) -> DataFrame:
     """Pearson correlation with each labelled lag over the pairs where both ends are reliable."""
-    steps = max(k for _, k in lags)
-    near = halo(
-        _masked_series(flagged, s),
-        F.col("timestamp"),
-        _chunk_seconds(steps, s),
-        steps * s.bucket_seconds,
-    )
-    w = chunk_window(s.keys, "timestamp")
-    rows = drop_halo(near.select("*", *[F.lag("x", k).over(w).alias(f"x_{k}") for _, k in lags]))
+    near = _near(flagged, max(k for _, k in lags), s)
+    w = in_chunk(s.keys, "timestamp")
+    rows = drop_halo(near.selectExpr("*", *[f"lag(x, {k}) {w} AS x_{k}" for _, k in lags]))
     stats = rows.groupBy(*s.keys).agg(
-        *[F.corr("x", f"x_{k}").alias(f"r_{k}") for _, k in lags],
-        *[F.count_if((F.col("x") + F.col(f"x_{k}")).isNotNull()).alias(f"n_{k}") for _, k in lags],
+        *[F.expr(f"corr(x, x_{k})").alias(f"r_{k}") for _, k in lags],
+        *[F.expr(f"count(x + x_{k})").alias(f"n_{k}") for _, k in lags],
     )
-    out = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias("horizon"),
-                F.lit(k).alias("lag_steps"),
-                F.col(f"r_{k}").alias("autocorrelation"),
-                F.col(f"n_{k}").alias("valid_pairs"),
-            )
-            for label, k in lags
-        ]
+    cells = ", ".join(f"'{label}', {k}, r_{k}, n_{k}" for label, k in lags)
+    return stats.selectExpr(
+        *s.keys,
+        f"stack({len(lags)}, {cells}) AS (horizon, lag_steps, autocorrelation, valid_pairs)",
     )
-    return stats.select(*s.keys, F.inline(out))
 
 
 def _lag_pairs(near: DataFrame, max_lag: int, order: str, keys: Sequence[str]) -> DataFrame:
     """Rows (lag, x, y): a value and the one ``lag`` places before it, lag 0 included."""
-    w = chunk_window(keys, order).rowsBetween(-max_lag, 0)
+    w = in_chunk(keys, order, (-max_lag, 0))
     # A struct keeps the place of a null value in the list.
-    past = F.reverse(F.collect_list(F.struct("x")).over(w))
-    rows = drop_halo(near.select("*", past.alias("__past")))
-    return rows.select(
-        *keys, "x", F.posexplode("__past").alias("lag_steps", "__y")
-    ).select(*keys, "lag_steps", "x", F.col("__y.x").alias("y"))
+    past = near.selectExpr("*", f"reverse(collect_list(named_struct('x', x)) {w}) AS __past")
+    return (
+        drop_halo(past)
+        .selectExpr(*keys, "x", "posexplode(__past) AS (lag_steps, __y)")
+        .selectExpr(*keys, "lag_steps", "x", "__y.x AS y")
+    )
 
 
 def acf_pairwise(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -> DataFrame:
     """Pearson autocorrelation at every lag from 1 to ``max_lag``."""
-    near = halo(
-        _masked_series(flagged, s),
-        F.col("timestamp"),
-        _chunk_seconds(max_lag, s),
-        max_lag * s.bucket_seconds,
-    )
-    pairs = _lag_pairs(near, max_lag, "timestamp", s.keys).filter(
-        (F.col("lag_steps") > 0) & F.col("x").isNotNull() & F.col("y").isNotNull()
-    )
+    pairs = _lag_pairs(_near(flagged, max_lag, s), max_lag, "timestamp", s.keys)
     return (
-        pairs.groupBy(*s.keys, "lag_steps")
+        pairs.filter("lag_steps > 0 AND x IS NOT NULL AND y IS NOT NULL")
+        .groupBy(*s.keys, "lag_steps")
         .agg(F.corr("x", "y").alias("autocorrelation"))
-        .withColumn("lag_minutes", F.col("lag_steps") * s.bucket_minutes)
+        .selectExpr("*", f"lag_steps * {s.bucket_minutes} AS lag_minutes")
     )
 
 
 def _numbered(series: DataFrame, s: Settings) -> DataFrame:
     """Replace the time by the position (from 0) among the rows of the series."""
-    rows = series.select(
-        *s.keys,
-        "timestamp",
-        "x",
-        F.lit(1).cast("bigint").alias("__one"),
-        floor_index(F.col("timestamp"), s.chunk_seconds).alias("__part"),
-    )
-    return running_total(rows, ["timestamp"], {"__place": "__one"}, s.keys, ["__part"]).select(
-        *s.keys, (F.col("__place") - 1).alias("pos"), "x"
-    )
+    part = floor_index("timestamp", s.chunk_seconds)
+    rows = series.selectExpr(*s.keys, "timestamp", "x", "1L AS __one", f"{part} AS __part")
+    return running_total(
+        rows, ["timestamp"], {"__place": "__one"}, s.keys, ["__part"]
+    ).selectExpr(*s.keys, "__place - 1 AS pos", "x")
 
 
 def _autocovariance(series: DataFrame, max_lag: int, s: Settings) -> DataFrame:
@@ -123,48 +101,41 @@ def _autocovariance(series: DataFrame, max_lag: int, s: Settings) -> DataFrame:
     sum (x - m)(y - m) = sum xy - m (sum x + sum y) + pairs * m * m.
     """
     length = 4 * max_lag
-    own = F.floor(F.col("pos") / length)
-    near = _numbered(series, s).select(
+    near = _numbered(series, s).selectExpr(
         "*",
-        own.alias("__home_chunk"),
-        F.explode(F.sequence(own, F.floor((F.col("pos") + max_lag) / length))).alias("__chunk"),
+        f"pos div {length} AS {HOME}",
+        f"explode(sequence(pos div {length}, (pos + {max_lag}) div {length})) AS {CHUNK}",
     )
     sums = (
         _lag_pairs(near, max_lag, "pos", s.keys)
         .groupBy(*s.keys, "lag_steps")
         .agg(
-            F.count(F.lit(1)).alias("__pairs"),
-            F.sum("x").alias("__sx"),
-            F.sum("y").alias("__sy"),
-            F.sum(F.col("x") * F.col("y")).alias("__sxy"),
+            F.count("x").alias("pairs"),
+            F.sum("x").alias("sx"),
+            F.sum("y").alias("sy"),
+            F.expr("sum(x * y)").alias("sxy"),
         )
     )
-    series_wide = Window.partitionBy(*s.keys)  # max_lag + 1 rows
-
-    def at_zero(column: str) -> Column:
-        return F.max(F.when(F.col("lag_steps") == 0, F.col(column))).over(series_wide)
-
-    n, mean = F.col("n"), F.col("__mean")
-    cov = F.col("__sxy") - mean * (F.col("__sx") + F.col("__sy")) + F.col("__pairs") * mean * mean
-    return (
-        sums.withColumn("n", at_zero("__pairs"))
-        .withColumn("__mean", at_zero("__sx") / n)
-        .select(*s.keys, "lag_steps", (cov / n).alias("autocovariance"), "n")
+    # max_lag + 1 rows per series.
+    over = f"OVER ({'PARTITION BY ' + ', '.join(s.keys) if s.keys else ''})"
+    first = f"max(CASE WHEN lag_steps = 0 THEN {{}} END) {over}"
+    return sums.selectExpr(
+        "*", f"{first.format('pairs')} AS n", f"{first.format('sx / pairs')} AS m"
+    ).selectExpr(
+        *s.keys, "lag_steps", "(sxy - m * (sx + sy) + pairs * m * m) / n AS autocovariance", "n"
     )
 
 
 def acf_standard(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -> DataFrame:
     """Autocorrelation of the series with the unreliable rows cut out, one mean, n in the divisor."""
-    series = _masked_series(flagged, s).filter(F.col("x").isNotNull())
-    cov = _autocovariance(series, max_lag, s)
-    zero = F.max(F.when(F.col("lag_steps") == 0, F.col("autocovariance"))).over(
-        Window.partitionBy(*s.keys)
-    )
-    return cov.select(
+    cov = _autocovariance(_masked_series(flagged, s).filter("x IS NOT NULL"), max_lag, s)
+    over = f"OVER ({'PARTITION BY ' + ', '.join(s.keys) if s.keys else ''})"
+    zero = f"max(CASE WHEN lag_steps = 0 THEN autocovariance END) {over}"
+    return cov.selectExpr(
         *s.keys,
         "lag_steps",
-        (F.col("lag_steps") * s.bucket_minutes).alias("lag_minutes"),
-        (F.col("autocovariance") / zero).alias("autocorrelation"),
+        f"lag_steps * {s.bucket_minutes} AS lag_minutes",
+        f"autocovariance / {zero} AS autocorrelation",
     )
 
 
@@ -189,25 +160,23 @@ def pacf(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -
     The sums over the series run in Spark; the recursion gets the ``max_lag + 1``
     autocovariances of a series and nothing else.
     """
-    series = longest_segment(flagged, s).select(
-        *s.keys, "timestamp", F.col("active_vehicles").cast("double").alias("x")
+    series = longest_segment(flagged, s).selectExpr(
+        *s.keys, "timestamp", "cast(active_vehicles AS double) AS x"
     )
     cov = _autocovariance(series, max_lag, s)
-    schema = cov.drop("n").schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    solved = (
-        cov.groupBy(*s.keys)
-        if s.keys
-        else cov.groupBy(F.lit(0).alias("__series"))
-    ).applyInPandas(_partial, f"{schema}, n bigint, partial_autocorrelation double")
-    half = F.lit(NORMAL_95) / F.sqrt("n")
-    value = F.col("partial_autocorrelation")
-    return solved.select(
+    schema = ", ".join(f"{name} {kind}" for name, kind in cov.dtypes)
+    series_key = list(s.keys) or [F.lit(0)]
+    solved = cov.groupBy(*series_key).applyInPandas(
+        _partial, f"{schema}, partial_autocorrelation double"
+    )
+    half = f"CASE WHEN lag_steps = 0 THEN 0.0D ELSE {NORMAL_95}D / sqrt(n) END"
+    return solved.selectExpr(
         *s.keys,
         "lag_steps",
-        (F.col("lag_steps") * s.bucket_minutes).alias("lag_minutes"),
+        f"lag_steps * {s.bucket_minutes} AS lag_minutes",
         "partial_autocorrelation",
-        F.when(F.col("lag_steps") == 0, value).otherwise(value - half).alias("lower_ci"),
-        F.when(F.col("lag_steps") == 0, value).otherwise(value + half).alias("upper_ci"),
+        f"partial_autocorrelation - {half} AS lower_ci",
+        f"partial_autocorrelation + {half} AS upper_ci",
     )
 
 

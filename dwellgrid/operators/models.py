@@ -244,7 +244,7 @@ def peak_of(one):
 
 
 def with_peak_time(records: DataFrame) -> DataFrame:
-    at = shift(F.col("prediction_time"), F.col("peak_forecast.horizon_minutes"))
+    at = F.expr(shift("prediction_time", "peak_forecast.horizon_minutes"))
     return records.withColumn(
         "peak_forecast", F.col("peak_forecast").withField("forecast_timestamp", at)
     )

@@ -49,9 +49,9 @@ def complete_days(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def _with_difference(visits: DataFrame) -> DataFrame:
-    computed = minutes_between(F.col("entry_time"), F.col("exit_time"))
-    return visits.withColumn("computed_min", computed).withColumn(
-        "difference_min", F.col("duration_min") - F.col("computed_min")
+    computed = minutes_between("entry_time", "exit_time")
+    return visits.selectExpr(
+        "*", f"{computed} AS computed_min", f"duration_min - {computed} AS difference_min"
     )
 
 
@@ -487,27 +487,22 @@ def daily_state(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     changes = (
         movements(visits, s)
         .groupBy(*s.keys, F.to_date("ts").alias("date"))
-        .agg(
-            F.sum("arrivals").alias("__came"),
-            F.sum(F.col("arrivals") - F.col("exits")).alias("__change"),
-        )
-        .withColumn("__year", F.year("date"))
+        .agg(F.sum("arrivals").alias("__came"), F.expr("sum(arrivals - exits)").alias("__change"))
+        .selectExpr("*", "year(date) AS __year")
     )
     total = running_total(changes, ["date"], {"ending_occupancy": "__change"}, s.keys, ["__year"])
-    return total.filter(is_complete_day(F.col("date"), s) & (F.col("__came") > 0)).select(
+    return total.filter(is_complete_day(F.col("date"), s) & (F.col("__came") > 0)).selectExpr(
         *s.keys,
         "date",
-        (F.col("ending_occupancy") - F.col("__change")).alias("starting_occupancy"),
+        "ending_occupancy - __change AS starting_occupancy",
         "ending_occupancy",
     )
 
 
 def single_day_hours(visits: DataFrame, day: str) -> DataFrame:
     """Arrivals per hour of one day."""
-    start = ts_lit(f"{day} 00:00:00")
-    inside = (F.col("entry_time") >= start) & (
-        F.col("entry_time") < start + F.expr("INTERVAL '1' DAY")
-    )
+    start = ts_lit(day)
+    inside = f"entry_time >= {start} AND entry_time < {start} + INTERVAL '1' DAY"
     return visits.filter(inside).groupBy(F.hour("entry_time").alias("entry_hour")).agg(
         _count().alias("n")
     )

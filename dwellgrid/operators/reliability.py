@@ -2,34 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwellgrid.functions.running import chunk_window, drop_halo, halo, running_total
+from dwellgrid.functions.running import drop_halo, halo, in_chunk, running_total
 from dwellgrid.functions.timecols import floor_index, floor_to, ts_lit
 from dwellgrid.settings import Settings
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
-
-
-def in_bad_period(ts: Column, s: Settings = Settings()) -> Column:
+def in_bad_period(ts: str, s: Settings = Settings()) -> str:
     """Whether an instant lies in a listed half-open period."""
-    return _any([(ts >= ts_lit(a)) & (ts < ts_lit(b)) for a, b in s.bad_periods()])
+    hits = [f"({ts} >= {ts_lit(a)} AND {ts} < {ts_lit(b)})" for a, b in s.bad_periods()]
+    return f"({' OR '.join(hits) or 'false'})"
 
 
-def overlaps_bad_period(start: Column, end: Column, s: Settings = Settings()) -> Column:
+def overlaps_bad_period(start: str, end: str, s: Settings = Settings()) -> str:
     """Whether the interval (start, end] overlaps a bad period; an empty one never does."""
-    hit = _any([(start < ts_lit(b)) & (end > ts_lit(a)) for a, b in s.bad_periods()])
-    return (end > start) & hit
+    hits = [f"({start} < {ts_lit(b)} AND {end} > {ts_lit(a)})" for a, b in s.bad_periods()]
+    return f"({end} > {start} AND ({' OR '.join(hits) or 'false'}))"
 
 
 def flag(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Add ``is_reliable``; no value is changed."""
-    return grid.withColumn("is_reliable", ~in_bad_period(F.col("timestamp"), s))
+    return grid.selectExpr("*", f"NOT {in_bad_period('timestamp', s)} AS is_reliable")
 
 
 def flag_from_table(grid: DataFrame, bad_periods: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -38,21 +33,24 @@ def flag_from_table(grid: DataFrame, bad_periods: DataFrame, s: Settings = Setti
     Periods become the set of buckets whose start they hold, so the match is an equi-join
     of any size rather than a range join.
     """
-    step = F.expr(f"INTERVAL '{s.bucket_seconds}' SECOND")
-    first = floor_to(F.col("start"), s.bucket_seconds)
-    first = F.when(first < F.col("start"), first + step).otherwise(first)
-    last = floor_to(F.col("end"), s.bucket_seconds)
-    last = F.when(last < F.col("end"), last).otherwise(last - step)
+    step = f"INTERVAL '{s.bucket_seconds}' SECOND"
+    # The first bucket start at or after a bound, for both bounds; the end is left out.
+    first, after = (
+        floor_to(f"({c} + {step} - INTERVAL '0.000001' SECOND)", s.bucket_seconds)
+        for c in ("start", "end")
+    )
     bad = (
-        bad_periods.withColumns({"__first": first, "__last": last})
-        .filter(F.col("__first") <= F.col("__last"))
-        .select(*s.keys, F.explode(F.sequence("__first", "__last", step)).alias("timestamp"))
+        bad_periods.selectExpr(*s.keys, f"{first} AS __a", f"{after} - {step} AS __b")
+        .filter("__a <= __b")
+        .selectExpr(*s.keys, f"explode(sequence(__a, __b, {step})) AS timestamp")
         .distinct()
         .withColumn("__bad", F.lit(True))
     )
-    return grid.join(bad, [*s.keys, "timestamp"], "left").withColumn(
-        "is_reliable", F.col("__bad").isNull()
-    ).drop("__bad")
+    return (
+        grid.join(bad, [*s.keys, "timestamp"], "left")
+        .withColumn("is_reliable", F.col("__bad").isNull())
+        .drop("__bad")
+    )
 
 
 def reliability_counts(flagged: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -61,13 +59,13 @@ def reliability_counts(flagged: DataFrame, s: Settings = Settings()) -> DataFram
 
 def bad_period_counts(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Grid rows inside each listed period."""
-    label = F.lit(None).cast("string")
-    for a, b in reversed(s.bad_periods()):
-        inside = (F.col("timestamp") >= ts_lit(a)) & (F.col("timestamp") < ts_lit(b))
-        label = F.when(inside, F.lit(a)).otherwise(label)
+    cases = " ".join(
+        f"WHEN timestamp >= {ts_lit(a)} AND timestamp < {ts_lit(b)} THEN '{a}'"
+        for a, b in s.bad_periods()
+    )
     return (
-        grid.select(*s.keys, label.alias("period_start"))
-        .filter(F.col("period_start").isNotNull())
+        grid.selectExpr(*s.keys, f"CASE {cases} END AS period_start")
+        .filter("period_start IS NOT NULL")
         .groupBy(*s.keys, "period_start")
         .agg(F.count(F.lit(1)).alias("intervals"))
     )
@@ -75,15 +73,15 @@ def bad_period_counts(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def with_segment(flagged: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Number the runs of equal ``is_reliable`` from 1 within each series."""
-    near = halo(flagged, F.col("timestamp"), s.chunk_seconds, s.bucket_seconds)
-    before = F.lag("is_reliable").over(chunk_window(s.keys, "timestamp"))
-    starts = F.coalesce((before != F.col("is_reliable")).cast("bigint"), F.lit(1).cast("bigint"))
-    marked = drop_halo(near.withColumn("__starts", starts)).withColumn(
-        "__part", floor_index(F.col("timestamp"), s.chunk_seconds)
+    near = halo(flagged, "timestamp", s.chunk_seconds, s.bucket_seconds)
+    before = f"lag(is_reliable) {in_chunk(s.keys, 'timestamp')}"
+    starts = f"coalesce(cast({before} != is_reliable AS bigint), 1L) AS __starts"
+    marked = drop_halo(near.selectExpr("*", starts)).selectExpr(
+        "*", f"{floor_index('timestamp', s.chunk_seconds)} AS __part"
     )
     return running_total(
         marked, ["timestamp"], {"segment_id": "__starts"}, s.keys, ["__part"]
-    ).drop("__starts", "__part")
+    ).drop("__starts")
 
 
 def reliable_segments(flagged: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -120,9 +118,8 @@ def longest_segment(flagged: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def interval_overlap(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Whether each stay (entry, exit] overlaps a bad period."""
-    return visits.withColumn(
-        "overlaps_bad", overlaps_bad_period(F.col("entry_time"), F.col("exit_time"), s)
-    )
+    overlaps = overlaps_bad_period("entry_time", "exit_time", s)
+    return visits.selectExpr("*", f"{overlaps} AS overlaps_bad")
 
 
 def masked(column: str) -> Column:

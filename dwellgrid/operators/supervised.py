@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellgrid.functions.running import running_total
@@ -10,45 +10,32 @@ from dwellgrid.functions.timecols import floor_index, shift, ts_lit
 from dwellgrid.settings import Settings
 
 
-def _complete(wide: DataFrame, s: Settings) -> DataFrame:
-    return wide.filter("is_reliable").dropna(subset=s.base_features)
+def _complete(s: Settings) -> str:
+    # One condition per column: a single expression over all of them, as dropna makes it,
+    # sends the optimizer's constraint propagation through every combination of aliases.
+    return " AND ".join(["is_reliable", *[f"{c} IS NOT NULL" for c in s.base_features]])
+
+
+def _as_double(names: list[str]) -> list[str]:
+    return [f"cast({c} AS double) AS {c}" for c in names]
 
 
 def one_horizon(wide: DataFrame, minutes: int, s: Settings = Settings()) -> DataFrame:
     """Reliable rows with every feature and the target of one horizon."""
     target = f"target_{minutes}m"
-    return (
-        _complete(wide, s)
-        .filter(F.col(target).isNotNull())
-        .select(
-            *s.keys,
-            "timestamp",
-            *[F.col(c).cast("double").alias(c) for c in s.base_features],
-            F.col(target).cast("double").alias("target"),
-        )
+    return wide.filter(f"{_complete(s)} AND {target} IS NOT NULL").selectExpr(
+        *s.keys, "timestamp", *_as_double(s.base_features), f"cast({target} AS double) AS target"
     )
 
 
 def long_set(wide: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One row per (timestamp, horizon), from a single pass over the wide frame."""
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("horizon_minutes"),
-                F.col(f"target_{m}m").cast("double").alias("target"),
-            )
-            for m in s.horizons
-        ]
-    )
+    pairs = ", ".join(f"{m}, cast(target_{m}m AS double)" for m in s.horizons)
+    stack = f"stack({len(s.horizons)}, {pairs}) AS (horizon_minutes, target)"
     return (
-        _complete(wide, s)
-        .select(
-            *s.keys,
-            "timestamp",
-            *[F.col(c).cast("double").alias(c) for c in s.base_features],
-            F.inline(pairs),
-        )
-        .filter(F.col("target").isNotNull())
+        wide.filter(_complete(s))
+        .selectExpr(*s.keys, "timestamp", *_as_double(s.base_features), stack)
+        .filter("target IS NOT NULL")
     )
 
 
@@ -56,33 +43,31 @@ def rows_by_horizon(long: DataFrame) -> DataFrame:
     return long.groupBy("horizon_minutes").agg(F.count(F.lit(1)).alias("n"))
 
 
-def split_label(s: Settings = Settings()) -> Column:
-    ts = F.col("timestamp")
+def split_label(s: Settings = Settings()) -> str:
     return (
-        F.when(ts < ts_lit(s.train_end), "train")
-        .when(ts < ts_lit(s.validation_end), "validation")
-        .otherwise("test")
+        f"CASE WHEN timestamp < {ts_lit(s.train_end)} THEN 'train' "
+        f"WHEN timestamp < {ts_lit(s.validation_end)} THEN 'validation' ELSE 'test' END"
     )
 
 
 def split(long: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Train, validation and test rows by time; never shuffled."""
-    ts = F.col("timestamp")
+    first, second = ts_lit(s.train_end), ts_lit(s.validation_end)
     return (
-        long.filter(ts < ts_lit(s.train_end)),
-        long.filter((ts >= ts_lit(s.train_end)) & (ts < ts_lit(s.validation_end))),
-        long.filter(ts >= ts_lit(s.validation_end)),
+        long.filter(f"timestamp < {first}"),
+        long.filter(f"timestamp >= {first} AND timestamp < {second}"),
+        long.filter(f"timestamp >= {second}"),
     )
 
 
 def split_counts(long: DataFrame, s: Settings = Settings()) -> DataFrame:
-    return long.groupBy(split_label(s).alias("split"), "horizon_minutes").agg(
+    return long.groupBy(F.expr(split_label(s)).alias("split"), "horizon_minutes").agg(
         F.count(F.lit(1)).alias("n")
     )
 
 
 def split_ranges(long: DataFrame, s: Settings = Settings()) -> DataFrame:
-    return long.groupBy(split_label(s).alias("split")).agg(
+    return long.groupBy(F.expr(split_label(s)).alias("split")).agg(
         F.min("timestamp").alias("first_ts"),
         F.max("timestamp").alias("last_ts"),
         F.count(F.lit(1)).alias("n"),
@@ -99,47 +84,37 @@ def check_split(long: DataFrame, s: Settings = Settings()) -> None:
 
 def split_bounds(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Timestamps at 70 % and 85 % of the ordered rows of a one-horizon set."""
+    part = floor_index("timestamp", s.chunk_seconds)
     numbered = running_total(
-        rows.select(
-            *s.keys,
-            "timestamp",
-            F.lit(1).cast("bigint").alias("__one"),
-            floor_index(F.col("timestamp"), s.chunk_seconds).alias("__part"),
-        ),
+        rows.selectExpr(*s.keys, "timestamp", "1L AS __one", f"{part} AS __part"),
         ["timestamp"],
         {"__row": "__one"},
         s.keys,
         ["__part"],
     )
-    total = Window.partitionBy(*s.keys)
-    per_part = numbered.groupBy(*s.keys, "__part").agg(
-        F.max("__row").alias("__last"), F.collect_list("timestamp").alias("__ts")
+    # The rows of one chunk, which its length bounds; then one row per chunk.
+    parts = numbered.groupBy(*s.keys, F.expr(part).alias("__part")).agg(
+        F.max("__row").alias("__last"), F.array_sort(F.collect_list("timestamp")).alias("__ts")
     )
-    per_part = per_part.withColumn("__n", F.max("__last").over(total))
+    parts = parts.withColumn("__n", F.max("__last").over(Window.partitionBy(*s.keys)))
 
-    def at(p: float) -> Column:
-        position = F.floor(F.col("__n") * p) + 1
-        first = F.col("__last") - F.size("__ts")
-        inside = (position > first) & (position <= F.col("__last"))
-        return F.max(
-            F.when(inside, F.element_at(F.array_sort("__ts"), (position - first).cast("int")))
-        )
+    def at(share: float, name: str):
+        place = f"(floor(__n * {share}D) + 1)"
+        first = "(__last - size(__ts))"
+        hit = f"{place} > {first} AND {place} <= __last"
+        value = f"element_at(__ts, cast({place} - {first} AS int))"
+        return F.expr(f"max(CASE WHEN {hit} THEN {value} END)").alias(name)
 
-    return per_part.groupBy(*s.keys).agg(at(0.70).alias("train_end"), at(0.85).alias("validation_end"))
+    return parts.groupBy(*s.keys).agg(at(0.70, "train_end"), at(0.85, "validation_end"))
 
 
 def target_audit(wide: DataFrame, long: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Compare every stored target with the occupancy found at ``timestamp + horizon``."""
-    future = wide.select(
-        *s.keys, F.col("timestamp").alias("__at"), F.col("active_vehicles").alias("__actual")
-    )
-    stored = long.select(
-        *s.keys,
-        "horizon_minutes",
-        "target",
-        shift(F.col("timestamp"), F.col("horizon_minutes")).alias("__at"),
+    future = wide.selectExpr(*s.keys, "timestamp AS __at", "active_vehicles AS __actual")
+    stored = long.selectExpr(
+        *s.keys, "horizon_minutes", "target", f"{shift('timestamp', 'horizon_minutes')} AS __at"
     )
-    wrong = F.col("__actual").isNull() | (F.col("__actual") != F.col("target"))
+    wrong = F.expr("__actual IS NULL OR __actual != target")
     return (
         stored.join(future, [*s.keys, "__at"], "left")
         .groupBy("horizon_minutes")
@@ -155,11 +130,9 @@ def leaked_targets(features: list[str], s: Settings = Settings()) -> list[str]:
 def null_audit(long: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Null count of every feature and of the target, one row per column."""
     names = [*s.model_features, "target"]
-    counts = long.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("missing")) for c in names]
-    )
-    return counts.select(F.inline(pairs))
+    counts = long.agg(*[F.expr(f"count_if({c} IS NULL)").alias(c) for c in names])
+    pairs = ", ".join(f"'{c}', {c}" for c in names)
+    return counts.selectExpr(f"stack({len(names)}, {pairs}) AS (column_name, missing)")
 
 
 def check_feature_order(df: DataFrame, stored: list[str], s: Settings = Settings()) -> None:

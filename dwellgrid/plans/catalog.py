@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from dwellgrid.functions.timecols import floor_to, ts_lit
 from dwellgrid.operators import (
@@ -55,13 +55,8 @@ def queries() -> dict[str, Query]:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles, so that the order of a sum does not show."""
-    return df.select(
-        *[
-            (F.round(f.name, digits) + F.lit(0.0)).alias(f.name)
-            if isinstance(f.dataType, DoubleType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
+    return df.selectExpr(
+        *[f"round({c}, {digits}) + 0.0D AS {c}" if kind == "double" else c for c, kind in df.dtypes]
     )
 
 
@@ -178,10 +173,10 @@ def latest_event_time(spark, sf):
 
 @query
 def bucket_floor(spark, sf):
-    return visits(spark, sf).select(
+    return visits(spark, sf).selectExpr(
         "entry_time",
-        floor_to(F.col("entry_time"), S.bucket_seconds).alias("entry_bucket"),
-        floor_to(F.col("exit_time"), S.bucket_seconds).alias("exit_bucket"),
+        f"{floor_to('entry_time', S.bucket_seconds)} AS entry_bucket",
+        f"{floor_to('exit_time', S.bucket_seconds)} AS exit_bucket",
     )
 
 
@@ -390,8 +385,8 @@ def supervised_null_audit(spark, sf):
 @query
 def active_at(spark, sf):
     v = visits(spark, sf)
-    return v.agg(asof.active_at(INSTANT).alias("active")).select(
-        ts_lit(INSTANT).alias("prediction_time"), "active"
+    return v.agg(asof.active_at(INSTANT).alias("active")).selectExpr(
+        f"{ts_lit(INSTANT)} AS prediction_time", "active"
     )
 
 
@@ -466,8 +461,10 @@ def duplicate_pairs(spark, sf):
 @query
 def duplicate_pairs_minute(spark, sf):
     """Rows that share entry and exit minute with another row."""
-    v = visits(spark, sf).withColumns(
-        {"entry_minute": floor_to(F.col("entry_time"), 60), "exit_minute": floor_to(F.col("exit_time"), 60)}
+    v = visits(spark, sf).selectExpr(
+        "*",
+        f"{floor_to('entry_time', 60)} AS entry_minute",
+        f"{floor_to('exit_time', 60)} AS exit_minute",
     )
     return profile.duplicate_members(v, ["entry_minute", "exit_minute"])
 
@@ -819,9 +816,7 @@ def gbt_single_horizon(spark, sf):
 @query
 def param_search(spark, sf):
     train, validation, _ = _sets(spark, sf)
-    configs = [
-        models.replace(c, max_depth=min(c.max_depth, 4)) for c in models.sample_params(3, QUICK)
-    ]
+    configs = [replace(c, max_depth=min(c.max_depth, 4)) for c in models.sample_params(3, QUICK)]
     return models.search(train, validation, S.model_features, configs)
 
 

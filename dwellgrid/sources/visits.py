@@ -24,6 +24,8 @@ RAW_HEADER = [
     "Time Taken",
 ]
 
+CSV_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def load(spark: SparkSession, path: str) -> DataFrame:
     """Raw visits from a parquet file or folder, or from a CSV file with a header.
@@ -55,15 +57,11 @@ def text_rows(spark: SparkSession, rows: Iterable[tuple], columns: list[str]) ->
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV with typed columns; timestamps keep their microseconds."""
-    return spark.read.csv(
-        path, header=True, schema=schema, timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-    )
+    return spark.read.option("timestampNTZFormat", CSV_TIME).csv(path, header=True, schema=schema)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(
-        path, header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS"
-    )
+    df.write.mode("overwrite").option("timestampNTZFormat", CSV_TIME).csv(path, header=True)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -82,12 +80,12 @@ def reused(df: DataFrame) -> DataFrame:
 
 def from_events(events: DataFrame, *keep: str) -> DataFrame:
     """Visits out of an event table with ``ts``, a stay in minutes in ``value`` and ``event_type``."""
-    stay = F.round(F.col("value") * 60, 1).cast("decimal(18,6)")
-    return events.select(
-        F.col("ts").cast("timestamp_ntz").alias("entry_time"),
-        (F.col("ts").cast("timestamp_ntz") + F.make_dt_interval(secs=stay)).alias("exit_time"),
-        F.when(F.col("event_type") != "error", F.col("event_type")).alias("risk_category"),
-        F.col("value").alias("duration_min"),
+    stay = "make_dt_interval(0, 0, 0, cast(round(value * 60, 1) AS decimal(18,6)))"
+    return events.selectExpr(
+        "cast(ts AS timestamp_ntz) AS entry_time",
+        f"cast(ts AS timestamp_ntz) + {stay} AS exit_time",
+        "CASE WHEN event_type != 'error' THEN event_type END AS risk_category",
+        "value AS duration_min",
         *keep,
     )
 
