@@ -82,8 +82,8 @@ def halo(df: DataFrame, ts: str, chunk_seconds: int, back_seconds: int, ahead_se
 
     A row may look ``back_seconds`` into the past and ``ahead_seconds`` into the future.
     """
-    first = floor_index(f"{ts} - INTERVAL '{ahead_seconds}' SECOND", chunk_seconds)
-    last = floor_index(f"{ts} + INTERVAL '{back_seconds}' SECOND", chunk_seconds)
+    first = floor_index(ts, chunk_seconds, -ahead_seconds)
+    last = floor_index(ts, chunk_seconds, back_seconds)
     return df.selectExpr(
         "*",
         f"{floor_index(ts, chunk_seconds)} AS {HOME}",

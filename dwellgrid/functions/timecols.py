@@ -5,34 +5,48 @@ Everything is ``timestamp_ntz``, so no result depends on the session zone.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
-# A full Gregorian cycle is 146097 days (a whole number of weeks). Counting from one
-# cycle before 1970 keeps the second counts positive, so truncation equals flooring.
-ORIGIN = "timestamp_ntz'1570-01-01 00:00:00'"
-CYCLE = "INTERVAL '146097' DAY"
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+# unix_timestamp cuts fractions towards zero, which floors only from 1970 on. Earlier times
+# are moved up by a full Gregorian cycle of 146097 days first.
+CYCLE_DAYS = 146097
 
 
-def ts_lit(value: str | datetime) -> str:
-    """A timestamp literal from text or a Python datetime; a zone on the value is dropped."""
+def at(value: str | datetime) -> datetime:
+    """A Python datetime without a zone, from text or a datetime."""
     if not isinstance(value, datetime):
         value = datetime.fromisoformat(value)
-    return f"timestamp_ntz'{value.replace(tzinfo=None).isoformat(sep=' ')}'"
+    return value.replace(tzinfo=None)
+
+
+def ts_lit(value: str | datetime, plus_minutes: int = 0) -> str:
+    """A timestamp literal, optionally some minutes later; a zone on the value is dropped."""
+    moved = at(value) + timedelta(minutes=plus_minutes)
+    return f"timestamp_ntz'{moved.isoformat(sep=' ')}'"
 
 
 def seconds(ts: str) -> str:
-    """Whole seconds since ORIGIN."""
-    return f"unix_timestamp({ts} + {CYCLE})"
+    """Whole seconds since 1970, rounded down."""
+    early = f"unix_timestamp({ts} + INTERVAL '{CYCLE_DAYS}' DAY) - {CYCLE_DAYS * 86400}L"
+    return f"(CASE WHEN {ts} >= {EPOCH} THEN unix_timestamp({ts}) ELSE {early} END)"
+
+
+def floor_index(ts: str, width_seconds: int, plus_seconds: int = 0) -> str:
+    """Number of the fixed-width interval that holds ``ts``, or ``ts`` some seconds later.
+
+    Integer work only: adding intervals to every row would cost a calendar computation each.
+    """
+    return f"floor(({seconds(ts)} + {plus_seconds}) / {width_seconds})"
 
 
-def floor_index(ts: str, width_seconds: int) -> str:
-    """Number of the fixed-width interval that holds ``ts``."""
-    return f"({seconds(ts)} div {width_seconds})"
+def interval_start(index: str, width_seconds: int) -> str:
+    return f"({EPOCH} + {index} * INTERVAL '{width_seconds}' SECOND)"
 
 
 def floor_to(ts: str, width_seconds: int) -> str:
     """Start of the half-open interval ``[start, start + width)`` that holds ``ts``."""
-    return f"({ORIGIN} + {floor_index(ts, width_seconds)} * INTERVAL '{width_seconds}' SECOND)"
+    return interval_start(floor_index(ts, width_seconds), width_seconds)
 
 
 def shift(ts: str, minutes: int | str) -> str:

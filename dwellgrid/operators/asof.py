@@ -7,13 +7,11 @@ of the same counts. So each instant only needs both running counts at a few offs
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellgrid.functions.running import running_total, window
-from dwellgrid.functions.timecols import calendar, floor_index, named, shift, ts_lit
+from dwellgrid.functions.timecols import at, calendar, floor_index, named, shift, ts_lit
 from dwellgrid.operators.grid import movements
 from dwellgrid.operators.reliability import in_bad_period, overlaps_bad_period
 from dwellgrid.settings import Settings
@@ -39,13 +37,6 @@ class HistoryError(ValueError):
     """The instant has no reliable history to build features from."""
 
 
-def as_datetime(value) -> datetime:
-    """A zone-free Python datetime from text or a datetime."""
-    if isinstance(value, str):
-        value = datetime.fromisoformat(value)
-    return value.replace(tzinfo=None)
-
-
 def active_at(t) -> Column:
     return F.expr(f"count_if(entry_time <= {ts_lit(t)} AND exit_time > {ts_lit(t)})")
 
@@ -61,15 +52,14 @@ def exits_between(a, b) -> Column:
 def ineligible_reason(ts: str, seen_entry: str | None = None, s: Settings = Settings()) -> str:
     """The first rule an instant breaks, or null if features can be built."""
     rules = [(in_bad_period(ts, s), "instant unreliable")]
-    for name, minutes in LAG_MINUTES:
-        rules.append((in_bad_period(shift(ts, -minutes), s), f"{name} unreliable"))
-    for label, minutes in FLOW_MINUTES:
-        rules.append((overlaps_bad_period(shift(ts, -minutes), ts, s), f"flow {label} unreliable"))
-    for minutes in PAST_MINUTES:
-        rules.append((in_bad_period(shift(ts, -minutes), s), "rolling unreliable"))
-    for minutes in PAST_MINUTES:
-        start, end = shift(ts, -minutes - STEP), shift(ts, -minutes)
-        rules.append((overlaps_bad_period(start, end, s), "rolling unreliable"))
+    for name, m in LAG_MINUTES:
+        rules.append((in_bad_period(ts, s, m), f"{name} unreliable"))
+    for label, m in FLOW_MINUTES:
+        rules.append((overlaps_bad_period(ts, ts, s, m, 0), f"flow {label} unreliable"))
+    for m in PAST_MINUTES:
+        rules.append((in_bad_period(ts, s, m), "rolling unreliable"))
+    for m in PAST_MINUTES:
+        rules.append((overlaps_bad_period(ts, ts, s, m + STEP, m), "rolling unreliable"))
     if seen_entry is not None:
         rules.append((f"NOT ({seen_entry})", "before first entry"))
     return f"CASE {' '.join(f'WHEN {rule} THEN {text!r}' for rule, text in rules)} END"
@@ -151,10 +141,10 @@ def _instant_counts(visits: DataFrame, instants: DataFrame, s: Settings) -> Data
         .selectExpr("*", f"{shift('prediction_time', '-__offset')} AS probe_ts")
     )
     counted = counts_at(visits, probes, s)
-    at = "max(CASE WHEN __offset = {m} THEN {c} END)"
+    cell = "max(CASE WHEN __offset = {m} THEN {c} END)"
     return counted.groupBy(*keys, "prediction_time").agg(
-        *[F.expr(at.format(m=m, c="entered")).alias(f"e_{m}") for m in OFFSETS],
-        *[F.expr(at.format(m=m, c="left")).alias(f"x_{m}") for m in OFFSETS],
+        *[F.expr(cell.format(m=m, c="entered")).alias(f"e_{m}") for m in OFFSETS],
+        *[F.expr(cell.format(m=m, c="left")).alias(f"x_{m}") for m in OFFSETS],
     )
 
 
@@ -212,12 +202,12 @@ def features_at(visits: DataFrame, instants: DataFrame, s: Settings = Settings()
 
 def features_at_one(visits: DataFrame, instant, s: Settings = Settings()) -> DataFrame:
     """The same for a single instant, by one conditional aggregation without a shuffle of visits."""
-    t = as_datetime(instant)
+    t = at(instant)
     counts = []
     for m in OFFSETS:
-        at = ts_lit(t - timedelta(minutes=m))
-        counts.append(F.expr(f"count_if(entry_time <= {at})").alias(f"e_{m}"))
-        counts.append(F.expr(f"count_if(exit_time <= {at})").alias(f"x_{m}"))
+        then = ts_lit(t, -m)
+        counts.append(F.expr(f"count_if(entry_time <= {then})").alias(f"e_{m}"))
+        counts.append(F.expr(f"count_if(exit_time <= {then})").alias(f"x_{m}"))
     row = visits.agg(*counts).selectExpr("*", f"{ts_lit(t)} AS prediction_time")
     one = row.filter(f"({ineligible_reason('prediction_time', 'e_0 > 0', s)}) IS NULL")
     return _with_horizons(one, Settings(bucket_minutes=s.bucket_minutes))
@@ -225,7 +215,7 @@ def features_at_one(visits: DataFrame, instant, s: Settings = Settings()) -> Dat
 
 def require_history(visits: DataFrame, instant, s: Settings = Settings()) -> None:
     """Raise with the reason if no features can be built at ``instant``."""
-    t = as_datetime(instant)
+    t = at(instant)
     seen = f"coalesce(first <= {ts_lit(t)}, false)"
     row = visits.agg(F.min("entry_time").alias("first")).selectExpr(
         f"{ineligible_reason(ts_lit(t), seen, s)} AS reason"

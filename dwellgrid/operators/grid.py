@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellgrid.functions.running import drop_halo, halo, in_chunk, running_total
-from dwellgrid.functions.timecols import floor_index, floor_to
+from dwellgrid.functions.timecols import floor_index, interval_start
 from dwellgrid.settings import Settings
 
 
@@ -26,21 +26,34 @@ def _summed(df: DataFrame, *by: str) -> DataFrame:
 
 
 def bucket_flow(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Arrivals and exits of every bucket with any movement, in one scan of the visits."""
+    """Arrivals and exits of every bucket with any movement, in one scan of the visits.
+
+    Rows are grouped by bucket number; only the groups are turned into timestamps.
+    """
     moves = movements(visits, s).selectExpr(
-        *s.keys, f"{floor_to('ts', s.bucket_seconds)} AS timestamp", "arrivals", "exits"
+        *s.keys, f"{floor_index('ts', s.bucket_seconds)} AS bucket", "arrivals", "exits"
+    )
+    return _summed(moves, *s.keys, "bucket").selectExpr(
+        *s.keys,
+        f"{interval_start('bucket', s.bucket_seconds)} AS timestamp",
+        "arrivals",
+        "exits",
     )
-    return _summed(moves, *s.keys, "timestamp")
+
+
+def _by_bucket(visits: DataFrame, column: str, name: str, s: Settings) -> DataFrame:
+    bucket = F.expr(floor_index(column, s.bucket_seconds)).alias("bucket")
+    counts = visits.groupBy(*s.keys, bucket).agg(F.count(F.lit(1)).alias(name))
+    start = interval_start("bucket", s.bucket_seconds)
+    return counts.selectExpr(*s.keys, f"{start} AS timestamp", name)
 
 
 def arrivals_by_bucket(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    bucket = F.expr(floor_to("entry_time", s.bucket_seconds)).alias("timestamp")
-    return visits.groupBy(*s.keys, bucket).agg(F.count(F.lit(1)).alias("arrivals"))
+    return _by_bucket(visits, "entry_time", "arrivals", s)
 
 
 def exits_by_bucket(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    bucket = F.expr(floor_to("exit_time", s.bucket_seconds)).alias("timestamp")
-    return visits.groupBy(*s.keys, bucket).agg(F.count(F.lit(1)).alias("exits"))
+    return _by_bucket(visits, "exit_time", "exits", s)
 
 
 def time_grid(flow: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,35 +140,34 @@ def acf_standard(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Setti
     )
 
 
-def _partial(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Solve the Yule-Walker equations of growing order (Durbin-Levinson) for one series."""
-    pdf = pdf.sort_values("lag_steps").reset_index(drop=True)
-    r = (pdf["autocovariance"] / pdf["autocovariance"].iloc[0]).to_numpy()
-    values, phi, rest = [1.0], r[1:1], 1.0
-    for k in range(1, len(r)):
-        last = (r[k] - phi @ r[k - 1 : 0 : -1]) / rest if k > 1 else r[1]
-        new = r[1 : k + 1].copy()
-        new[: k - 1] = phi - last * phi[::-1]
-        new[k - 1] = last
-        phi, rest = new, rest * (1.0 - last * last)
-        values.append(float(last))
-    return pdf.assign(partial_autocorrelation=values)
-
-
 def pacf(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -> DataFrame:
     """Partial autocorrelation of the longest reliable segment with a 95 % band.
 
     The sums over the series run in Spark; the recursion gets the ``max_lag + 1``
     autocovariances of a series and nothing else.
     """
+
+    # Local, so that it travels with the plan and workers need not import this package.
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The Yule-Walker equations of growing order (Durbin-Levinson) for one series."""
+        pdf = pdf.sort_values("lag_steps").reset_index(drop=True)
+        r = (pdf["autocovariance"] / pdf["autocovariance"].iloc[0]).to_numpy()
+        values, phi, rest = [1.0], r[1:1], 1.0
+        for k in range(1, len(r)):
+            past = r[1:k]
+            last = (r[k] - phi @ past[::-1]) / rest
+            phi = np.append(phi - last * phi[::-1], last)
+            rest *= 1.0 - last * last
+            values.append(float(last))
+        return pdf.assign(partial_autocorrelation=values)
+
     series = longest_segment(flagged, s).selectExpr(
         *s.keys, "timestamp", "cast(active_vehicles AS double) AS x"
     )
-    cov = _autocovariance(series, max_lag, s)
+    cov = _autocovariance(series, max_lag, s).selectExpr("*", "0 AS __one")
     schema = ", ".join(f"{name} {kind}" for name, kind in cov.dtypes)
-    series_key = list(s.keys) or [F.lit(0)]
-    solved = cov.groupBy(*series_key).applyInPandas(
-        _partial, f"{schema}, partial_autocorrelation double"
+    solved = cov.groupBy(*s.keys, "__one").applyInPandas(
+        solve, f"{schema}, partial_autocorrelation double"
     )
     half = f"CASE WHEN lag_steps = 0 THEN 0.0D ELSE {NORMAL_95}D / sqrt(n) END"
     return solved.selectExpr(

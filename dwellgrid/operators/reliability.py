@@ -10,16 +10,29 @@ from dwellgrid.functions.timecols import floor_index, floor_to, ts_lit
 from dwellgrid.settings import Settings
 
 
-def in_bad_period(ts: str, s: Settings = Settings()) -> str:
-    """Whether an instant lies in a listed half-open period."""
-    hits = [f"({ts} >= {ts_lit(a)} AND {ts} < {ts_lit(b)})" for a, b in s.bad_periods()]
+def in_bad_period(ts: str, s: Settings = Settings(), back: int = 0) -> str:
+    """Whether the instant ``back`` minutes before ``ts`` lies in a listed half-open period.
+
+    The minutes go into the literals, so that a row costs comparisons only.
+    """
+    hits = [
+        f"({ts} >= {ts_lit(a, back)} AND {ts} < {ts_lit(b, back)})" for a, b in s.bad_periods()
+    ]
     return f"({' OR '.join(hits) or 'false'})"
 
 
-def overlaps_bad_period(start: str, end: str, s: Settings = Settings()) -> str:
-    """Whether the interval (start, end] overlaps a bad period; an empty one never does."""
-    hits = [f"({start} < {ts_lit(b)} AND {end} > {ts_lit(a)})" for a, b in s.bad_periods()]
-    return f"({end} > {start} AND ({' OR '.join(hits) or 'false'}))"
+def overlaps_bad_period(
+    start: str, end: str, s: Settings = Settings(), start_back: int = 0, end_back: int = 0
+) -> str:
+    """Whether the interval (start, end], which must not be empty, overlaps a bad period.
+
+    Both ends may lie some minutes before the given expressions.
+    """
+    hits = [
+        f"({start} < {ts_lit(b, start_back)} AND {end} > {ts_lit(a, end_back)})"
+        for a, b in s.bad_periods()
+    ]
+    return f"({' OR '.join(hits) or 'false'})"
 
 
 def flag(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -118,7 +131,7 @@ def longest_segment(flagged: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def interval_overlap(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Whether each stay (entry, exit] overlaps a bad period."""
-    overlaps = overlaps_bad_period("entry_time", "exit_time", s)
+    overlaps = f"exit_time > entry_time AND {overlaps_bad_period('entry_time', 'exit_time', s)}"
     return visits.selectExpr("*", f"{overlaps} AS overlaps_bad")
 
 

@@ -103,6 +103,18 @@ def long_of(spark: SparkSession, sf: str) -> DataFrame:
     return supervised.long_set(wide_of(spark, sf), S)
 
 
+def flagged_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagged grid as a stored table, for analyses that read it several times.
+
+    The visits are then scanned once, and no plan repeats the way from visits to grid.
+    """
+    return storage.written(flagged_of(spark, sf), "grid")
+
+
+def wide_table(spark: SparkSession, sf: str) -> DataFrame:
+    return storage.written(wide_of(spark, sf), "wide")
+
+
 # ---- sources and cleaning --------------------------------------------------------------
 
 
@@ -268,12 +280,12 @@ def bad_period_counts(spark, sf):
 
 @query
 def reliable_segments(spark, sf):
-    return reliability.reliable_segments(flagged_of(spark, sf), S)
+    return reliability.reliable_segments(flagged_table(spark, sf), S)
 
 
 @query
 def longest_segment(spark, sf):
-    return reliability.longest_segment(flagged_of(spark, sf), S)
+    return reliability.longest_segment(flagged_table(spark, sf), S)
 
 
 @query
@@ -360,7 +372,7 @@ def split_counts(spark, sf):
 
 @query
 def split_bounds(spark, sf):
-    return supervised.split_bounds(supervised.one_horizon(wide_of(spark, sf), 180, S), S)
+    return supervised.split_bounds(supervised.one_horizon(wide_table(spark, sf), 180, S), S)
 
 
 @query
@@ -370,7 +382,7 @@ def split_ranges(spark, sf):
 
 @query
 def target_audit(spark, sf):
-    wide = wide_of(spark, sf)
+    wide = wide_table(spark, sf)
     return supervised.target_audit(wide, supervised.long_set(wide, S), S)
 
 
@@ -599,12 +611,12 @@ def weekday_comparison(spark, sf):
 
 @query
 def mismatch_days(spark, sf):
-    return rounded(profile.mismatch_days(grid_of(spark, sf), S))
+    return rounded(profile.mismatch_days(flagged_table(spark, sf), S))
 
 
 @query
 def daily_detail(spark, sf):
-    return rounded(profile.daily_detail(visits(spark, sf), grid_of(spark, sf), S))
+    return rounded(profile.daily_detail(visits(spark, sf), flagged_table(spark, sf), S))
 
 
 @query
@@ -632,12 +644,12 @@ def acf_full(spark, sf):
 
 @query
 def acf_standard(spark, sf):
-    return rounded(lagstats.acf_standard(flagged_of(spark, sf), ACF_LAGS, S))
+    return rounded(lagstats.acf_standard(flagged_table(spark, sf), ACF_LAGS, S))
 
 
 @query
 def pacf(spark, sf):
-    return rounded(lagstats.pacf(flagged_of(spark, sf), ACF_LAGS, S))
+    return rounded(lagstats.pacf(flagged_table(spark, sf), ACF_LAGS, S))
 
 
 # ---- baselines and metrics -------------------------------------------------------------
@@ -661,12 +673,12 @@ def baseline_persistence(spark, sf):
 
 @query
 def baseline_hourly_mean(spark, sf):
-    return rounded(evaluate.point_metrics(evaluate.hourly_mean(long_of(spark, sf), S)))
+    return rounded(evaluate.point_metrics(evaluate.hourly_mean(supervised.long_set(wide_table(spark, sf), S), S)))
 
 
 @query
 def baseline_previous_day(spark, sf):
-    return rounded(evaluate.previous_day_metrics(long_of(spark, sf), S))
+    return rounded(evaluate.previous_day_metrics(supervised.long_set(wide_table(spark, sf), S), S))
 
 
 @query
@@ -695,7 +707,7 @@ def quantile_crossing(spark, sf):
 @query
 def promotion_decision(spark, sf):
     """The hourly mean as candidate against persistence as the active model."""
-    long = long_of(spark, sf)
+    long = supervised.long_set(wide_table(spark, sf), S)
 
     def summary(version: str, scored: DataFrame) -> DataFrame:
         return evaluate.metric_summary(evaluate.point_metrics(scored)).select(
