@@ -20,19 +20,16 @@ def percentiles(
     """One row per ``keys`` with the non-null count ``n`` and a column per entry of ``probs``.
 
     Linear interpolation between the closest ranks, as in ``percentile``. Equal values are
-    counted first, map-side, so one frequent value costs one row. Ranks are located through
-    cells of ``cell_width``; only the few cells that hold a wanted rank are sorted.
+    counted first, map-side, so one frequent value costs one row. A first pass counts cells of
+    ``cell_width``, which locates the wanted ranks; a second pass sorts only the values of the
+    few cells that hold one. Without keys those cells number at most two per entry of
+    ``probs``, so they are broadcast and the second pass shuffles nothing else.
     """
     keys = list(keys)
-    per_value = (
-        df.filter(f"{value} IS NOT NULL")
-        .selectExpr(*keys, f"cast({value} AS double) AS __v")
-        .groupBy(*keys, "__v")
-        .count()
-        .selectExpr(*keys, "__v", "count AS __n", f"floor(__v / {cell_width}D) AS __cell")
-    )
+    rows = df.filter(f"{value} IS NOT NULL").selectExpr(*keys, f"cast({value} AS double) AS __v")
+    rows = rows.selectExpr("*", f"floor(__v / {cell_width}D) AS __cell")
     whole = f"OVER ({'PARTITION BY ' + ', '.join(keys) if keys else ''})"
-    cells = per_value.groupBy(*keys, "__cell").sum("__n").withColumnRenamed("sum(__n)", "__n")
+    cells = rows.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"))
     cells = running_total(cells, ["__cell"], {"__upto": "__n"}, keys)
 
     wanted = []
@@ -56,6 +53,10 @@ def percentiles(
     )
     same = " AND ".join(["__cell = __hit_cell", *[f"{k} <=> __k_{k}" for k in keys]])
     within = window([*keys, "__cell"], ["__v"])[:-1] + " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    if not keys:
+        rows = rows.join(F.broadcast(hits.select("__hit_cell")), F.expr(same), "left_semi")
+        hits = F.broadcast(hits)
+    per_value = rows.groupBy(*keys, "__cell", "__v").agg(F.count(F.lit(1)).alias("__n"))
     ranked = (
         per_value.join(hits, F.expr(same))
         .selectExpr(*keys, "n", "__v", "__n", "__wanted", f"__before + sum(__n) {within} AS __to")

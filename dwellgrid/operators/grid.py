@@ -17,27 +17,26 @@ def movements(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     )
 
 
-def _summed(df: DataFrame, *by: str) -> DataFrame:
+def _numbered_flow(visits: DataFrame, s: Settings) -> DataFrame:
+    """Arrivals and exits per bucket number with any movement, in one scan of the visits."""
     return (
-        df.groupBy(*by)
-        .sum("arrivals", "exits")
-        .withColumnsRenamed({"sum(arrivals)": "arrivals", "sum(exits)": "exits"})
+        movements(visits, s)
+        .selectExpr(
+            *s.keys, f"{floor_index('ts', s.bucket_seconds)} AS bucket", "arrivals", "exits"
+        )
+        .groupBy(*s.keys, "bucket")
+        .agg(F.sum("arrivals").alias("arrivals"), F.sum("exits").alias("exits"))
     )
 
 
 def bucket_flow(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Arrivals and exits of every bucket with any movement, in one scan of the visits.
+    """Arrivals and exits of every bucket with any movement.
 
     Rows are grouped by bucket number; only the groups are turned into timestamps.
     """
-    moves = movements(visits, s).selectExpr(
-        *s.keys, f"{floor_index('ts', s.bucket_seconds)} AS bucket", "arrivals", "exits"
-    )
-    return _summed(moves, *s.keys, "bucket").selectExpr(
-        *s.keys,
-        f"{interval_start('bucket', s.bucket_seconds)} AS timestamp",
-        "arrivals",
-        "exits",
+    start = interval_start("bucket", s.bucket_seconds)
+    return _numbered_flow(visits, s).selectExpr(
+        *s.keys, f"{start} AS timestamp", "arrivals", "exits"
     )
 
 
@@ -56,36 +55,92 @@ def exits_by_bucket(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     return _by_bucket(visits, "exit_time", "exits", s)
 
 
-def time_grid(flow: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Every bucket from the first to the last one of each series."""
-    step = f"INTERVAL '{s.bucket_seconds}' SECOND"
-    bounds = flow.groupBy(*s.keys).agg(
-        F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")
+def _buckets_per_chunk(s: Settings) -> int:
+    return max(1, s.chunk_seconds // s.bucket_seconds)
+
+
+def _all_buckets(flow: DataFrame, s: Settings) -> DataFrame:
+    """Every bucket from the first to the last one of each series.
+
+    The flow is reduced to one row per chunk of buckets. These few rows give the bounds of the
+    series, the chunks in which nothing happened, and the number inside before each chunk
+    (``carry``). Chunks are then unfolded into buckets one by one, so no array is long.
+    """
+    n = _buckets_per_chunk(s)
+    chunks = flow.groupBy(*s.keys, F.expr(f"floor(bucket / {n})").alias("part")).agg(
+        F.min("bucket").alias("lo"),
+        F.max("bucket").alias("hi"),
+        F.expr("sum(arrivals - exits)").alias("own"),
+    )
+    by = f"PARTITION BY {', '.join(s.keys)}" if s.keys else ""
+    spans = chunks.selectExpr(
+        *s.keys,
+        "part",
+        "own",
+        f"min(lo) OVER ({by}) AS first",
+        f"max(hi) OVER ({by}) AS last",
+        f"sum(own) OVER ({by} ORDER BY part ROWS UNBOUNDED PRECEDING) AS after",
+        f"coalesce(lead(part) OVER ({by} ORDER BY part), part + 1) AS next",
     )
-    # First days, then the buckets of a day: no long array in one row.
-    return bounds.selectExpr(
-        *s.keys, "hi", "explode(sequence(lo, hi, INTERVAL '1' DAY)) AS day"
-    ).selectExpr(
+    each = spans.selectExpr("*", "explode(sequence(part, next - 1)) AS p")
+    return each.selectExpr(
         *s.keys,
-        f"explode(sequence(day, least(hi, day + INTERVAL '1' DAY - {step}), {step})) AS timestamp",
+        "p AS part",
+        f"explode(sequence(greatest(first, p * {n}), least(last, p * {n} + {n - 1}))) AS bucket",
+        "if(p = part, after - own, after) AS carry",
+    )
+
+
+def _dense(visits: DataFrame, s: Settings) -> DataFrame:
+    """Every bucket with its flow and the carry of its chunk, partitioned by series and chunk.
+
+    The aggregation here and any window per chunk run on the one shuffle asked for.
+    """
+    flow = _numbered_flow(visits, s)
+    part = f"floor(bucket / {_buckets_per_chunk(s)}) AS part"
+    rows = flow.selectExpr(*s.keys, part, "bucket", "arrivals", "exits", "cast(null AS bigint) AS carry")
+    empty = _all_buckets(flow, s).selectExpr(*s.keys, "part", "bucket", "0L", "0L", "carry")
+    return (
+        rows.union(empty)
+        .repartition(*s.keys, "part")
+        .groupBy(*s.keys, "part", "bucket")
+        .agg(
+            F.sum("arrivals").alias("arrivals"),
+            F.sum("exits").alias("exits"),
+            F.max("carry").alias("carry"),
+        )
     )
 
 
+def time_grid(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
+    start = interval_start("bucket", s.bucket_seconds)
+    buckets = _all_buckets(_numbered_flow(visits, s), s)
+    return buckets.selectExpr(*s.keys, f"{start} AS timestamp")
+
+
 def flow_grid(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The complete grid with arrivals, exits (zero where nothing happened) and net flow."""
-    flow = bucket_flow(visits, s)
-    empty = time_grid(flow, s).selectExpr(*s.keys, "timestamp", "0L AS arrivals", "0L AS exits")
-    return _summed(flow.union(empty), *s.keys, "timestamp").selectExpr(
-        "*", "arrivals - exits AS net_flow"
+    start = interval_start("bucket", s.bucket_seconds)
+    return _dense(visits, s).selectExpr(
+        *s.keys, f"{start} AS timestamp", "arrivals", "exits", "arrivals - exits AS net_flow"
     )
 
 
 def occupancy_grid(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The grid with ``active_vehicles``: everyone inside at the end of the bucket."""
-    grid = flow_grid(visits, s).selectExpr(
-        "*", f"{floor_index('timestamp', s.chunk_seconds)} AS __part"
+    """The grid with ``active_vehicles``: everyone inside at the end of the bucket.
+
+    A running sum within the chunk on top of the number inside before it.
+    """
+    by = ", ".join([*s.keys, "part"])
+    inside = f"sum(arrivals - exits) OVER (PARTITION BY {by} ORDER BY bucket ROWS UNBOUNDED PRECEDING)"
+    return _dense(visits, s).selectExpr(
+        *s.keys,
+        f"{interval_start('bucket', s.bucket_seconds)} AS timestamp",
+        "arrivals",
+        "exits",
+        "arrivals - exits AS net_flow",
+        f"carry + {inside} AS active_vehicles",
     )
-    return running_total(grid, ["timestamp"], {"active_vehicles": "net_flow"}, s.keys, ["__part"])
 
 
 def event_occupancy(visits: DataFrame, s: Settings = Settings()) -> DataFrame:

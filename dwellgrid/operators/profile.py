@@ -488,9 +488,9 @@ def daily_state(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
         movements(visits, s)
         .groupBy(*s.keys, F.to_date("ts").alias("date"))
         .agg(F.sum("arrivals").alias("__came"), F.expr("sum(arrivals - exits)").alias("__change"))
-        .selectExpr("*", "year(date) AS __year")
     )
-    total = running_total(changes, ["date"], {"ending_occupancy": "__change"}, s.keys, ["__year"])
+    # One row per day and series: the days of a century fit one task.
+    total = running_total(changes, ["date"], {"ending_occupancy": "__change"}, s.keys)
     return total.filter(is_complete_day(F.col("date"), s) & (F.col("__came") > 0)).selectExpr(
         *s.keys,
         "date",

@@ -204,7 +204,7 @@ def exits_15m(spark, sf):
 
 @query
 def time_grid(spark, sf):
-    return grid.time_grid(grid.bucket_flow(visits(spark, sf), S), S)
+    return grid.time_grid(visits(spark, sf), S)
 
 
 @query
@@ -328,7 +328,7 @@ def rolling_means(spark, sf):
 
 @query
 def calendar_features(spark, sf):
-    return features.with_calendar(grid.time_grid(grid.bucket_flow(visits(spark, sf), S), S))
+    return features.with_calendar(grid.time_grid(visits(spark, sf), S))
 
 
 @query
