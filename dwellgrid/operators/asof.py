@@ -31,6 +31,8 @@ FLOW_MINUTES = (("15m", 15), ("30m", 30), ("1h", 60))
 PAST_MINUTES = (15, 30, 45, 60)
 STEP = 15
 OFFSETS = (0, 15, 30, 45, 60, 75, 120, 180, 240, 360, 1440)
+# Up to this many chunks with probes (some 20 MB) are sent to every executor.
+FEW_CHUNKS = 500_000
 
 
 class HistoryError(ValueError):
@@ -70,7 +72,8 @@ def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) ->
 
     ``probes`` has the series keys, ``probe_ts`` and any columns to carry along. The visits
     are reduced map-side to movements per fine chunk, whose totals give the count before a
-    chunk; only movements in chunks that hold a probe are put in order.
+    chunk. Then movements and probes are put in order within their chunks. If the probes lie in
+    few chunks, which is counted first, only the movements there leave the scan.
     """
     keys = list(s.keys)
     moves = movements(visits, s).selectExpr(
@@ -96,11 +99,13 @@ def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) ->
         .selectExpr(*keys, "__fine", "__a - arrivals AS arrivals", "__x - exits AS exits")
     )
 
-    near = probed.selectExpr("__fine AS __p_fine", *[f"{k} AS __p_{k}" for k in keys])
-    same = " AND ".join(["__fine = __p_fine", *[f"{k} <=> __p_{k}" for k in keys]])
+    if probed.count() <= FEW_CHUNKS:
+        near = probed.selectExpr("__fine AS __p_fine", *[f"{k} AS __p_{k}" for k in keys])
+        same = " AND ".join(["__fine = __p_fine", *[f"{k} <=> __p_{k}" for k in keys]])
+        moves = moves.join(F.broadcast(near), F.expr(same), "left_semi")
+    # Movements at the same microsecond meet map-side, so a busy instant is one row.
     inside = (
-        moves.join(near, F.expr(same), "left_semi")
-        .groupBy(*keys, "__fine", "ts")
+        moves.groupBy(*keys, "__fine", "ts")
         .sum("arrivals", "exits")
         .toDF(*keys, "__fine", "ts", "arrivals", "exits")
     )
