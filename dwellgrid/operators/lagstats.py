@@ -95,14 +95,15 @@ def _numbered(series: DataFrame, s: Settings) -> DataFrame:
     ).selectExpr(*s.keys, "__place - 1 AS pos", "x")
 
 
-def _autocovariance(series: DataFrame, max_lag: int, s: Settings) -> DataFrame:
-    """Per lag the covariance sum around the one overall mean, divided by n, and n.
+def _autocovariance(placed: DataFrame, max_lag: int, s: Settings) -> DataFrame:
+    """Of rows (pos, x) without gaps in ``pos``: per lag the covariance sum around the overall mean,
+    divided by n, and n.
 
     With the sums of x, y and xy over the pairs of a lag and the overall mean from lag 0,
     sum (x - m)(y - m) = sum xy - m (sum x + sum y) + pairs * m * m.
     """
     length = 4 * max_lag
-    near = _numbered(series, s).selectExpr(
+    near = placed.selectExpr(
         "*",
         f"pos div {length} AS {HOME}",
         f"explode(sequence(pos div {length}, (pos + {max_lag}) div {length})) AS {CHUNK}",
@@ -129,7 +130,8 @@ def _autocovariance(series: DataFrame, max_lag: int, s: Settings) -> DataFrame:
 
 def acf_standard(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -> DataFrame:
     """Autocorrelation of the series with the unreliable rows cut out, one mean, n in the divisor."""
-    cov = _autocovariance(_masked_series(flagged, s).filter("x IS NOT NULL"), max_lag, s)
+    cut = _masked_series(flagged, s).filter("x IS NOT NULL")
+    cov = _autocovariance(_numbered(cut, s), max_lag, s)
     over = f"OVER ({'PARTITION BY ' + ', '.join(s.keys) if s.keys else ''})"
     zero = f"max(CASE WHEN lag_steps = 0 THEN autocovariance END) {over}"
     return cov.selectExpr(
@@ -161,8 +163,10 @@ def pacf(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -
             values.append(float(last))
         return pdf.assign(partial_autocorrelation=values)
 
+    # A segment has every bucket, so the bucket number is the position.
+    place = floor_index("timestamp", s.bucket_seconds)
     series = longest_segment(flagged, s).selectExpr(
-        *s.keys, "timestamp", "cast(active_vehicles AS double) AS x"
+        *s.keys, f"{place} AS pos", "cast(active_vehicles AS double) AS x"
     )
     cov = _autocovariance(series, max_lag, s).selectExpr("*", "0 AS __one")
     schema = ", ".join(f"{name} {kind}" for name, kind in cov.dtypes)
