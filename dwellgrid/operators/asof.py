@@ -14,20 +14,9 @@ from dwellgrid.functions.running import running_total, window
 from dwellgrid.functions.timecols import at, calendar, floor_index, named, shift, ts_lit
 from dwellgrid.operators.grid import movements
 from dwellgrid.operators.reliability import in_bad_period, overlaps_bad_period
-from dwellgrid.settings import Settings
-
-# Minutes before the instant that the features read.
-LAG_MINUTES = (
-    ("lag_15m", 15),
-    ("lag_30m", 30),
-    ("lag_1h", 60),
-    ("lag_2h", 120),
-    ("lag_3h", 180),
-    ("lag_4h", 240),
-    ("lag_6h", 360),
-    ("lag_24h", 1440),
-)
-FLOW_MINUTES = (("15m", 15), ("30m", 30), ("1h", 60))
+from dwellgrid.settings import FLOW_MINUTES, LAG_MINUTES, Settings
+
+# Minutes before the instant at which the counts are read.
 PAST_MINUTES = (15, 30, 45, 60)
 STEP = 15
 OFFSETS = (0, 15, 30, 45, 60, 75, 120, 180, 240, 360, 1440)

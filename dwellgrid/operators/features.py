@@ -17,9 +17,10 @@ from dwellgrid.operators import reliability
 from dwellgrid.settings import (
     CHANGE_LAGS,
     FLOW_COLUMNS,
-    FLOW_WIDTHS,
-    OCCUPANCY_LAGS,
+    FLOW_MINUTES,
+    LAG_MINUTES,
     ROLLING_COLUMNS,
+    ROLLING_MINUTES,
     Settings,
 )
 
@@ -40,28 +41,34 @@ def _all_reliable(k: int, s: Settings) -> str:
     return f"count_if(is_reliable) {_before(k, s)} = {k}"
 
 
+def _if_reliable(function: str, k: int, s: Settings) -> str:
+    """The occupancy ``k`` rows away, if that row exists and is reliable."""
+    w = _here(s)
+    return f"CASE WHEN {function}(is_reliable, {k}) {w} THEN {function}(active_vehicles, {k}) {w} END"
+
+
 def raw_lags(s: Settings) -> dict[str, str]:
-    return {name: f"lag(active_vehicles, {k}) {_here(s)}" for name, k in OCCUPANCY_LAGS}
+    w = _here(s)
+    return {name: f"lag(active_vehicles, {s.steps(m)}) {w}" for name, m in LAG_MINUTES}
 
 
 def masked_lags(s: Settings) -> dict[str, str]:
-    w = _here(s)
-    return {
-        name: f"CASE WHEN lag(is_reliable, {k}) {w} THEN lag(active_vehicles, {k}) {w} END"
-        for name, k in OCCUPANCY_LAGS
-    }
+    return {name: _if_reliable("lag", s.steps(m), s) for name, m in LAG_MINUTES}
 
 
 def flow_sums(s: Settings) -> dict[str, str]:
-    return {
-        f"{column}_{label}": f"CASE WHEN {_all_reliable(k, s)} THEN sum({column}) {_before(k, s)} END"
-        for column in FLOW_COLUMNS
-        for label, k in FLOW_WIDTHS
-    }
+    out = {}
+    for column in FLOW_COLUMNS:
+        for label, minutes in FLOW_MINUTES:
+            k = s.steps(minutes)
+            out[f"{column}_{label}"] = (
+                f"CASE WHEN {_all_reliable(k, s)} THEN sum({column}) {_before(k, s)} END"
+            )
+    return out
 
 
 def rolling_means(s: Settings) -> dict[str, str]:
-    k = s.rolling_steps
+    k = s.steps(ROLLING_MINUTES)
     return {
         f"rolling_mean_{name}_1h": f"CASE WHEN {_all_reliable(k, s)} THEN avg({column}) {_before(k, s)} END"
         for name, column in ROLLING_COLUMNS
@@ -69,19 +76,12 @@ def rolling_means(s: Settings) -> dict[str, str]:
 
 
 def targets(s: Settings) -> dict[str, str]:
-    w = _here(s)
-    out = {}
-    for minutes in s.horizons:
-        k = s.horizon_steps(minutes)
-        out[f"target_{minutes}m"] = (
-            f"CASE WHEN lead(is_reliable, {k}) {w} THEN lead(active_vehicles, {k}) {w} END"
-        )
-    return out
+    return {f"target_{m}m": _if_reliable("lead", s.steps(m), s) for m in s.horizons}
 
 
 def with_windows(flagged: DataFrame, *makers: Maker, s: Settings = Settings()) -> DataFrame:
     """Add the columns of ``makers``, computed per time chunk."""
-    back = max(k for _, k in OCCUPANCY_LAGS) * s.bucket_seconds
+    back = max(m for _, m in LAG_MINUTES) * 60
     ahead = max(s.horizons) * 60
     near = halo(flagged, "timestamp", s.chunk_seconds, back, ahead)
     columns = {name: text for make in makers for name, text in make(s).items()}

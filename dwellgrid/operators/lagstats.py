@@ -19,17 +19,17 @@ from dwellgrid.functions.timecols import floor_index
 from dwellgrid.operators.reliability import longest_segment
 from dwellgrid.settings import Settings
 
-# The labelled lags of the horizon study, in grid steps.
+# The labelled lags of the horizon study, in minutes.
 STUDY_LAGS = (
-    ("15 min", 1),
-    ("30 min", 2),
-    ("1 hour", 4),
-    ("2 hours", 8),
-    ("3 hours", 12),
-    ("4 hours", 16),
-    ("6 hours", 24),
-    ("24 hours", 96),
-    ("7 days", 672),
+    ("15 min", 15),
+    ("30 min", 30),
+    ("1 hour", 60),
+    ("2 hours", 120),
+    ("3 hours", 180),
+    ("4 hours", 240),
+    ("6 hours", 360),
+    ("24 hours", 1440),
+    ("7 days", 10080),
 )
 MAX_LAG = 672
 NORMAL_95 = 1.959963984540054
@@ -49,6 +49,7 @@ def _near(flagged: DataFrame, steps: int, s: Settings) -> DataFrame:
 
 def acf_at(flagged: DataFrame, lags: Sequence[tuple[str, int]] = STUDY_LAGS, s: Settings = Settings()) -> DataFrame:
     """Pearson correlation with each labelled lag over the pairs where both ends are reliable."""
+    lags = [(label, s.steps(minutes)) for label, minutes in lags]
     near = _near(flagged, max(k for _, k in lags), s)
     w = in_chunk(s.keys, "timestamp")
     rows = drop_halo(near.selectExpr("*", *[f"lag(x, {k}) {w} AS x_{k}" for _, k in lags]))

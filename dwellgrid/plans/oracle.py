@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dwellgrid.operators.asof import FLOW_MINUTES, LAG_MINUTES, OFFSETS, PAST_MINUTES
+from dwellgrid.operators.asof import OFFSETS, PAST_MINUTES
 from dwellgrid.operators.lagstats import STUDY_LAGS
 from dwellgrid.plans.catalog import ACF_LAGS, FLOW_BOUNDS, FROM_TIME, INSTANT, S
-from dwellgrid.settings import FLOW_COLUMNS, FLOW_WIDTHS, OCCUPANCY_LAGS
+from dwellgrid.settings import FLOW_COLUMNS, FLOW_MINUTES, LAG_MINUTES
 
 W = "INTERVAL 15 MINUTE"
+STEPS = [(name, m // 15) for name, m in LAG_MINUTES]
 
 
 def r(x: str, digits: int = 6) -> str:
@@ -54,7 +55,7 @@ def grid_ctes(keys: tuple[str, ...] = ()) -> str:
     group = f"GROUP BY {', '.join(keys)}" if keys else ""
     lags = [
         f"CASE WHEN lag(is_reliable, {n}) OVER w THEN lag(active_vehicles, {n}) OVER w END AS {name}"
-        for name, n in OCCUPANCY_LAGS
+        for name, n in STEPS
     ]
 
     def frame(n: int) -> str:
@@ -66,7 +67,7 @@ def grid_ctes(keys: tuple[str, ...] = ()) -> str:
     flows = [
         f"CASE WHEN {full(n)} THEN CAST(sum({c}) {frame(n)} AS BIGINT) END AS {c}_{label}"
         for c in FLOW_COLUMNS
-        for label, n in FLOW_WIDTHS
+        for label, n in ((label, m // 15) for label, m in FLOW_MINUTES)
     ]
     means = [
         f"CASE WHEN {full(4)} THEN avg({c}) {frame(4)} END AS rolling_mean_{name}_1h"
@@ -280,7 +281,7 @@ def _acf_rows() -> str:
     return " UNION ALL ".join(
         f"SELECT '{label}' AS horizon, {k} AS lag_steps, {r('corr(x, y)')} AS autocorrelation, "
         f"count(x + y) AS valid_pairs FROM (SELECT x, lag(x, {k}) OVER (ORDER BY timestamp) AS y FROM series)"
-        for label, k in STUDY_LAGS
+        for label, k in ((label, m // 15) for label, m in STUDY_LAGS)
     )
 
 
@@ -436,7 +437,7 @@ def oracle_sql() -> dict[str, str]:
         "occupancy_lags_raw": (
             GRID,
             "SELECT timestamp, active_vehicles, "
-            + ", ".join(f"lag(active_vehicles, {n}) OVER (ORDER BY timestamp) AS {name}" for name, n in OCCUPANCY_LAGS)
+            + ", ".join(f"lag(active_vehicles, {n}) OVER (ORDER BY timestamp) AS {name}" for name, n in STEPS)
             + " FROM occ",
         ),
         "occupancy_lags": (GRID, f"SELECT timestamp, {', '.join(S.lag_names)} FROM wide"),

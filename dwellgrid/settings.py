@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-# Lookback steps, window widths, horizons, unreliable dates and
+# Lookbacks, window widths and horizons in minutes, unreliable dates and
 # split bounds that results have to agree with.
-OCCUPANCY_LAGS = (
-    ("lag_15m", 1),
-    ("lag_30m", 2),
-    ("lag_1h", 4),
-    ("lag_2h", 8),
-    ("lag_3h", 12),
-    ("lag_4h", 16),
-    ("lag_6h", 24),
-    ("lag_24h", 96),
+LAG_MINUTES = (
+    ("lag_15m", 15),
+    ("lag_30m", 30),
+    ("lag_1h", 60),
+    ("lag_2h", 120),
+    ("lag_3h", 180),
+    ("lag_4h", 240),
+    ("lag_6h", 360),
+    ("lag_24h", 1440),
 )
-FLOW_WIDTHS = (("15m", 1), ("30m", 2), ("1h", 4))
+FLOW_MINUTES = (("15m", 15), ("30m", 30), ("1h", 60))
+ROLLING_MINUTES = 60
+SHORTEST = 15
 FLOW_COLUMNS = ("arrivals", "exits", "net_flow")
 CHANGE_LAGS = ("15m", "1h", "2h")
 ROLLING_COLUMNS = (
@@ -44,10 +46,17 @@ class Settings:
     washouts: tuple[tuple[str, str], ...] = (("2026-08-24 00:00:00", "2026-08-24 12:00:00"),)
     train_end: str = "2026-09-05 04:45:00"
     validation_end: str = "2026-09-11 18:00:00"
-    rolling_steps: int = 4
     chunk_days: int = 7
     fine_seconds: int = 60
 
+    def __post_init__(self) -> None:
+        if self.bucket_minutes < 1 or SHORTEST % self.bucket_minutes:
+            raise ValueError(f"a bucket has to divide {SHORTEST} minutes")
+
+    def steps(self, minutes: int) -> int:
+        """Grid rows in a number of minutes."""
+        return minutes // self.bucket_minutes
+
     @property
     def bucket_seconds(self) -> int:
         return self.bucket_minutes * 60
@@ -58,11 +67,11 @@ class Settings:
 
     @property
     def lag_names(self) -> list[str]:
-        return [name for name, _ in OCCUPANCY_LAGS]
+        return [name for name, _ in LAG_MINUTES]
 
     @property
     def flow_names(self) -> list[str]:
-        return [f"{c}_{w}" for c in FLOW_COLUMNS for w, _ in FLOW_WIDTHS]
+        return [f"{c}_{w}" for c in FLOW_COLUMNS for w, _ in FLOW_MINUTES]
 
     @property
     def change_names(self) -> list[str]:
@@ -96,9 +105,6 @@ class Settings:
     def model_features(self) -> list[str]:
         return [*self.base_features, "horizon_minutes"]
 
-    def horizon_steps(self, minutes: int) -> int:
-        return minutes // self.bucket_minutes
-
     def bad_periods(self) -> list[tuple[str, str]]:
         """All unreliable periods as half-open ``[start, end)`` text pairs."""
         from datetime import date, timedelta

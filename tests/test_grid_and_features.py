@@ -201,3 +201,20 @@ def test_duplicates(make_visits):
     v = make_visits([(*a, "RED"), (*a, "GREEN"), (*b, "RED"), (*b, "RED"), ("2024-01-01 10:00:00", "2024-01-01 10:01:00")])
     assert profile.duplicate_members(v, ["entry_time", "exit_time"]).count() == 4
     assert profile.duplicate_rows(v, v.columns).first()[0] == 1
+
+
+def test_bucket_width_is_a_parameter(spark):
+    with pytest.raises(ValueError):
+        replace(S, bucket_minutes=4)
+    v = catalog.visits(spark, DATA)
+    fine = features.wide_frame(v, replace(S, bucket_minutes=5))
+    coarse = features.wide_frame(v, S)
+    # The end of a 15-minute bucket is the end of its third 5-minute bucket.
+    both = coarse.select("timestamp", "active_vehicles", "is_reliable").join(
+        fine.selectExpr("timestamp - INTERVAL '10' MINUTE AS timestamp", "active_vehicles AS a", "lag_1h"), "timestamp"
+    )
+    assert both.count() > 2800 and both.filter("a != active_vehicles").count() == 0
+    lagged = fine.selectExpr("timestamp + INTERVAL '1' HOUR AS timestamp", "active_vehicles AS before", "is_reliable AS ok")
+    joined = fine.filter("lag_1h IS NOT NULL").join(lagged, "timestamp")
+    assert joined.filter("before != lag_1h OR NOT ok").count() == 0
+    assert joined.count() == lagged.filter("ok").join(fine, "timestamp").count() > 0
