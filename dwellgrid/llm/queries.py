@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellgrid.llm import packing, quality, toxicity, urlfilter
+from dwellgrid.llm import neardup, packing, pii, quality, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,35 @@ def op1_toxicity(spark, sf):
     )
 
 
+@query
+def op2_minhash_near_dedup(spark, sf):
+    """Set size, component and keep decision of every document."""
+    return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def _joined(spans: str) -> str:
+    """SQL: kind:start:end of each span, comma-joined."""
+    return f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
+
+
+@query
+def op5_pii(spark, sf):
+    """Numbers of base spans, their digest and all spans, of every document."""
+    found = pii.found(table(spark, sf, "documents").select("doc_id", "text"))
+    base = "filter(spans, x -> x.base)"
+    counts = [
+        f"CAST(size(filter(spans, x -> x.base AND x.kind = '{k}')) AS BIGINT) AS n_{k}"
+        for k in pii.KINDS
+    ]
+    return found.selectExpr(
+        "doc_id",
+        *counts,
+        f"sha2({_joined(base)}, 256) AS base_sha256",
+        f"{_joined('spans')} AS spans",
+        f"CAST(size(spans) - size({base}) AS BIGINT) AS n_added",
+    )
+
+
 @query
 def op6_quality_rules(spark, sf):
     """Statistics, fixed rules and robust outlier verdict of every document."""
