@@ -2,8 +2,8 @@
 
 **Pieces** (``pieces``). A document is its token ids followed by one end id; only longer ones are cut
 into pieces of ``capacity`` tokens. Tokenising white-space separated chunks one by one and keeping a
-bounded memo of them gives the ids of the whole text, because no token crosses white space; it is
-what makes the tokeniser fast enough.
+bounded memo of them (``Encoder``) gives the ids of the whole text, because no token crosses white
+space; it is what makes the tokeniser fast enough.
 
 **Plan** (``plan``). Pieces of equal length are interchangeable, so the packing is decided on the
 histogram of lengths: at most ``capacity`` rows reach the driver whatever the input. Large lengths
@@ -23,6 +23,8 @@ tables give empty tables, columns other than the identifier and the text are not
 
 from __future__ import annotations
 
+import struct
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -39,9 +41,9 @@ from dwellgrid.sources.storage import written
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 ROWS_PER_SHARD = 100_000
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 250_000
 
-_MEMO: dict[str, dict[bytes, bytes]] = {}
+_ENCODERS: dict[str, Encoder] = {}  # one per Python worker, kept across its tasks
 
 
 @dataclass(frozen=True)
@@ -54,19 +56,84 @@ class Packing:
     groups: tuple[int, ...] = (32, 128, 512)
 
 
-def _packed_ids(tokenizer, memo: dict[bytes, bytes], texts: list[str]) -> Iterator[bytes]:
-    """Little-endian 32-bit ids of each text; ``memo`` holds those of chunks seen before."""
-    chunked = [t.encode("utf-8", "replace").split() for t in texts]
-    distinct = set().union(*chunked)
-    new = [c for c in distinct if c not in memo]
-    if len(memo) + len(new) > MEMO_ENTRIES:
-        memo.clear()
-        new = list(distinct)
-    encoded = tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False)
-    for chunk, e in zip(new, encoded, strict=True):
-        memo[chunk] = np.array(e.ids, dtype="<u4").tobytes()
-    for chunks in chunked:
-        yield b"".join(map(memo.__getitem__, chunks))
+# Fixed value: how the vocabulary's pre-tokeniser splits normalised text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class Encoder:
+    """Ids of whole texts by way of a memo of their white-space separated chunks.
+
+    Texts are put into composed form and lower case first, as the vocabulary's normaliser does, so
+    that chunks repeat; a new chunk is split and only its unseen words go through the merges. The
+    memo has two generations: when the young one is full it becomes the old one, and chunks still
+    in use are taken over, so memory is bounded and frequent words are never computed twice. Texts
+    that contain a special token, or a vocabulary with another normaliser, take the plain way.
+    """
+
+    def __init__(self, file: str) -> None:
+        import json
+
+        import regex
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(file)
+        with open(file, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        split = [x.get("pattern", {}).get("Regex") for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.known = steps == ["NFC", "Replace", "Lowercase"] and split == [SPLIT, None]
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        # White space as the vocabulary has it; the library's own class also holds U+001C to U+001F.
+        space = r"\t-\r \x85\p{Z}"
+        self.parts = regex.compile(SPLIT.replace(r"\s", space)).findall
+        # Bytes as printable characters: printable ones stand for themselves, others come after 255.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in set(printable)]
+        self.printable = {b: 256 + i for i, b in enumerate(rest)}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _word(self, w: str) -> bytes:
+        if not (w.isascii() and w.isprintable()):
+            w = w.encode().decode("latin-1").translate(self.printable)
+        ids = [t.id for t in self.tokenizer.model.tokenize(w)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        c = chunk.decode()
+        if c.isalpha():
+            return self._word(c)
+        out = []
+        for w in self.parts(c):
+            key = w.encode()
+            ids = self.young.get(key) or self.old.get(key)
+            if ids is None:
+                ids = self._word(w)
+                if w.isalpha():
+                    self.young[key] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        chunked: list[list[bytes] | bytes] = []
+        for t in texts:
+            if not self.known or any(x in t for x in self.special):
+                ids = self.tokenizer.encode(t, add_special_tokens=False).ids
+                chunked.append(struct.pack(f"<{len(ids)}I", *ids))
+                continue
+            if not t.isascii():
+                t = unicodedata.normalize("NFC", t).replace("\u03a3", "\u03c3")
+            chunked.append(t.lower().encode("utf-8", "replace").split())
+        distinct = set().union(*(c for c in chunked if isinstance(c, list)))
+        if len(self.young) > MEMO_ENTRIES:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        for c in distinct:
+            if c not in young:
+                young[c] = old.get(c) or self._chunk(c)
+        for c in chunked:
+            yield c if isinstance(c, bytes) else b"".join(map(young.__getitem__, c))
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, p: Packing = Packing()) -> DataFrame:
@@ -75,16 +142,15 @@ def pieces(docs: DataFrame, tokenizer_file: str, p: Packing = Packing()) -> Data
     end = np.array([p.end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        memo = _MEMO.setdefault(tokenizer_file, {})
+        encoder = _ENCODERS.get(tokenizer_file)
+        if encoder is None:
+            encoder = _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at : at + 256]
                 rows = []
                 texts = [t if isinstance(t, str) else "" for t in part["text"]]
-                for doc_id, ids in zip(part["doc_id"], _packed_ids(tokenizer, memo, texts)):
+                for doc_id, ids in zip(part["doc_id"], encoder.ids(texts)):
                     ids += end
                     for i in range(0, len(ids), width):
                         x = ids[i : i + width]
