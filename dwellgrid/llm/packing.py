@@ -33,6 +33,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +43,10 @@ from dwellgrid.sources.storage import written
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 ROWS_PER_SHARD = 100_000
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 150_000
+PART_BYTES = 1_000_000
+PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
+PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 _ENCODERS: dict[str, Encoder] = {}  # one per Python worker, kept across its tasks
 
@@ -141,25 +146,38 @@ def pieces(docs: DataFrame, tokenizer_file: str, p: Packing = Packing()) -> Data
     width = 4 * p.capacity
     end = np.array([p.end_id], dtype="<u4").tobytes()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(tokenizer_file)
         if encoder is None:
             encoder = _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
+            for part in _small_parts(batch):
+                doc_ids, texts = (x.to_pylist() for x in part.columns)
                 rows = []
-                texts = [t if isinstance(t, str) else "" for t in part["text"]]
-                for doc_id, ids in zip(part["doc_id"], encoder.ids(texts)):
+                for doc_id, ids in zip(doc_ids, encoder.ids([t or "" for t in texts])):
                     ids += end
                     for i in range(0, len(ids), width):
                         x = ids[i : i + width]
                         rows.append((doc_id, i // width, i // 4, len(x) // 4, zlib.crc32(x)))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
-
-    return docs.select("doc_id", "text").mapInPandas(cut, PIECES)
+                columns = [
+                    pa.array(c, t) for c, t in zip(zip(*rows), PIECE_TYPES, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=PIECE_NAMES)
+
+    long_id = F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(long_id, "text").mapInArrow(cut, PIECES)
+
+
+def _small_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``PART_BYTES`` of text, so that few long texts are unpacked at a time."""
+    start, size = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+        if size > PART_BYTES:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n or 0
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
 
 class _Plan:
