@@ -28,7 +28,7 @@ import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +43,7 @@ from dwellgrid.sources.storage import written
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 ROWS_PER_SHARD = 100_000
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 200_000
 PART_BYTES = 1_000_000
 PIECE_NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
 PIECE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
@@ -65,6 +65,18 @@ class Packing:
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+class _Memo(dict):
+    """A dictionary that computes what it lacks."""
+
+    def __init__(self, compute: Callable[[bytes], bytes]) -> None:
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self[key] = self.compute(key)
+        return value
+
+
 class Encoder:
     """Ids of whole texts by way of a memo of their white-space separated chunks.
 
@@ -95,8 +107,7 @@ class Encoder:
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(printable)]
         self.printable = {b: 256 + i for i, b in enumerate(rest)}
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young, self.old = _Memo(self._chunk), {}
 
     def _word(self, w: str) -> bytes:
         if not (w.isascii() and w.isprintable()):
@@ -105,40 +116,30 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _chunk(self, chunk: bytes) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is not None:
+            return ids
         c = chunk.decode()
         if c.isalpha():
             return self._word(c)
-        out = []
-        for w in self.parts(c):
-            key = w.encode()
-            ids = self.young.get(key) or self.old.get(key)
-            if ids is None:
-                ids = self._word(w)
-                if w.isalpha():
-                    self.young[key] = ids
-            out.append(ids)
-        return b"".join(out)
+        lookup = self.young.__getitem__
+        return b"".join(
+            [lookup(w.encode()) if w.isalpha() else self._word(w) for w in self.parts(c)]
+        )
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        chunked: list[list[bytes] | bytes] = []
+        if len(self.young) > MEMO_ENTRIES:
+            self.young, self.old = _Memo(self._chunk), self.young
+        lookup = self.young.__getitem__
         for t in texts:
             if not self.known or any(x in t for x in self.special):
                 ids = self.tokenizer.encode(t, add_special_tokens=False).ids
-                chunked.append(struct.pack(f"<{len(ids)}I", *ids))
+                yield struct.pack(f"<{len(ids)}I", *ids)
                 continue
             if not t.isascii():
                 t = unicodedata.normalize("NFC", t).replace("\u03a3", "\u03c3")
-            chunked.append(t.lower().encode("utf-8", "replace").split())
-        distinct = set().union(*(c for c in chunked if isinstance(c, list)))
-        if len(self.young) > MEMO_ENTRIES:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        for c in distinct:
-            if c not in young:
-                young[c] = old.get(c) or self._chunk(c)
-        for c in chunked:
-            yield c if isinstance(c, bytes) else b"".join(map(young.__getitem__, c))
+            yield b"".join(map(lookup, t.lower().encode("utf-8", "replace").split()))
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, p: Packing = Packing()) -> DataFrame:
