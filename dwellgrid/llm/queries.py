@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellgrid.llm import neardup, packing, pii, quality, toxicity, urlfilter
+from dwellgrid.llm import (
+    licenses,
+    neardup,
+    nndescent,
+    packing,
+    pieces,
+    pii,
+    quality,
+    sitestyle,
+    toxicity,
+    urlfilter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +78,19 @@ def op2_minhash_near_dedup(spark, sf):
     return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@query
+def op3_approximate_neighbours(spark, sf):
+    """The 20 nearest found of every vector whose vec_id is divisible by 20."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return nndescent.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query
+def op4_license_scan(spark, sf):
+    """Licences whose notices occur in a document, with the best Dice coefficient."""
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 def _joined(spans: str) -> str:
     """SQL: kind:start:end of each span, comma-joined."""
     return f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
@@ -99,6 +123,19 @@ def op6_quality_rules(spark, sf):
     )
 
 
+@query
+def op7_sentencepiece(spark, sf):
+    """Number and checksum of every document's pieces, and whether they decode to the text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pieces.digest(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op8_html_extraction(spark, sf):
+    """Main text of every page."""
+    return sitestyle.extract(table(spark, sf, "pages"))
+
+
 @query
 def op9_url_filters(spark, sf):
     """Rule and verdict of every page address."""
@@ -117,6 +154,51 @@ def oracle_sql() -> dict[str, str]:
 
 
 _SQL = {
+    "op4_license_scan": r"""
+WITH templates(id, license, notice) AS (VALUES
+  (0, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+  (1, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0 (the "License");'),
+  (2, 'MIT', 'Released under the MIT License.'),
+  (3, 'MIT', 'This project is licensed under the MIT License.'),
+  (4, 'GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+  (5, 'GPL-2.0', 'This work is licensed under the GNU General Public License, version 2.'),
+  (6, 'CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
+  (7, 'CC-BY-4.0', 'Licensed under CC BY 4.0.'),
+  (8, 'CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0.'),
+  (9, 'BSD-3-Clause', 'Use of this source code is governed by a BSD-style license.'),
+  (10, 'all-rights-reserved', 'All rights reserved.')),
+lines AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+raw AS (
+  SELECT doc_id, unnest(CASE WHEN len(parts) > 1 THEN list_append(parts, text) ELSE parts END) AS t
+  FROM lines),
+folded AS (
+  SELECT doc_id, trim(regexp_replace(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')) AS unit FROM raw),
+units AS (
+  SELECT doc_id, unit, count(*) AS times FROM folded WHERE unit <> '' GROUP BY ALL),
+texts AS (
+  SELECT DISTINCT unit AS t FROM units
+  UNION SELECT trim(regexp_replace(translate(notice, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')) FROM templates),
+words AS (SELECT t, string_split(t, ' ') AS w FROM texts),
+grams AS (
+  SELECT t, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(
+    range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g
+  FROM words),
+known AS (
+  SELECT id, license, g FROM templates JOIN grams ON t = trim(regexp_replace(translate(notice,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))),
+flat AS (SELECT t, len(g) AS n, unnest(g) AS b FROM grams WHERE len(g) <= 16),
+target AS (SELECT id, license, len(g) AS m, unnest(g) AS b FROM known),
+dice AS (
+  SELECT t, license, id, 2.0::DOUBLE * count(*) / (n + m) AS dice
+  FROM flat JOIN target USING (b) GROUP BY t, n, license, id, m),
+best AS (
+  SELECT t, max({'dice': dice, 'license': license}) AS x FROM dice WHERE dice >= 0.9 GROUP BY t)
+SELECT doc_id, x.license AS license, max(x.dice) AS dice, CAST(sum(times) AS BIGINT) AS n_units
+FROM units JOIN best ON unit = t GROUP BY doc_id, x.license
+""",
     "op9_url_filters": """
 WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
   ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
