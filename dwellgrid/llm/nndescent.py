@@ -39,15 +39,15 @@ from dwellgrid.sources.storage import written
 class Graph:
     """Parameters of the graph and of the search."""
 
-    degree: int = 24
+    degree: int = 40
     orders: int = 4
     chunk: int = 256
-    iterations: int = 2
-    offers: int = 4
+    iterations: int = 5
+    offers: int = 8
     bucket: int = 256
-    beam: int = 64
-    expand: int = 24
-    rounds: int = 3
+    beam: int = 200
+    expand: int = 64
+    rounds: int = 4
     shard: int = 1000
 
 
