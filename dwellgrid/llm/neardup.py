@@ -137,9 +137,9 @@ def sets(docs: DataFrame, chosen: DataFrame, p: Near = Near()) -> DataFrame:
                     }
                 )
 
-    wanted = docs.select("doc_id", "text").join(
-        chosen.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"
-    )
+    # The list grows with the documents, so it is never broadcast: one plan at every size.
+    ids = chosen.select(F.col("rep").alias("doc_id")).hint("merge")
+    wanted = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     # A repeated identifier would give a set twice; the aggregate keeps one of equal rows.
     return wanted.dropDuplicates(["doc_id"]).mapInPandas(collect, "rep long, shingles array<long>")
 
