@@ -143,15 +143,28 @@ def vectors(stats: DataFrame) -> DataFrame:
     )
 
 
-def _moments(rows: DataFrame, floors: bool) -> DataFrame:
-    """Mean, inverse Cholesky factor and log determinant of the covariance, per ``by`` columns."""
+def _moments(rows: DataFrame) -> DataFrame:
+    """Mean, inverse Cholesky factor and log determinant of the covariance, per cell and start.
+
+    Sums of products are plain sums: the features are of order one, so nothing cancels badly.
+    """
     by = ["cell", "start"]
-    sums = [F.count(F.lit(1)).alias("n"), F.avg("d2").alias("mean_d2")]
-    sums += [F.avg(x).alias(f"m_{x}") for x in _X]
-    sums += [
-        F.covar_pop(_X[i], _X[j]).alias(f"c_{i}_{j}") for i in range(_N) for j in range(i + 1)
-    ]
-    return _factor(rows.groupBy(*by).agg(*sums), by)
+    pairs = [(i, j) for i in range(_N) for j in range(i + 1)]
+    sums = [F.count(F.lit(1)).alias("n")]
+    sums += [F.sum(x).alias(f"s_{x}") for x in _X]
+    sums += [F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"p_{i}_{j}") for i, j in pairs]
+    mean = [F.col(f"s_{x}") / F.col("n") for x in _X]
+    return _factor(
+        rows.groupBy(*by)
+        .agg(*sums)
+        .select(
+            *by,
+            "n",
+            *[mean[i].alias(f"m_{_X[i]}") for i in range(_N)],
+            *[(F.col(f"p_{i}_{j}") / F.col("n") - mean[i] * mean[j]).alias(f"c_{i}_{j}") for i, j in pairs],
+        ),
+        by,
+    )
 
 
 def _factor(m: DataFrame, by: list[str]) -> DataFrame:
@@ -164,7 +177,7 @@ def _factor(m: DataFrame, by: list[str]) -> DataFrame:
         for j in range(i + 1):
             s = F.col(f"c_{i}_{j}")
             for k in range(j):
-                s = s - F.col(f"l_{i}_{k}" if k < j or i != j else "") * F.col(f"l_{j}_{k}")
+                s = s - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             m = m.withColumn(
                 f"l_{i}_{j}", F.sqrt(F.greatest(s, F.lit(1e-12))) if i == j else s / F.col(f"l_{j}_{j}")
             )
@@ -237,7 +250,7 @@ def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
             F.percentile_approx("d2", p.support, p.accuracy).alias("cut")
         )
         core = rows.join(cut, ["cell", "start"]).filter("d2 <= cut")
-        estimate = written(_moments(core, True), "mcd-step")
+        estimate = written(_moments(core), "mcd-step")
         rows = (
             cells.join(estimate, "cell").selectExpr("cell", "start", *_X, f"{_distance(_X)} AS d2")
         )

@@ -226,13 +226,16 @@ def _counts(rows: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
     return rows.select("text", "toxic").distinct().mapInPandas(count, COUNTED)
 
 
-def _log_odds(t: pd.DataFrame, n1: float, n0: float, prior: float) -> np.ndarray:
-    """Shrunken log-odds of each row with counts ``c1`` and ``c0``."""
-    share = n1 / (n1 + n0)
-    a1, a0 = t["c1"] + prior * share, t["c0"] + prior * (1 - share)
-    delta = np.log(a1 / (n1 + prior * share)) - np.log(a0 / (n0 + prior * (1 - share)))
-    sd = np.sqrt(1 / a1 + 1 / a0)
-    return (np.sign(delta) * np.maximum(np.abs(delta) - np.minimum(sd, 2.0), 0)).to_numpy()
+def _log_odds(sizes: dict[str, tuple[float, float]], prior: float) -> str:
+    """SQL of the shrunken log-odds of a row with kind and counts ``c1`` and ``c0``."""
+    cases = []
+    for kind, (n1, n0) in sizes.items():
+        share = n1 / (n1 + n0)
+        x1, x0 = prior * share, prior * (1 - share)
+        delta = f"ln((c1 + {x1}D) / {n1 + x1}D) - ln((c0 + {x0}D) / {n0 + x0}D)"
+        sd = f"least(sqrt(1 / (c1 + {x1}D) + 1 / (c0 + {x0}D)), 2.0D)"
+        cases.append(f"WHEN kind = '{kind}' THEN signum({delta}) * greatest(abs({delta}) - {sd}, 0.0D)")
+    return f"CASE {' '.join(cases)} END"
 
 
 def _solve_lambda(scores: np.ndarray, weight: np.ndarray) -> float:
@@ -267,33 +270,21 @@ def fit(docs: DataFrame, labels: DataFrame, p: Fit = Fit()) -> Model:
     model = Model(lengths=p.stems, drift=p.drift, significant=p.significant)
     if "w" not in sizes or not sizes["w"]["n1"] or not sizes["w"]["n0"]:
         return model
+    totals = {k: (float(r["n1"] or 1), float(r["n0"] or 1)) for k, r in sizes.items()}
     used = (
         counts.filter(F.col("c1") + F.col("c0") >= p.least_documents)
-        .orderBy(
-            F.desc(
-                F.abs(F.col("c1") / sizes["w"]["n1"] - F.col("c0") / sizes["w"]["n0"])
-                / F.sqrt(F.col("c1") + F.col("c0"))
-            ),
-            "kind",
-            "token",
-        )
+        .withColumn("score", F.expr(_log_odds(totals, p.prior)))
+        .filter("score != 0")
+        .orderBy(F.desc(F.abs("score")), "kind", "token")
         .limit(p.vocabulary)
-        .toPandas()
-    )
-    tables, background = {}, None
-    for kind in ("w", "s"):
-        t = used[used["kind"] == kind]
-        size = sizes.get(kind) or sizes["w"]
-        score = _log_odds(t, float(size["n1"] or 1), float(size["n0"] or 1), p.prior)
-        tables[kind] = dict(zip(t["token"], score.tolist(), strict=True))
-        if kind == "w":
-            background = (score - p.drift, t["c0"].to_numpy(dtype=float))
-    model.words = tables["w"]
-    model.stems = {k: v for k, v in tables["s"].items() if v}
-    rest = float(sizes["w"]["n0"]) - background[1].sum()
-    model.lam = _solve_lambda(
-        np.append(background[0], -p.drift), np.append(background[1], max(rest, 1.0))
+        .collect()
     )
+    model.words = {r["token"]: r["score"] for r in used if r["kind"] == "w"}
+    model.stems = {r["token"]: r["score"] for r in used if r["kind"] == "s"}
+    told = [(r["score"] - p.drift, r["c0"]) for r in used if r["kind"] == "w"]
+    rest = totals["w"][1] - sum(n for _, n in told)
+    scores, weights = zip(*told, (-p.drift, max(rest, 1.0)))
+    model.lam = _solve_lambda(np.array(scores, dtype=float), np.array(weights, dtype=float))
     return _calibrated(model, rows.filter("fold = 1"))
 
 
