@@ -308,8 +308,9 @@ def rules(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
     The statistics are written to the shared folder without the text, because the estimate reads
     them several times.
     """
-    small = [c for c in docs.columns if c != "text"]
-    stats = written(with_statistics(docs).select(*small, *COUNTS, "n_lines", "n_upper", "n_distinct"), "quality")
+    extra = [*COUNTS, "n_lines", "n_upper", "n_distinct"]
+    small = [c for c in docs.columns if c not in ("text", *extra)]
+    stats = written(with_statistics(docs).select(*small, *extra), "quality")
     return judged(stats, fit(stats, p), p)
 
 
