@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwellgrid.sources.storage import written
+
 # Names and customary notices of public licences.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -89,6 +91,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
         .groupBy("doc_id", F.array_join("words", " ").alias("unit"))
         .agg(F.count(F.lit(1)).alias("times"))
     )
+    # Few units are left; written, so that the texts are read once.
+    units = written(units, "licence-units")
     known = template_bigrams(spark, templates)
     scored = (
         units.select("unit")

@@ -27,7 +27,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 MARK = "▁"
 MARKED = re.compile(f"{MARK}[^{MARK}]*")
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 400_000
 
 
 class Vocabulary:
@@ -121,7 +121,7 @@ def vocabulary(file: str) -> Vocabulary:
     return _VOCABULARIES[file]
 
 
-def _groups(texts: list[str], size: int = 1_000_000) -> Iterator[list[str]]:
+def _groups(texts: list[str], size: int = 4_000_000) -> Iterator[list[str]]:
     start, n = 0, 0
     for i, t in enumerate(texts):
         if n > size:
