@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dwellgrid.functions.joins import left_join
 from dwellgrid.functions.running import running_total, window
 from dwellgrid.functions.timecols import at, calendar, floor_index, named, shift, ts_lit
 from dwellgrid.operators.grid import movements
@@ -20,8 +21,6 @@ from dwellgrid.settings import FLOW_MINUTES, LAG_MINUTES, Settings
 PAST_MINUTES = (15, 30, 45, 60)
 STEP = 15
 OFFSETS = (0, 15, 30, 45, 60, 75, 120, 180, 240, 360, 1440)
-# Up to this many chunks with probes (some 20 MB) are sent to every executor.
-FEW_CHUNKS = 500_000
 
 
 class HistoryError(ValueError):
@@ -61,8 +60,7 @@ def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) ->
 
     ``probes`` has the series keys, ``probe_ts`` and any columns to carry along. The visits
     are reduced map-side to movements per fine chunk, whose totals give the count before a
-    chunk. Then movements and probes are put in order within their chunks. If the probes lie in
-    few chunks, which is counted first, only the movements there leave the scan.
+    chunk. Then movements in chunks with probes and the probes are put in order within their chunks.
     """
     keys = list(s.keys)
     moves = movements(visits, s).selectExpr(
@@ -88,10 +86,9 @@ def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) ->
         .selectExpr(*keys, "__fine", "__a - arrivals AS arrivals", "__x - exits AS exits")
     )
 
-    if probed.count() <= FEW_CHUNKS:
-        near = probed.selectExpr("__fine AS __p_fine", *[f"{k} AS __p_{k}" for k in keys])
-        same = " AND ".join(["__fine = __p_fine", *[f"{k} <=> __p_{k}" for k in keys]])
-        moves = moves.join(F.broadcast(near), F.expr(same), "left_semi")
+    near = probed.selectExpr("__fine AS __p_fine", *[f"{k} AS __p_{k}" for k in keys])
+    same = " AND ".join(["__fine = __p_fine", *[f"{k} <=> __p_{k}" for k in keys]])
+    moves = moves.join(near, F.expr(same), "left_semi")
     # Movements at the same microsecond meet map-side, so a busy instant is one row.
     inside = (
         moves.groupBy(*keys, "__fine", "ts")
@@ -178,7 +175,7 @@ def eligibility(visits: DataFrame, instants: DataFrame, s: Settings = Settings()
     first = visits.groupBy(*keys).agg(F.min("entry_time").alias("__first"))
     points = instants.select(*keys, "prediction_time").distinct()
     if keys:
-        points = points.join(first, keys, "left")
+        points = left_join(points, first, keys)
     else:
         points = points.withColumn("__first", first.select("__first").scalar())
     seen = "coalesce(__first <= prediction_time, false)"

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwellgrid.functions.joins import left_join
 from dwellgrid.functions.timecols import shift
 from dwellgrid.operators.supervised import split
 from dwellgrid.settings import Settings
@@ -71,8 +72,8 @@ def hourly_mean(long: DataFrame, s: Settings = Settings()) -> DataFrame:
     train, _, test = split(long, s)
     hour = F.hour(_target_time()).alias("target_hour")
     means = train.groupBy(*s.keys, hour).agg(F.avg("target").alias("prediction"))
-    return test.withColumn("target_hour", F.hour(_target_time())).join(
-        means, [*s.keys, "target_hour"], "left"
+    return left_join(
+        test.withColumn("target_hour", F.hour(_target_time())), means, s.keys, ["target_hour"]
     )
 
 
@@ -82,7 +83,7 @@ def previous_day(long: DataFrame, s: Settings = Settings()) -> DataFrame:
         F.first("active_vehicles").alias("prediction")
     )
     test = split(long, s)[2].withColumn("__at", _target_time() - F.expr("INTERVAL '24' HOUR"))
-    return test.join(lookup, [*s.keys, "__at"], "left").drop("__at")
+    return left_join(test, lookup, s.keys, ["__at"]).drop("__at")
 
 
 def previous_day_metrics(long: DataFrame, s: Settings = Settings()) -> DataFrame:

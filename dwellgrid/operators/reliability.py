@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwellgrid.functions.joins import left_join
 from dwellgrid.functions.running import drop_halo, halo, in_chunk, running_total
 from dwellgrid.functions.timecols import floor_index, floor_to, ts_lit
 from dwellgrid.settings import Settings
@@ -60,7 +61,7 @@ def flag_from_table(grid: DataFrame, bad_periods: DataFrame, s: Settings = Setti
         .withColumn("__bad", F.lit(True))
     )
     return (
-        grid.join(bad, [*s.keys, "timestamp"], "left")
+        left_join(grid, bad, s.keys, ["timestamp"])
         .withColumn("is_reliable", F.col("__bad").isNull())
         .drop("__bad")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwellgrid.functions.joins import left_join
 from dwellgrid.functions.running import running_total
 from dwellgrid.functions.timecols import floor_index, shift, ts_lit
 from dwellgrid.settings import Settings
@@ -116,7 +117,7 @@ def target_audit(wide: DataFrame, long: DataFrame, s: Settings = Settings()) ->
     )
     wrong = F.expr("__actual IS NULL OR __actual != target")
     return (
-        stored.join(future, [*s.keys, "__at"], "left")
+        left_join(stored, future, s.keys, ["__at"])
         .groupBy("horizon_minutes")
         .agg(F.count(F.lit(1)).alias("checked"), F.count_if(wrong).alias("mismatches"))
     )

@@ -39,7 +39,7 @@ KEYED = S.keyed("event_type")
 INSTANT = "2024-01-20 03:41:12"
 FLOW_BOUNDS = ("2024-01-25 09:17:00", "2024-01-25 10:17:00")
 FROM_TIME = "2024-01-20 00:00:00"
-ACF_LAGS = 96
+ACF_LAGS = 672
 
 _QUERIES: dict[str, Query] = {}
 
@@ -462,7 +462,7 @@ def timestamp_quality(spark, sf):
 
 @query
 def duplicate_rows(spark, sf):
-    return profile.duplicate_rows(raw_visits(spark, sf), ["risk_category", "duration_min"])
+    return profile.duplicate_rows(raw_visits(spark, sf), list(clean.VISIT_COLUMNS))
 
 
 @query

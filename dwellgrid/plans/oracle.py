@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dwellgrid.operators.asof import OFFSETS, PAST_MINUTES
 from dwellgrid.operators.lagstats import STUDY_LAGS
-from dwellgrid.plans.catalog import ACF_LAGS, FLOW_BOUNDS, FROM_TIME, INSTANT, S
+from dwellgrid.plans.catalog import FLOW_BOUNDS, FROM_TIME, INSTANT, S
 from dwellgrid.settings import FLOW_COLUMNS, FLOW_MINUTES, LAG_MINUTES
 
 W = "INTERVAL 15 MINUTE"
+# Fixed value: a week of quarter hours.
+ACF_LAGS = 672
 STEPS = [(name, m // 15) for name, m in LAG_MINUTES]
 
 
@@ -539,7 +541,7 @@ def oracle_sql() -> dict[str, str]:
         "duplicate_rows": (
             RAW,
             "SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM "
-            "(SELECT count(*) AS n FROM raw GROUP BY risk_category, duration_min)",
+            "(SELECT count(*) AS n FROM raw GROUP BY entry_time, exit_time, risk_category, duration_min)",
         ),
         "duplicate_pairs": (
             RAW,
