@@ -191,6 +191,12 @@ def features_at(visits: DataFrame, instants: DataFrame, s: Settings = Settings()
     return _with_horizons(_instant_counts(visits, usable, s).filter("e_0 > 0"), s)
 
 
+def features_at_latest(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The same at the latest event of each series."""
+    last = F.greatest(F.max("entry_time"), F.max("exit_time"))
+    return features_at(visits, visits.groupBy(*s.keys).agg(last.alias("prediction_time")), s)
+
+
 def features_at_one(visits: DataFrame, instant, s: Settings = Settings()) -> DataFrame:
     """The same for a single instant, by one conditional aggregation without a shuffle of visits."""
     t = at(instant)

@@ -75,6 +75,12 @@ def rolling_means(s: Settings) -> dict[str, str]:
     }
 
 
+def targets_raw(s: Settings) -> dict[str, str]:
+    """The occupancy at every horizon, whatever the reliability of that row."""
+    w = _here(s)
+    return {f"target_{m}m": f"lead(active_vehicles, {s.steps(m)}) {w}" for m in s.horizons}
+
+
 def targets(s: Settings) -> dict[str, str]:
     return {f"target_{m}m": _if_reliable("lead", s.steps(m), s) for m in s.horizons}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dwellgrid.functions.joins import left_join
 from dwellgrid.functions.quantiles import percentiles
 from dwellgrid.functions.running import running_total
 from dwellgrid.functions.timecols import minutes_between, ts_lit
@@ -333,11 +334,11 @@ def weekday_arrivals(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Total arrivals, observed days and mean per weekday, Monday first."""
     per_day = (
         complete_days(visits, s)
-        .groupBy("day_of_week", "entry_day", "entry_date")
+        .groupBy(*s.keys, "day_of_week", "entry_day", "entry_date")
         .agg(_count().alias("n"))
     )
     return (
-        per_day.groupBy("day_of_week", "entry_day")
+        per_day.groupBy(*s.keys, "day_of_week", "entry_day")
         .agg(
             F.sum("n").alias("total_arrivals"),
             _count().alias("observed_days"),
@@ -366,14 +367,16 @@ def hourly_occupancy(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Mean and maximum occupancy per hour outside the bad days, with the peak hours marked."""
     hours = (
         grid.filter(is_complete_day(F.to_date("timestamp"), s))
-        .groupBy(F.hour("timestamp").alias("hour"))
+        .groupBy(*s.keys, F.hour("timestamp").alias("hour"))
         .agg(
             F.avg("active_vehicles").alias("average_occupancy"),
             F.max("active_vehicles").alias("maximum_occupancy"),
         )
     )
-    by_mean = Window.orderBy(F.desc("average_occupancy"), "hour")
-    by_max = Window.orderBy(F.desc("maximum_occupancy"), "hour")
+    # 24 rows a series.
+    series = Window.partitionBy(*s.keys)
+    by_mean = series.orderBy(F.desc("average_occupancy"), "hour")
+    by_max = series.orderBy(F.desc("maximum_occupancy"), "hour")
     return hours.select(
         "*",
         (F.row_number().over(by_mean) == 1).alias("is_mean_peak"),
@@ -385,10 +388,10 @@ def hourly_net_flow(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Mean over days of the hourly sums, and the sign of the net flow."""
     sums = (
         observed_grid(grid, s)
-        .groupBy("date", "hour")
+        .groupBy(*s.keys, "date", "hour")
         .agg(*[F.sum(c).alias(c) for c in ("arrivals", "exits", "net_flow")])
     )
-    means = sums.groupBy("hour").agg(
+    means = sums.groupBy(*s.keys, "hour").agg(
         *[F.avg(c).alias(f"avg_{c}") for c in ("arrivals", "exits", "net_flow")]
     )
     return means.withColumn("flow_sign", F.signum("avg_net_flow").cast("int"))
@@ -413,56 +416,63 @@ def daily_occupancy(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def peak_hour_counts(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
-    return daily_occupancy(grid, s).groupBy("peak_hour").agg(_count().alias("days"))
+    return daily_occupancy(grid, s).groupBy(*s.keys, "peak_hour").agg(_count().alias("days"))
 
 
 def top_occupancy_days(grid: DataFrame, n: int = 10, s: Settings = Settings()) -> DataFrame:
-    return (
-        daily_occupancy(grid, s)
-        .select("date", "average_occupancy", "maximum_occupancy", "peak_hour")
-        .orderBy(F.desc("maximum_occupancy"), "date")
-        .limit(n)
+    """The ``n`` days of each series with the highest maximum."""
+    days = daily_occupancy(grid, s).select(
+        *s.keys, "date", "average_occupancy", "maximum_occupancy", "peak_hour"
     )
+    order = [F.desc("maximum_occupancy"), F.col("date")]
+    if not s.keys:
+        return days.orderBy(*order).limit(n)
+    place = F.row_number().over(Window.partitionBy(*s.keys).orderBy(*order))
+    return days.withColumn("__place", place).filter(F.col("__place") <= n).drop("__place")
 
 
 def weekday_occupancy(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
     ts = F.col("timestamp")
     return (
         observed_grid(grid, s)
-        .groupBy(F.weekday(ts).alias("day_of_week"), F.date_format(ts, "EEEE").alias("day"))
+        .groupBy(*s.keys, F.weekday(ts).alias("day_of_week"), F.date_format(ts, "EEEE").alias("day"))
         .agg(
             F.avg("active_vehicles").alias("average_occupancy"),
             F.max("active_vehicles").alias("maximum_occupancy"),
         )
-        .orderBy("day_of_week")
+        .orderBy(*s.keys, "day_of_week")
     )
 
 
 def weekday_comparison(visits: DataFrame, grid: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Weekday arrivals next to weekday occupancy, each ranked from high to low."""
-    joined = weekday_arrivals(visits, s).select("day_of_week", "average_arrivals").join(
-        weekday_occupancy(grid, s), "day_of_week"
-    )
-    # Seven rows.
+    arrivals = weekday_arrivals(visits, s).select(*s.keys, "day_of_week", "average_arrivals")
+    # A weekday with arrivals on a complete day has grid rows. Seven rows a series.
+    joined = left_join(arrivals, weekday_occupancy(grid, s), s.keys, ["day_of_week"])
+    series = Window.partitionBy(*s.keys)
     return joined.select(
         "*",
-        F.rank().over(Window.orderBy(F.desc("average_arrivals"))).alias("arrival_rank"),
-        F.rank().over(Window.orderBy(F.desc("average_occupancy"))).alias("occupancy_rank"),
+        F.rank().over(series.orderBy(F.desc("average_arrivals"))).alias("arrival_rank"),
+        F.rank().over(series.orderBy(F.desc("average_occupancy"))).alias("occupancy_rank"),
     )
 
 
-def mismatch_days(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Days whose arrivals and occupancy lie on opposite sides of their medians."""
-    days = daily_occupancy(grid, s)
+def _opposed(grid: DataFrame, s: Settings) -> DataFrame:
+    """Days of ``daily_occupancy`` on opposite sides of the medians of their series, with ``kind``."""
     arrivals, occupancy = F.col("arrivals"), F.col("average_occupancy")
-    mid_arrivals = days.agg(F.median("arrivals")).scalar()
-    mid_occupancy = days.agg(F.median("average_occupancy")).scalar()
+    # One row per day and series: the days of a century fit one task.
+    series = Window.partitionBy(*s.keys)
+    mid_arrivals, mid_occupancy = F.median(arrivals).over(series), F.median(occupancy).over(series)
     kind = F.when(
         (arrivals > mid_arrivals) & (occupancy < mid_occupancy), "high arrivals, low occupancy"
     ).when((arrivals < mid_arrivals) & (occupancy > mid_occupancy), "low arrivals, high occupancy")
-    return (
-        days.select("date", "arrivals", "average_occupancy", "maximum_occupancy", kind.alias("kind"))
-        .filter(F.col("kind").isNotNull())
+    return daily_occupancy(grid, s).withColumn("kind", kind).filter("kind IS NOT NULL")
+
+
+def mismatch_days(grid: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Days whose arrivals and occupancy lie on opposite sides of their series' medians."""
+    return _opposed(grid, s).select(
+        *s.keys, "date", "arrivals", "average_occupancy", "maximum_occupancy", "kind"
     )
 
 
@@ -470,16 +480,11 @@ def daily_detail(visits: DataFrame, grid: DataFrame, s: Settings = Settings()) -
     """Flow, mean dwell and occupancy of the mismatch days."""
     dwell = (
         complete_days(visits, s)
-        .groupBy(F.col("entry_date").alias("date"))
+        .groupBy(*s.keys, F.col("entry_date").alias("date"))
         .agg(F.avg("duration_min").alias("average_dwell"))
     )
-    selected = mismatch_days(grid, s).select("date").distinct()
-    return (
-        daily_occupancy(grid, s)
-        .drop("peak_hour")
-        .join(selected, "date", "left_semi")
-        .join(dwell, "date", "left")
-    )
+    days = _opposed(grid, s).drop("peak_hour", "kind")
+    return left_join(days, dwell, s.keys, ["date"])
 
 
 def daily_state(visits: DataFrame, s: Settings = Settings()) -> DataFrame:

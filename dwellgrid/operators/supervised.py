@@ -130,8 +130,12 @@ def leaked_targets(features: list[str], s: Settings = Settings()) -> list[str]:
 
 def null_audit(long: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Null count of every feature and of the target, one row per column."""
-    names = [*s.model_features, "target"]
-    counts = long.agg(*[F.expr(f"count_if({c} IS NULL)").alias(c) for c in names])
+    return null_counts(long, [*s.model_features, "target"])
+
+
+def null_counts(df: DataFrame, names: list[str]) -> DataFrame:
+    """Null count of every named column, one row per column."""
+    counts = df.agg(*[F.expr(f"count_if({c} IS NULL)").alias(c) for c in names])
     pairs = ", ".join(f"'{c}', {c}" for c in names)
     return counts.selectExpr(f"stack({len(names)}, {pairs}) AS (column_name, missing)")
 

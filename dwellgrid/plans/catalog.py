@@ -36,6 +36,8 @@ S = Settings(
     validation_end="2024-01-26 12:00:00",
 )
 KEYED = S.keyed("event_type")
+# The category of raw visits is null where it is unknown: a series of its own.
+NULL_KEYED = S.keyed("risk_category")
 INSTANT = "2024-01-20 03:41:12"
 FLOW_BOUNDS = ("2024-01-25 09:17:00", "2024-01-25 10:17:00")
 FROM_TIME = "2024-01-20 00:00:00"
@@ -91,6 +93,11 @@ def grid_of(spark: SparkSession, sf: str) -> DataFrame:
     return grid.occupancy_grid(visits(spark, sf), S)
 
 
+def keyed_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The grid of every category, the null one included, as a stored table."""
+    return storage.written(grid.occupancy_grid(raw_visits(spark, sf), NULL_KEYED), "grid")
+
+
 def flagged_of(spark: SparkSession, sf: str) -> DataFrame:
     return features.flagged_grid(visits(spark, sf), S)
 
@@ -331,6 +338,19 @@ def calendar_features(spark, sf):
     return features.with_calendar(grid.time_grid(visits(spark, sf), S))
 
 
+@query
+def targets_raw(spark, sf):
+    df = features.with_windows(flagged_of(spark, sf), features.targets_raw, s=S)
+    return df.select("timestamp", *S.target_names)
+
+
+@query
+def grid_null_audit(spark, sf):
+    """Null counts of the columns that the wide frame adds to the grid, and of the grid's own."""
+    wide = wide_of(spark, sf)
+    return supervised.null_counts(wide, wide.columns)
+
+
 @query
 def targets(spark, sf):
     df = features.with_windows(flagged_of(spark, sf), features.targets, s=S)
@@ -415,6 +435,20 @@ def exact_features_one(spark, sf):
     return rounded(asof.features_at_one(visits(spark, sf), INSTANT, S))
 
 
+@query
+def exact_features_latest(spark, sf):
+    return rounded(asof.features_at_latest(visits(spark, sf), S))
+
+
+@query
+def prediction_eligibility_keyed(spark, sf):
+    """As below, per category; visits without category are a series of their own."""
+    v = raw_visits(spark, sf)
+    back = F.col("exit_time") - F.expr("INTERVAL '1' DAY")
+    instants = v.select("risk_category", back.alias("prediction_time"))
+    return asof.eligibility(v, instants, NULL_KEYED)
+
+
 @query
 def prediction_eligibility(spark, sf):
     """Every exit time moved back by a day, so that some lie before the first entry."""
@@ -609,6 +643,38 @@ def weekday_comparison(spark, sf):
     return rounded(profile.weekday_comparison(visits(spark, sf), grid_of(spark, sf), S))
 
 
+@query
+def hourly_net_flow_keyed(spark, sf):
+    return rounded(profile.hourly_net_flow(keyed_grid(spark, sf), NULL_KEYED))
+
+
+@query
+def mismatch_days_keyed(spark, sf):
+    return rounded(profile.mismatch_days(keyed_grid(spark, sf), NULL_KEYED))
+
+
+@query
+def daily_detail_keyed(spark, sf):
+    v = raw_visits(spark, sf)
+    return rounded(profile.daily_detail(v, keyed_grid(spark, sf), NULL_KEYED))
+
+
+@query
+def top_occupancy_days_keyed(spark, sf):
+    return rounded(profile.top_occupancy_days(keyed_grid(spark, sf), s=NULL_KEYED))
+
+
+@query
+def weekday_comparison_keyed(spark, sf):
+    v = raw_visits(spark, sf)
+    return rounded(profile.weekday_comparison(v, keyed_grid(spark, sf), NULL_KEYED))
+
+
+@query
+def hourly_occupancy_keyed(spark, sf):
+    return rounded(profile.hourly_occupancy(keyed_grid(spark, sf), NULL_KEYED))
+
+
 @query
 def mismatch_days(spark, sf):
     return rounded(profile.mismatch_days(flagged_table(spark, sf), S))

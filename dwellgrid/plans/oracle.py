@@ -131,26 +131,34 @@ split AS (
          timestamp + to_minutes(horizon_minutes) AS at_time
   FROM long)"""
 )
-OBSERVED = (
-    GRID
-    + f""",
+def observed_ctes(keys: tuple[str, ...] = ()) -> str:
+    """observed, days and mismatch on top of the grid; one series or one per key."""
+    k = "".join(f"{c}, " for c in keys)
+    middle = f"mids USING ({', '.join(keys)})" if keys else "mids ON TRUE"
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    return f"""{grid_ctes(keys)},
+came AS (SELECT DISTINCT {k}CAST(entry_time AS DATE) AS date FROM visits),
 observed AS (
-  SELECT *, CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) AS hr FROM occ
-  WHERE {complete('CAST(timestamp AS DATE)')}
-    AND CAST(timestamp AS DATE) IN (SELECT CAST(entry_time AS DATE) FROM visits)),
+  SELECT * FROM (SELECT *, CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) AS hr FROM occ) AS o
+  SEMI JOIN came USING ({k}date) WHERE {complete('date')}),
 days AS (
-  SELECT date, CAST(sum(arrivals) AS BIGINT) AS arrivals, CAST(sum(exits) AS BIGINT) AS exits,
+  SELECT {k}date, CAST(sum(arrivals) AS BIGINT) AS arrivals, CAST(sum(exits) AS BIGINT) AS exits,
          CAST(sum(net_flow) AS BIGINT) AS net_flow, avg(active_vehicles) AS average_occupancy,
          max(active_vehicles) AS maximum_occupancy,
          CAST(hour(arg_min(timestamp, (-active_vehicles, timestamp))) AS INTEGER) AS peak_hour
-  FROM observed GROUP BY date),
-mids AS (SELECT median(arrivals) AS ma, median(average_occupancy) AS mo FROM days),
+  FROM observed GROUP BY {k}date),
+mids AS (SELECT {k}median(arrivals) AS ma, median(average_occupancy) AS mo FROM days {group}),
 mismatch AS (
-  SELECT date, arrivals, average_occupancy, maximum_occupancy,
+  SELECT {k}date, arrivals, average_occupancy, maximum_occupancy,
          CASE WHEN arrivals > ma AND average_occupancy < mo THEN 'high arrivals, low occupancy'
               WHEN arrivals < ma AND average_occupancy > mo THEN 'low arrivals, high occupancy' END AS kind
-  FROM days, mids)"""
-)
+  FROM days JOIN {middle})"""
+
+
+OBSERVED = observed_ctes()
+BY_CATEGORY = observed_ctes(("risk_category",))
+# Visits without category are the series with a null key.
+CATEGORY = "nullif(risk_category, 'UNKNOWN') AS risk_category"
 CAL = (
     RAW
     + f""",
@@ -447,6 +455,18 @@ def oracle_sql() -> dict[str, str]:
         "occupancy_change": (GRID, f"SELECT timestamp, {', '.join(S.change_names)} FROM wide"),
         "rolling_means": (GRID, f"SELECT timestamp, {_wide_select(list(MEANS), MEANS)} FROM wide"),
         "calendar_features": (GRID, "SELECT timestamp, hour, day_of_week, is_weekend FROM wide"),
+        "targets_raw": (
+            GRID,
+            "SELECT timestamp, "
+            + ", ".join(f"lead(active_vehicles, {m // 15}) OVER (ORDER BY timestamp) AS target_{m}m" for m in S.horizons)
+            + " FROM occ",
+        ),
+        "grid_null_audit": (
+            GRID,
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing FROM wide" for c in wide_cols
+            ),
+        ),
         "targets": (GRID, f"SELECT timestamp, {', '.join(S.target_names)} FROM wide"),
         "wide_frame": (GRID, f"SELECT {_wide_select(wide_cols, MEANS)} FROM wide"),
         "wide_frame_keyed": (keyed, f"SELECT event_type, {_wide_select(wide_cols, MEANS)} FROM wide"),
@@ -499,6 +519,17 @@ def oracle_sql() -> dict[str, str]:
             instant_ctes(f"SELECT {ts(INSTANT)} AS prediction_time"),
             f"SELECT {exact_doubles} FROM exact",
         ),
+        "exact_features_latest": (
+            instant_ctes("SELECT greatest(max(entry_time), max(exit_time)) AS prediction_time FROM visits"),
+            f"SELECT {exact_doubles} FROM exact",
+        ),
+        "prediction_eligibility_keyed": (
+            RAW,
+            f"SELECT {CATEGORY}, prediction_time, why IS NULL AS is_eligible, why AS reason FROM "
+            f"(SELECT risk_category, prediction_time, {reason('prediction_time', 'prediction_time >= first')} AS why FROM "
+            "(SELECT DISTINCT risk_category, exit_time - INTERVAL 1 DAY AS prediction_time FROM visits) JOIN "
+            "(SELECT risk_category, min(entry_time) AS first FROM visits GROUP BY 1) USING (risk_category))",
+        ),
         "prediction_eligibility": (
             RAW,
             f"SELECT prediction_time, why IS NULL AS is_eligible, why AS reason FROM (SELECT prediction_time, "
@@ -668,6 +699,46 @@ def oracle_sql() -> dict[str, str]:
             "sum(arrivals)::DOUBLE / count(DISTINCT date) AS average_arrivals, avg(active_vehicles) AS average_occupancy, "
             "max(active_vehicles) AS maximum_occupancy FROM observed GROUP BY 1, 2)",
         ),
+        "hourly_net_flow_keyed": (
+            BY_CATEGORY,
+            f"SELECT {CATEGORY}, hr AS hour, {r('avg(a)')} AS avg_arrivals, {r('avg(x)')} AS avg_exits, {r('avg(f)')} AS avg_net_flow, "
+            "CAST(sign(avg(f)) AS INTEGER) AS flow_sign FROM (SELECT risk_category, date, hr, sum(arrivals) AS a, sum(exits) AS x, "
+            "sum(net_flow) AS f FROM observed GROUP BY ALL) AS q GROUP BY q.risk_category, hr",
+        ),
+        "mismatch_days_keyed": (
+            BY_CATEGORY,
+            f"SELECT {CATEGORY}, date, arrivals, {r('average_occupancy')} AS average_occupancy, maximum_occupancy, kind "
+            "FROM mismatch WHERE kind IS NOT NULL",
+        ),
+        "daily_detail_keyed": (
+            BY_CATEGORY,
+            f"SELECT {CATEGORY}, date, d.arrivals, exits, net_flow, {r('d.average_occupancy')} AS average_occupancy, "
+            f"d.maximum_occupancy, {r('dwell')} AS average_dwell FROM days d JOIN (SELECT risk_category, date FROM mismatch "
+            "WHERE kind IS NOT NULL) USING (risk_category, date) LEFT JOIN (SELECT risk_category, CAST(entry_time AS DATE) AS date, "
+            "avg(duration_min) AS dwell FROM visits GROUP BY ALL) USING (risk_category, date)",
+        ),
+        "top_occupancy_days_keyed": (
+            BY_CATEGORY,
+            f"SELECT {CATEGORY}, date, {r('average_occupancy')} AS average_occupancy, maximum_occupancy, peak_hour FROM days AS q "
+            "QUALIFY row_number() OVER (PARTITION BY q.risk_category ORDER BY maximum_occupancy DESC, date) <= 10",
+        ),
+        "hourly_occupancy_keyed": (
+            BY_CATEGORY,
+            f"SELECT {CATEGORY}, hour, {r('m')} AS average_occupancy, x AS maximum_occupancy, "
+            "row_number() OVER (PARTITION BY q.risk_category ORDER BY m DESC, hour) = 1 AS is_mean_peak, "
+            "row_number() OVER (PARTITION BY q.risk_category ORDER BY x DESC, hour) = 1 AS is_max_peak FROM "
+            "(SELECT risk_category, CAST(hour(timestamp) AS INTEGER) AS hour, avg(active_vehicles) AS m, "
+            f"max(active_vehicles) AS x FROM occ WHERE {complete('CAST(timestamp AS DATE)')} GROUP BY ALL) AS q",
+        ),
+        "weekday_comparison_keyed": (
+            BY_CATEGORY,
+            f"SELECT {CATEGORY}, day_of_week, {r('average_arrivals')} AS average_arrivals, day, {r('average_occupancy')} AS average_occupancy, maximum_occupancy, "
+            "CAST(rank() OVER (PARTITION BY q.risk_category ORDER BY average_arrivals DESC) AS INTEGER) AS arrival_rank, "
+            "CAST(rank() OVER (PARTITION BY q.risk_category ORDER BY average_occupancy DESC) AS INTEGER) AS occupancy_rank FROM "
+            "(SELECT risk_category, CAST(isodow(timestamp) - 1 AS INTEGER) AS day_of_week, dayname(timestamp) AS day, "
+            "sum(arrivals)::DOUBLE / count(DISTINCT date) AS average_arrivals, avg(active_vehicles) AS average_occupancy, "
+            "max(active_vehicles) AS maximum_occupancy FROM observed GROUP BY ALL) AS q",
+        ),
         "mismatch_days": (
             OBSERVED,
             f"SELECT date, arrivals, {r('average_occupancy')} AS average_occupancy, maximum_occupancy, kind FROM mismatch WHERE kind IS NOT NULL",

@@ -25,6 +25,13 @@ SOME = [
     "dwell_stats",
     "dwell_by_category",
     "daily_detail",
+    "daily_detail_keyed",
+    "mismatch_days_keyed",
+    "hourly_net_flow_keyed",
+    "prediction_eligibility_keyed",
+    "exact_features_latest",
+    "targets_raw",
+    "grid_null_audit",
     "hourly_counts_filled",
     "pacf",
     "baseline_previous_day",
