@@ -209,7 +209,12 @@ def _distance(x: list[str]) -> str:
 
 
 def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
-    """Centre and inverse Cholesky factor of every cell of every level: a table to join."""
+    """Centre and inverse Cholesky factor of every cell of every level: a table to join.
+
+    What the rows are joined with has one row per cell and is written first, so that Spark knows
+    its size: it is broadcast below ``spark.sql.autoBroadcastJoinThreshold`` and no row is dealt
+    by its cell. Beyond that the join shuffles and leaves hot cells to adaptive splitting.
+    """
     vec = vectors(stats).filter("NOT base_failed").drop("base_failed")
     cells = vec.selectExpr(
         f"explode(array({_key(0)}, {_key(1)}, {_key(2)})) AS cell", *_X
@@ -218,7 +223,7 @@ def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
         *[F.percentile_approx(x, 0.5, p.accuracy).alias(f"med_{x}") for x in _X]
     )
     spread = (
-        cells.join(middle, "cell")
+        cells.join(written(middle, "mcd-middle"), "cell")
         .groupBy("cell")
         .agg(
             *[F.first(f"med_{x}").alias(f"med_{x}") for x in _X],
@@ -249,7 +254,7 @@ def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
         cut = rows.groupBy("cell", "start").agg(
             F.percentile_approx("d2", p.support, p.accuracy).alias("cut")
         )
-        core = rows.join(cut, ["cell", "start"]).filter("d2 <= cut")
+        core = rows.join(written(cut, "mcd-cut"), ["cell", "start"]).filter("d2 <= cut")
         estimate = written(_moments(core), "mcd-step")
         rows = (
             cells.join(estimate, "cell").selectExpr("cell", "start", *_X, f"{_distance(_X)} AS d2")
@@ -311,7 +316,7 @@ def rules(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
     extra = [*COUNTS, "n_lines", "n_upper", "n_distinct"]
     small = [c for c in docs.columns if c not in ("text", *extra)]
     stats = written(with_statistics(docs).select(*small, *extra), "quality")
-    return judged(stats, fit(stats, p), p)
+    return judged(stats, written(fit(stats, p), "quality-model"), p)
 
 
 def filtered(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
