@@ -38,6 +38,7 @@ from dwellgrid.sources.storage import written
 
 SPACE = r"[\\x20\\x09-\\x0D]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+CELL_FILES = 8
 
 
 @dataclass(frozen=True)
@@ -208,6 +209,15 @@ def _distance(x: list[str]) -> str:
     return " + ".join(terms)
 
 
+def _written_cells(table: DataFrame, label: str) -> DataFrame:
+    """A written table with one row per cell, in a few files.
+
+    A file for each shuffle partition would be mostly footers, and their bytes alone would put a
+    table of some dozen cells above the threshold below which Spark broadcasts it.
+    """
+    return written(table.repartition(CELL_FILES), label)
+
+
 def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
     """Centre and inverse Cholesky factor of every cell of every level: a table to join.
 
@@ -223,7 +233,7 @@ def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
         *[F.percentile_approx(x, 0.5, p.accuracy).alias(f"med_{x}") for x in _X]
     )
     spread = (
-        cells.join(written(middle, "mcd-middle"), "cell")
+        cells.join(_written_cells(middle, "mcd-middle"), "cell")
         .groupBy("cell")
         .agg(
             *[F.first(f"med_{x}").alias(f"med_{x}") for x in _X],
@@ -240,7 +250,7 @@ def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
         for f in FEATURES
     ]
     rows = (
-        cells.join(written(spread, "mcd-spread"), "cell")
+        cells.join(_written_cells(spread, "mcd-spread"), "cell")
         .selectExpr(
             "cell",
             *_X,
@@ -254,8 +264,8 @@ def fit(stats: DataFrame, p: Mcd = Mcd()) -> DataFrame:
         cut = rows.groupBy("cell", "start").agg(
             F.percentile_approx("d2", p.support, p.accuracy).alias("cut")
         )
-        core = rows.join(written(cut, "mcd-cut"), ["cell", "start"]).filter("d2 <= cut")
-        estimate = written(_moments(core), "mcd-step")
+        core = rows.join(_written_cells(cut, "mcd-cut"), ["cell", "start"]).filter("d2 <= cut")
+        estimate = _written_cells(_moments(core), "mcd-step")
         rows = (
             cells.join(estimate, "cell").selectExpr("cell", "start", *_X, f"{_distance(_X)} AS d2")
         )
@@ -316,7 +326,7 @@ def rules(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
     extra = [*COUNTS, "n_lines", "n_upper", "n_distinct"]
     small = [c for c in docs.columns if c not in ("text", *extra)]
     stats = written(with_statistics(docs).select(*small, *extra), "quality")
-    return judged(stats, written(fit(stats, p), "quality-model"), p)
+    return judged(stats, _written_cells(fit(stats, p), "quality-model"), p)
 
 
 def filtered(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
@@ -327,7 +337,7 @@ def filtered(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
     """
     extra = [*COUNTS, "n_lines", "n_upper", "n_distinct"]
     stats = written(with_statistics(docs).select("lang", "source", *extra), "quality")
-    model = written(fit(stats, p), "quality-model")
+    model = _written_cells(fit(stats, p), "quality-model")
     plain = docs.columns
     hidden = docs.select("*", F.struct(*plain).alias("_q_row"))
     kept = judged(with_statistics(hidden), model, p).filter("kept")
