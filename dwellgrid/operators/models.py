@@ -56,7 +56,7 @@ REDUCED_FEATURES = [
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Boosting parameters; the defaults are the tuned values of the study."""
+    """Boosting parameters. The defaults, tuned in the study."""
 
     rounds: int = 1500
     learning_rate: float = 0.051612

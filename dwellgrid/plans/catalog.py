@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -802,52 +801,50 @@ def peak_of_fixed(spark, sf):
 
 # ---- models ----------------------------------------------------------------------------
 
-# Small settings for the registered queries; the library defaults are the full ones.
-QUICK = models.TreeParams(rounds=10, learning_rate=0.2, max_depth=4, max_bins=32)
-_FITTED: dict[tuple, object] = {}
+PARAMS = models.TreeParams()
 
 
-def _once(spark: SparkSession, sf: str, label: str, make: Callable[[], object]):
-    """Fit each model once per session and data folder."""
-    key = (spark.sparkContext.applicationId, sf, label)
-    if key not in _FITTED:
-        _FITTED[key] = make()
-    return _FITTED[key]
+def _sets(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Training, validation and test rows, from one stored table that every boosting round reads."""
+    return supervised.split(storage.written(long_of(spark, sf), "long"), S)
 
 
-def _sets(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    long = _once(spark, sf, "long", lambda: storage.written(long_of(spark, sf), "long"))
-    return supervised.split(long, S)
+def _boosted_metrics(sets: tuple[DataFrame, DataFrame, DataFrame], names: list[str]) -> DataFrame:
+    train, validation, test = sets
+    model = models.fit_boosted(train, validation, names, PARAMS)
+    return evaluate.point_metrics(models.score(model, test, names))
 
 
-def _bundle(spark, sf) -> models.Bundle:
-    train, validation, _ = _sets(spark, sf)
-    return _once(spark, sf, "bundle", lambda: models.fit_bundle(train, validation, QUICK, S))
+def _bundle(spark, sf) -> tuple[models.Bundle, DataFrame, DataFrame]:
+    """The three forecasts, with validation and test rows."""
+    train, validation, test = _sets(spark, sf)
+    return models.fit_bundle(train, validation, PARAMS, S), validation, test
 
 
 @query
 def gbt_point(spark, sf):
-    bundle = _bundle(spark, sf)
-    test = models.score(bundle.point, _sets(spark, sf)[2], bundle.features)
-    return evaluate.point_metrics(test)
+    return _boosted_metrics(_sets(spark, sf), S.model_features)
 
 
 @query
 def gbt_p50(spark, sf):
-    bundle = _bundle(spark, sf)
-    test = models.score(bundle.p50, _sets(spark, sf)[2], bundle.features)
-    return evaluate.quantile_metrics(test, "prediction", 0.50)
+    train, validation, test = _sets(spark, sf)
+    model = models.fit_boosted(train, validation, S.model_features, PARAMS, "absolute")
+    return evaluate.quantile_metrics(
+        models.score(model, test, S.model_features), "prediction", 0.50
+    )
 
 
 @query
 def gbt_p90(spark, sf):
-    test = models.score_bundle(_bundle(spark, sf), _sets(spark, sf)[2])
-    return evaluate.quantile_metrics(test, "p90", 0.90)
+    bundle, _, test = _bundle(spark, sf)
+    return evaluate.quantile_metrics(models.score_bundle(bundle, test), "p90", 0.90)
 
 
 @query
 def gbt_metrics(spark, sf):
-    return models.bundle_metrics(_bundle(spark, sf), _sets(spark, sf)[2])
+    bundle, _, test = _bundle(spark, sf)
+    return models.bundle_metrics(bundle, test)
 
 
 def _clocks(spark, sf) -> DataFrame:
@@ -857,18 +854,21 @@ def _clocks(spark, sf) -> DataFrame:
     )
 
 
+def _forecasts(spark, sf) -> DataFrame:
+    bundle, _, _ = _bundle(spark, sf)
+    return models.forecasts(bundle, visits(spark, sf), _clocks(spark, sf), S)
+
+
 @query
 def forecast_at(spark, sf):
-    records = models.forecasts(_bundle(spark, sf), visits(spark, sf), _clocks(spark, sf), S)
-    return records.select(
+    return _forecasts(spark, sf).select(
         "model_version", "prediction_time", "current_active_vehicles", F.inline("forecast")
     )
 
 
 @query
 def forecast_peak(spark, sf):
-    records = models.forecasts(_bundle(spark, sf), visits(spark, sf), _clocks(spark, sf), S)
-    return records.select(
+    return _forecasts(spark, sf).select(
         "model_version", "prediction_time", "current_active_vehicles", "peak_forecast.*"
     )
 
@@ -876,60 +876,46 @@ def forecast_peak(spark, sf):
 @query
 def gbt_single_horizon(spark, sf):
     """One model for three hours and one for six, without the horizon as input."""
-    out = []
-    for minutes in (180, 360):
-        train, validation, test = (
-            d.filter(F.col("horizon_minutes") == minutes) for d in _sets(spark, sf)
+    sets = _sets(spark, sf)
+    three, six = (
+        _boosted_metrics(
+            tuple(d.filter(F.col("horizon_minutes") == minutes) for d in sets), S.base_features
         )
-        model = _once(
-            spark,
-            sf,
-            f"single-{minutes}",
-            lambda: models.fit_boosted(train, validation, S.base_features, QUICK),
-        )
-        out.append(evaluate.point_metrics(models.score(model, test, S.base_features)))
-    return out[0].unionByName(out[1])
+        for minutes in (180, 360)
+    )
+    return three.unionByName(six)
 
 
 @query
 def param_search(spark, sf):
+    """All sampled configurations, each fitted in full."""
     train, validation, _ = _sets(spark, sf)
-    configs = [replace(c, max_depth=min(c.max_depth, 4)) for c in models.sample_params(3, QUICK)]
-    return models.search(train, validation, S.model_features, configs)
+    return models.search(train, validation, S.model_features, models.sample_params(base=PARAMS))
 
 
 @query
 def feature_importance(spark, sf):
-    bundle = _bundle(spark, sf)
-    return models.feature_importance(spark, bundle.point, bundle.features)
+    train, validation, _ = _sets(spark, sf)
+    point = models.fit_boosted(train, validation, S.model_features, PARAMS)
+    return models.feature_importance(spark, point, S.model_features)
 
 
 @query
 def permutation_importance(spark, sf):
-    bundle = _bundle(spark, sf)
-    return models.permutation_importance(
-        bundle.point, _sets(spark, sf)[1], bundle.features, repeats=3
-    )
+    train, validation, _ = _sets(spark, sf)
+    point = models.fit_boosted(train, validation, S.model_features, PARAMS)
+    return models.permutation_importance(point, validation, S.model_features)
 
 
 @query
 def gbt_reduced(spark, sf):
-    train, validation, test = _sets(spark, sf)
-    model = _once(
-        spark,
-        sf,
-        "reduced",
-        lambda: models.fit_boosted(train, validation, models.REDUCED_FEATURES, QUICK),
-    )
-    return evaluate.point_metrics(models.score(model, test, models.REDUCED_FEATURES))
+    return _boosted_metrics(_sets(spark, sf), models.REDUCED_FEATURES)
 
 
 @query
 def rf_benchmark(spark, sf):
     train, _, test = _sets(spark, sf)
-    model = _once(
-        spark, sf, "forest", lambda: models.fit_forest(train, S.model_features, 20, QUICK)
-    )
+    model = models.fit_forest(train, S.model_features, params=PARAMS)
     return evaluate.point_metrics(models.score(model, test, S.model_features))
 
 
