@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwellgrid.llm import (
+    infill,
     licenses,
     neardup,
     nndescent,
@@ -16,7 +17,9 @@ from dwellgrid.llm import (
     pieces,
     pii,
     quality,
+    resampling,
     sitestyle,
+    tokencounts,
     toxicity,
     urlfilter,
 )
@@ -149,6 +152,35 @@ def op10_best_fit_packing(spark, sf):
     return packing.packed(docs, tokenizer_file("word_bpe_49k.json"))
 
 
+@query
+def op11_importance_resampling(spark, sf):
+    """Features, weight, score and rank of every document, with ``benchmark`` as the target."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return resampling.resampled(docs, table(spark, sf, "benchmark").select("text"))
+
+
+@query
+def op12_token_counts(spark, sf):
+    """Bytes and tokens of every document."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return tokencounts.counted(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+@query
+def op13_fill_in_middle(spark, sf):
+    """Form, cuts and digests of every document's transformed and restored text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return infill.transformed(docs).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
@@ -222,5 +254,32 @@ best AS (
   GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
 FROM address LEFT JOIN best USING (n)
+""",
+    "op13_fill_in_middle": """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units)::BIGINT AS n,
+    ('0x' || substr(x, 1, 8))::BIGINT % (len(units) + 1) AS c1,
+    ('0x' || substr(x, 9, 8))::BIGINT % (len(units) + 1) AS c2,
+    ('0x' || substr(x, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(x, 25, 8))::BIGINT % 100 AS h4
+  FROM hashed),
+parts AS (
+  SELECT doc_id, text, n,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(units[1:least(c1, c2)], '') AS p,
+    array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+    array_to_string(units[greatest(c1, c2) + 1:n], '') AS s
+  FROM drawn)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+FROM parts
 """,
 }
