@@ -16,8 +16,7 @@ passages; their evidence is summed and mapped to a probability by a logistic cur
 labelled rows that took no part in the token scores.
 
 The fit uses at most ``Fit.rows`` labelled rows (those with the smallest hash of the identifier), so the
-list of identifiers that is broadcast, the vocabulary (``Fit.vocabulary``) and the histogram that
-reach the driver are bounded. Scoring covers every whole text and is a function of the row alone.
+list of identifiers that is broadcast, their words and the histogram that reach the driver are bounded. Scoring covers every whole text and is a function of the row alone.
 
 Null and empty texts have no token and get the probability of no evidence. Rows without label are
 scored like others; repeated rows are repeated. Without both labels in the sample every score is 0.
@@ -54,7 +53,6 @@ class Fit:
     """Parameters of the fit."""
 
     rows: int = 30_000
-    vocabulary: int = 50_000
     prior: float = 2.0
     least_documents: int = 3
     stems: tuple[int, ...] = (6, 4)
@@ -126,15 +124,15 @@ class _Scorer:
                 memo[w] = self.model.token(w)
         return np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
 
-    def passages(self, text: str) -> list[tuple[int, int, float, float]]:
-        """(first token, end token, score, evidence) of each significant segment."""
+    def passages(self, text: str) -> tuple[int, list[tuple[int, int, float, float]]]:
+        """Number of tokens, and (first token, end token, score, evidence) of each significant segment."""
         s = self.scores(text)
         out = []
         for a, b, score in maximal_segments(s):
             e = _evidence(self.model, score, len(s))
             if e > self.model.significant:
                 out.append((a, b, score, e))
-        return out
+        return len(s), out
 
 
 PASSAGE = StructType(
@@ -165,10 +163,8 @@ def toxicity(model: Model, text: Column) -> Column:
         for batch in batches:
             rows = []
             for t in batch:
-                t = t if isinstance(t, str) else ""
-                found = scorer.passages(t)
-                evidence = sum(x[3] for x in found)
-                rows.append((evidence, len(TOKEN.findall(t)) if found else -1, found))
+                n, found = scorer.passages(t if isinstance(t, str) else "")
+                rows.append((sum(x[3] for x in found), n, found))
             evidence = np.array([r[0] for r in rows], dtype=float)
             p = model.probability(evidence)
             yield pd.DataFrame(
@@ -271,23 +267,65 @@ def fit(docs: DataFrame, labels: DataFrame, p: Fit = Fit()) -> Model:
     if "w" not in sizes or not sizes["w"]["n1"] or not sizes["w"]["n0"]:
         return model
     totals = {k: (float(r["n1"] or 1), float(r["n0"] or 1)) for k, r in sizes.items()}
+    # All of them: the bound on labelled rows bounds their words.
     used = (
         counts.filter(F.col("c1") + F.col("c0") >= p.least_documents)
         .withColumn("score", F.expr(_log_odds(totals, p.prior)))
         .filter("score != 0")
-        .orderBy(F.desc(F.abs("score")), "kind", "token")
-        .limit(p.vocabulary)
-        .collect()
+        .select("kind", "token", "score", "c0")
+        .toArrow()
     )
-    model.words = {r["token"]: r["score"] for r in used if r["kind"] == "w"}
-    model.stems = {r["token"]: r["score"] for r in used if r["kind"] == "s"}
-    told = [(r["score"] - p.drift, r["c0"]) for r in used if r["kind"] == "w"]
+    kinds, tokens, scores, clean = (c.to_pylist() for c in used.columns)
+    model.words = {t: x for k, t, x in zip(kinds, tokens, scores) if k == "w"}
+    model.stems = {t: x for k, t, x in zip(kinds, tokens, scores) if k == "s"}
+    told = [(x - p.drift, n) for k, x, n in zip(kinds, scores, clean) if k == "w"]
     rest = totals["w"][1] - sum(n for _, n in told)
     scores, weights = zip(*told, (-p.drift, max(rest, 1.0)))
     model.lam = _solve_lambda(np.array(scores, dtype=float), np.array(weights, dtype=float))
     return _calibrated(model, rows.filter("fold = 1"))
 
 
+def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, free: tuple[bool, bool] = (True, True)) -> np.ndarray:
+    """Intercept and slope with the highest penalised likelihood of weighted labels.
+
+    Newton steps are halved until the likelihood rises enough. It is strictly concave, so this ends at
+    its one maximum, separable labels included; anything else is an error. A coefficient that is
+    not ``free`` keeps its start, a slope of 1.
+    """
+    design = np.column_stack([np.ones_like(x), x])
+    ridge = np.array([1e-3, 1e-2])
+    use = np.flatnonzero(free)
+
+    def likelihood(beta: np.ndarray) -> float:
+        z = design @ beta
+        return float((w * (y * z - np.logaddexp(0, z))).sum() - (ridge * beta * beta).sum() / 2)
+
+    beta = np.array([-2.0, 1.0])
+    for _ in range(200):
+        q = 1 / (1 + np.exp(-np.clip(design @ beta, -700, 700)))
+        grad = (design.T @ (w * (y - q)) - ridge * beta)[use]
+        if np.abs(grad).max() < 1e-7 * max(w.sum(), 1.0):
+            return beta
+        hess = (design.T @ (design * (w * q * (1 - q))[:, None]) + np.diag(ridge))[np.ix_(use, use)]
+        step = np.zeros(2)
+        step[use] = np.linalg.solve(hess, grad)
+        now, size, rise = likelihood(beta), 1.0, float(grad @ step[use])
+        while likelihood(beta + size * step) < now + 1e-4 * size * rise:
+            size /= 2
+            if size < 1e-12:
+                return beta  # no rise left within the precision of the sums
+        beta = beta + size * step
+    raise ArithmeticError("the calibration did not converge")
+
+
+def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+    """Intercept and a positive slope; without one in the data the slope is 1 and the intercept fitted."""
+    beta = _logistic(x, y, w)
+    if beta[1] <= 0:
+        beta = _logistic(x, y, w, (True, False))
+    return float(beta[0]), float(beta[1])
+
+
 def _calibrated(model: Model, rows: DataFrame) -> Model:
     """K from the best segments of clean rows, then the logistic curve over the evidence."""
 
@@ -297,13 +335,14 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
             out = []
             for t, toxic in zip(batch["text"], batch["toxic"]):
                 s = scorer.scores(t if isinstance(t, str) else "")
-                segs = sorted((x[2] for x in maximal_segments(s)), reverse=True)[:1]
                 if len(s) and toxic == 0:
-                    out.append((1, model.lam * (segs[0] if segs else 0.0) - math.log(len(s))))
+                    top = max((x[2] for x in maximal_segments(s)), default=0.0)
+                    out.append((1, model.lam * top - math.log(len(s))))
             yield pd.DataFrame(out, columns=["n", "x"])
 
     r = rows.mapInPandas(best, "n long, x double").agg(F.sum("n"), F.avg("x")).first()
     if r[0]:
+        # The mean of an extreme-value variable lies Euler's constant above its location.
         model.log_k = r[1] - 0.5772156649
     rated = rows.select("toxic", toxicity(model, F.col("text"))["evidence"].alias("e")).groupBy(
         "toxic", F.round(F.log1p("e"), 1).alias("x")
@@ -311,31 +350,20 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
     if rated["toxic"].nunique() < 2:
         return model
     x, y, w = (rated[c].to_numpy(dtype=float) for c in ("x", "toxic", "count"))
-    beta = np.array([-2.0, 1.0])
-    design = np.column_stack([np.ones_like(x), x])
-    ridge = np.array([1e-3, 1e-2])
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (w * (y - q)) - ridge * beta
-        hess = design.T @ (design * (w * q * (1 - q))[:, None]) + np.diag(ridge)
-        step = np.linalg.solve(hess, grad)
-        beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
-            break
-    model.intercept, model.slope = float(beta[0]), float(max(beta[1], 0.0))
+    model.intercept, model.slope = _curve(x, y, w)
     return model
 
 
 def rated(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` with score, predicted, evidence, n_tokens and passages."""
     plain = docs.drop(*RESULT.names)
-    return plain.withColumn("_tox", toxicity(model, F.col("text"))).select(
-        *[F.col(f"`{c}`") for c in plain.columns], "_tox.*"
+    found = "_".join(["tox", *plain.columns])  # a name that no column has
+    return plain.withColumn(found, toxicity(model, F.col("text"))).select(
+        *[F.col(f"`{c}`") for c in plain.columns], F.col(f"`{found}`.*")
     )
 
 
 def filtered(docs: DataFrame, labels: DataFrame, p: Fit = Fit()) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their own columns."""
     model = fit(docs, labels, p)
-    kept = docs.withColumn("_tox", toxicity(model, F.col("text"))["predicted"])
-    return kept.filter("_tox = 0").drop("_tox")
+    return docs.filter(toxicity(model, F.col("text"))["predicted"] == 0)
