@@ -2,10 +2,13 @@
 
 A text is marked (a mark in front, spaces become marks) and cut before each mark. The distinct marked
 words of a batch are sorted, which lists the leaves of their trie in depth-first order; a word
-keeps the forward scores of the prefix it shares with its predecessor and computes the rest. The
-best segmentation maximises the sum of the vocabulary's piece scores; characters outside the
-vocabulary become byte pieces. Ties go to the longer last piece. Words seen before are kept in a
-bounded memo of two generations, so a frequent word is segmented once per worker.
+keeps what its predecessor has for the prefix they share and goes on from there. What is kept per
+character of the prefix is the best score, where its last piece starts, and the nodes of the piece
+trie that are still open, one for each earlier start; a character moves the open nodes one step and
+closes those without a branch. So no substring is ever cut or looked up. The best segmentation maximises
+the sum of the vocabulary's piece scores; characters outside the vocabulary become byte pieces.
+Ties go to the longer last piece. Words seen before are kept in a bounded memo of two
+generations, so a frequent word is segmented once per worker.
 
 Decoding concatenates pieces, turns byte pieces into characters and marks into spaces; it gives back
 every text without the mark character exactly. Null texts are empty and have no pieces. Every
@@ -46,7 +49,13 @@ class Vocabulary:
                 self.byte_ids[int(piece[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.score[piece] = (sp.get_score(i), i)
-        self.longest = max(map(len, self.score))
+        # A node of the piece trie: branches by character, and score and id of the piece that ends here.
+        self.trie: tuple[dict, list] = ({}, [])
+        for piece, hit in self.score.items():
+            node = self.trie
+            for c in piece:
+                node = node[0].setdefault(c, ({}, []))
+            node[1].append(hit)
         # A character outside the vocabulary costs more than any piece, once per byte.
         self.byte_cost = min(s for s, _ in self.score.values()) - 10.0
         self.raw = [p.encode() for p in self.pieces]
@@ -57,25 +66,39 @@ class Vocabulary:
 
     def segment(self, words: Iterable[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
         """The best pieces of every word; ``words`` must be sorted."""
-        score, longest = self.score, self.longest
+        root = self.trie[0]
         best: list[float] = [0.0]
         back: list[tuple[int, tuple[int, ...]]] = [(0, ())]
+        # Per prefix the open nodes as (branches, best score at their start, start), earliest start first.
+        open_: list[list[tuple[dict, float, int]]] = [[(root, 0.0, 0)]]
         last = ""
         for w in words:
             keep, most = 0, min(len(last), len(w))
             while keep < most and last[keep] == w[keep]:
                 keep += 1
-            del best[keep + 1 :], back[keep + 1 :]
-            for end in range(keep + 1, len(w) + 1):
-                bytes_ = w[end - 1].encode("utf-8", "replace")
-                top = best[end - 1] + self.byte_cost * len(bytes_)
-                origin = (end - 1, tuple(self.byte_ids[b] for b in bytes_))
-                for start in range(max(0, end - longest), end):
-                    hit = score.get(w[start:end])
-                    if hit is not None and best[start] + hit[0] > top:
-                        top, origin = best[start] + hit[0], (start, (hit[1],))
+            del best[keep + 1 :], back[keep + 1 :], open_[keep + 1 :]
+            for end in range(keep, len(w)):
+                c = w[end]
+                top, origin, still = None, None, []
+                for branches, before, start in open_[end]:
+                    node = branches.get(c)
+                    if node is None:
+                        continue
+                    branches, hits = node
+                    if branches:
+                        still.append((branches, before, start))
+                    for score, i in hits:
+                        if top is None or before + score > top:
+                            top, origin = before + score, (start, (i,))
+                if top is None or top < best[end] + self.byte_cost:
+                    bytes_ = c.encode("utf-8", "replace")
+                    cost = best[end] + self.byte_cost * len(bytes_)
+                    if top is None or cost > top:
+                        top, origin = cost, (end, tuple(self.byte_ids[b] for b in bytes_))
+                still.append((root, top, end + 1))
                 best.append(top)
                 back.append(origin)
+                open_.append(still)
             last, at, parts = w, len(w), []
             while at:
                 at, ids = back[at]
@@ -133,7 +156,7 @@ def _groups(texts: list[str], size: int = 4_000_000) -> Iterator[list[str]]:
 
 
 def encoded(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with the array ``ids`` appended."""
+    """All columns of ``docs`` with the array ``ids``; a column called so is replaced."""
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -142,7 +165,7 @@ def encoded(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
             texts = [t if isinstance(t, str) else "" for t in batch]
             yield pd.Series([x.astype(np.int32) for g in _groups(texts) for x in v.encode(g)], dtype=object)
 
-    return docs.withColumn("ids", ids(text))
+    return docs.drop("ids").withColumn("ids", ids(F.col(text)))
 
 
 def decoded(rows: DataFrame, model_file: str) -> DataFrame:
@@ -158,7 +181,10 @@ def decoded(rows: DataFrame, model_file: str) -> DataFrame:
 
 
 def digest(docs: DataFrame, model_file: str) -> DataFrame:
-    """Number and checksum of each text's ids, and whether decoding gives the text back."""
+    """Number and checksum of each text's ids, and whether decoding gives the text back.
+
+    The other columns are kept; one called like a result is replaced.
+    """
 
     @F.pandas_udf(ENCODED)
     def summary(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -172,6 +198,7 @@ def digest(docs: DataFrame, model_file: str) -> DataFrame:
                     rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), back == t))
             yield pd.DataFrame(rows, columns=ENCODED.names)
 
-    return docs.withColumn("_p", summary("text")).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c != "text"], "_p.*"
+    others = [c for c in docs.columns if c not in ("text", *ENCODED.names)]
+    return docs.select(*[F.col(f"`{c}`") for c in others], summary("text").alias("".join(["_p", *others]))).select(
+        *[F.col(f"`{c}`") for c in others], F.col("`" + "".join(["_p", *others]) + "`.*")
     )
