@@ -332,13 +332,11 @@ def rules(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
 def filtered(docs: DataFrame, p: Mcd = Mcd()) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns.
 
-    The estimate comes from a first pass that stores only statistics; the second pass computes the
-    same statistics again beside the text, so that rows need no identifier and no join on one.
+    Statistics are computed once and written beside the whole row; the estimate reads the former alone and the
+    verdict is read from the same file, so rows need no identifier and no join on one.
     """
     extra = [*COUNTS, "n_lines", "n_upper", "n_distinct"]
-    stats = written(with_statistics(docs).select("lang", "source", *extra), "quality")
-    model = _written_cells(fit(stats, p), "quality-model")
-    plain = docs.columns
-    hidden = docs.select("*", F.struct(*plain).alias("_q_row"))
-    kept = judged(with_statistics(hidden), model, p).filter("kept")
-    return kept.select("_q_row.*")
+    hidden = docs.select("text", "lang", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row"))
+    stats = written(with_statistics(hidden).select("_q_row", "lang", "source", *extra), "quality")
+    model = _written_cells(fit(stats.drop("_q_row"), p), "quality-model")
+    return judged(stats, model, p).filter("kept").select("_q_row.*")
