@@ -53,6 +53,15 @@ class Counting:
     broadcast_bytes: int = 16_000_000
 
 
+def _is_latin(text: str) -> bool:
+    """Only characters below 256, whose classes have not changed since the first versions of Unicode."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Splitter:
     """Pre-tokens of a text, and pieces of a pre-token, by a vocabulary file."""
 
@@ -69,7 +78,7 @@ class Splitter:
         self.parts = regex.compile(PATTERN).findall
         tokenizer = Tokenizer.from_file(file)
         self.model, self.library = tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str
-        self.agreed, self.odd = set(map(chr, range(128))), set()
+        self.agreed, self.odd = set(), set()
         # Bytes as printable characters: printable ones stand for themselves, others come after 255.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.shown = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
@@ -81,7 +90,7 @@ class Splitter:
     def split(self, text: str) -> list[str]:
         """Pre-tokens. The pattern and the library know different versions of Unicode; a text with
         a character that the two class differently is split by the library."""
-        if not text.isascii():
+        if not _is_latin(text):
             chars = set(text)
             for c in chars - self.agreed - self.odd:
                 probe = f"a{c}b 1{c}{c} x"
