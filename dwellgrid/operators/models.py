@@ -1,37 +1,34 @@
-"""Forecast models on ``pyspark.ml``: fitting, scoring, search and importance.
+"""Forecast models: fitting, scoring, search, importance and versions.
 
-Training rows never leave the executors. Point and median forecasts are gradient-boosted
-trees; the P90 forecast adds, per horizon, the 0.9 quantile of the median model's validation
-residuals (split conformal), since MLlib has no quantile loss.
+The boosted trees are those of ``boosting``: point, median and P90 forecasts are three losses grown in
+step over one binned table. A forest from ``pyspark.ml`` is kept as another family. Training rows
+never leave the executors.
 """
 
 from __future__ import annotations
 
 import random
 import sys
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
+import numpy as np
+import pandas as pd
 import pyspark
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import (
-    GBTRegressionModel,
-    GBTRegressor,
-    RandomForestRegressionModel,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from dwellgrid.functions.quantiles import percentiles
-from dwellgrid.functions.running import running_total
+from dwellgrid.functions.joins import left_join
 from dwellgrid.functions.timecols import shift
-from dwellgrid.operators import asof, evaluate
-from dwellgrid.operators.supervised import check_feature_order
+from dwellgrid.operators import asof, boosting, evaluate, features, supervised
+from dwellgrid.operators.boosting import Model, TreeParams
 from dwellgrid.settings import Settings
-from dwellgrid.sources.storage import shared_folder
+from dwellgrid.sources.storage import written
+
+CHUNK_ROWS = 2048
 
 # The reduced feature list.
 REDUCED_FEATURES = [
@@ -54,75 +51,41 @@ REDUCED_FEATURES = [
 ]
 
 
-@dataclass(frozen=True)
-class TreeParams:
-    """Boosting parameters. The defaults, tuned in the study."""
+# The second booster as tuned in the study; leaves instead of levels, no least gain.
+LEAFWISE = TreeParams(
+    leaves=39,
+    max_depth=9,
+    learning_rate=0.092546,
+    min_rows=10,
+    row_share=0.768381,
+    column_share=0.828132,
+    min_gain=0.0,
+    l1=0.409007,
+    l2=4.373288,
+)
 
-    rounds: int = 1500
-    learning_rate: float = 0.051612
-    max_depth: int = 6
-    min_rows: int = 8
-    row_share: float = 0.988352
-    column_share: float = 0.952685
-    min_gain: float = 0.089951
-    max_bins: int = 64
-    seed: int = 42
+# The models of one horizon.
+SINGLE_HORIZON = TreeParams(
+    rounds=1000, learning_rate=0.05, min_rows=1, row_share=0.8, column_share=0.8, min_gain=0.0, l1=0.0, l2=1.0
+)
 
 
 @dataclass(frozen=True)
 class Bundle:
     """The three forecasts that belong together, and their inputs in order."""
 
-    point: GBTRegressionModel
-    p50: GBTRegressionModel
-    p90_offsets: DataFrame
+    point: Model
+    p50: Model
+    p90: Model
     features: list[str] = field(default_factory=list)
     version: str = "v001"
 
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-
-
-def _prepare(train: DataFrame, validation: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One narrow set with an indicator for the rows that only decide when to stop."""
-    both = train.withColumn("is_validation", F.lit(False)).unionByName(
-        validation.withColumn("is_validation", F.lit(True))
-    )
-    return assemble(both, features).select("features", "target", "is_validation")
-
-
 def fit_boosted(
-    train: DataFrame,
-    validation: DataFrame,
-    features: Sequence[str],
-    params: TreeParams = TreeParams(),
-    loss: str = "squared",
-) -> GBTRegressionModel:
-    """Boosted trees that stop once the validation loss no longer falls.
-
-    MLlib stops on a relative tolerance instead of a number of rounds, so the tolerance is
-    set close to zero. Tree state is checkpointed in the shared folder every ten rounds.
-    """
-    train.sparkSession.sparkContext.setCheckpointDir(shared_folder(train.sparkSession))
-    booster = GBTRegressor(
-        featuresCol="features",
-        labelCol="target",
-        maxIter=params.rounds,
-        stepSize=params.learning_rate,
-        maxDepth=params.max_depth,
-        minInstancesPerNode=params.min_rows,
-        subsamplingRate=params.row_share,
-        featureSubsetStrategy=str(params.column_share),
-        minInfoGain=params.min_gain,
-        maxBins=params.max_bins,
-        lossType=loss,
-        validationIndicatorCol="is_validation",
-        validationTol=1e-6,
-        checkpointInterval=10,
-        seed=params.seed,
-    )
-    return booster.fit(_prepare(train, validation, features))
+    train: DataFrame, validation: DataFrame, features: Sequence[str], params: TreeParams = TreeParams()
+) -> Model:
+    """One boosted model, ended by patience on the validation rows and cut at its best round."""
+    return boosting.fit(boosting.binned(train, validation, features, params.max_bins), [params])[0]
 
 
 def fit_forest(
@@ -131,7 +94,7 @@ def fit_forest(
     trees: int = 100,
     params: TreeParams = TreeParams(),
 ) -> RandomForestRegressionModel:
-    """The second model family, for comparison."""
+    """Another model family, for comparison."""
     forest = RandomForestRegressor(
         featuresCol="features",
         labelCol="target",
@@ -143,23 +106,20 @@ def fit_forest(
         maxBins=params.max_bins,
         seed=params.seed,
     )
-    return forest.fit(assemble(train, features).select("features", "target"))
+    return forest.fit(_assembled(train, features).select("features", "target"))
 
 
-def score(model, rows: DataFrame, features: Sequence[str], name: str = "prediction") -> DataFrame:
-    scored = model.transform(assemble(rows, features)).drop("features")
-    return scored if name == "prediction" else scored.withColumnRenamed("prediction", name)
+def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
-def residual_offsets(
-    p50: GBTRegressionModel, validation: DataFrame, features: Sequence[str], alpha: float = 0.90
-) -> DataFrame:
-    """Per horizon the ``alpha`` quantile of the residuals: what P90 lies above P50, at least 0."""
-    residuals = score(p50, validation, features, "p50").select(
-        "horizon_minutes", (F.col("target") - F.col("p50")).alias("residual")
-    )
-    cut = percentiles(residuals, "residual", {"offset": alpha}, ["horizon_minutes"])
-    return cut.select("horizon_minutes", F.greatest(F.col("offset"), F.lit(0.0)).alias("offset"))
+def score_forest(model: RandomForestRegressionModel, rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    return model.transform(_assembled(rows, features)).drop("features")
+
+
+def score(model: Model, rows: DataFrame, name: str = "prediction") -> DataFrame:
+    """``rows`` with the model's prediction."""
+    return rows.withColumn(name, boosting.predicted({"p": model})["p"])
 
 
 def fit_bundle(
@@ -169,24 +129,20 @@ def fit_bundle(
     s: Settings = Settings(),
     version: str = "v001",
 ) -> Bundle:
-    features = s.model_features
-    p50 = fit_boosted(train, validation, features, params, "absolute")
-    # One row per horizon: small by definition, and fixed once fitted.
-    offsets = residual_offsets(p50, validation, features)
-    rows = [(r["horizon_minutes"], r["offset"]) for r in offsets.collect()]
-    fixed = train.sparkSession.createDataFrame(rows, "horizon_minutes int, offset double")
-    point = fit_boosted(train, validation, features, params, "squared")
-    return Bundle(point, p50, fixed, features, version)
+    """Point, median and P90 model, grown in step over one binned table."""
+    table = boosting.binned(train, validation, s.model_features, params.max_bins)
+    configs = [params, replace(params, alpha=0.5), replace(params, alpha=0.9)]
+    return Bundle(*boosting.fit(table, configs), s.model_features, version)
 
 
 def score_bundle(bundle: Bundle, rows: DataFrame) -> DataFrame:
     """Add ``point``, ``p50`` and ``p90``; P90 is never below P50."""
-    scored = score(bundle.point, rows, bundle.features, "point")
-    scored = score(bundle.p50, scored, bundle.features, "p50")
-    return (
-        scored.join(F.broadcast(bundle.p90_offsets), "horizon_minutes", "left")
-        .withColumn("p90", F.col("p50") + F.coalesce(F.col("offset"), F.lit(0.0)))
-        .drop("offset")
+    found = boosting.predicted({"point": bundle.point, "p50": bundle.p50, "p90": bundle.p90})
+    return rows.withColumn("__found", found).select(
+        *rows.columns,
+        "__found.point",
+        "__found.p50",
+        F.greatest("__found.p50", "__found.p90").alias("p90"),
     )
 
 
@@ -238,6 +194,14 @@ def forecasts(bundle: Bundle, visits: DataFrame, instants: DataFrame, s: Setting
     )
 
 
+def forecasts_or_reasons(
+    bundle: Bundle, visits: DataFrame, instants: DataFrame, s: Settings = Settings()
+) -> DataFrame:
+    """One record per distinct instant: the forecast, or why there is none."""
+    asked = asof.eligibility(visits, instants, s)
+    return left_join(asked, forecasts(bundle, visits, instants, s), [*s.keys, "prediction_time"])
+
+
 def peak_of(one):
     """The record with the highest point forecast within a group, earliest horizon on ties."""
     return F.max_by(one, F.struct(one["point_prediction"], -one["horizon_minutes"]))
@@ -254,7 +218,7 @@ def with_peak_time(records: DataFrame) -> DataFrame:
 
 
 def sample_params(n: int = 30, base: TreeParams = TreeParams(), seed: int = 42) -> list[TreeParams]:
-    """Random configurations. The ranges of the search space."""
+    """Random configurations by level. The ranges of the search space."""
     draw = random.Random(seed)
     return [
         replace(
@@ -265,6 +229,27 @@ def sample_params(n: int = 30, base: TreeParams = TreeParams(), seed: int = 42)
             row_share=round(draw.uniform(0.7, 1.0), 6),
             column_share=round(draw.uniform(0.7, 1.0), 6),
             min_gain=round(draw.uniform(0.0, 0.2), 6),
+            l1=round(draw.uniform(0.0, 0.5), 6),
+            l2=round(draw.uniform(0.5, 5.0), 6),
+        )
+        for _ in range(n)
+    ]
+
+
+def sample_leafwise(n: int = 30, base: TreeParams = LEAFWISE, seed: int = 42) -> list[TreeParams]:
+    """Random configurations by leaf. The ranges of the search space."""
+    draw = random.Random(seed)
+    return [
+        replace(
+            base,
+            leaves=draw.randint(15, 63),
+            max_depth=draw.randint(3, 9),
+            learning_rate=round(draw.uniform(0.02, 0.10), 6),
+            min_rows=draw.randint(10, 79),
+            row_share=round(draw.uniform(0.7, 1.0), 6),
+            column_share=round(draw.uniform(0.7, 1.0), 6),
+            l1=round(draw.uniform(0.0, 0.5), 6),
+            l2=round(draw.uniform(0.5, 5.0), 6),
         )
         for _ in range(n)
     ]
@@ -275,22 +260,26 @@ def search(
     validation: DataFrame,
     features: Sequence[str],
     configs: Sequence[TreeParams],
-    parallelism: int = 2,
+    together: int = 10,
 ) -> DataFrame:
-    """Fit every configuration and rank them by validation MAE."""
-
-    def one(numbered: tuple[int, TreeParams]) -> tuple:
-        i, params = numbered
-        model = fit_boosted(train, validation, features, params)
-        mae = score(model, validation, features).agg(
-            F.avg(F.abs(F.col("target") - F.col("prediction")))
-        ).first()[0]
-        return (i, float(mae), model.getNumTrees, *asdict(params).values())
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = list(pool.map(one, enumerate(configs, start=1)))
+    """Fit every configuration and rank them by validation MAE.
+
+    The rows are binned once; ``together`` configurations grow in step, which bounds the sums of a pass.
+    All models are scored in one pass over the validation rows.
+    """
+    table = boosting.binned(train, validation, features, configs[0].max_bins)
+    found: list[Model] = []
+    for i in range(0, len(configs), together):
+        found += boosting.fit(table, configs[i : i + together])
+    names = {f"m{i}": m for i, m in enumerate(found, start=1)}
+    scored = validation.select("target", boosting.predicted(names).alias("p"))
+    mae = scored.agg(*[F.avg(F.abs(F.col("target") - F.col(f"p.{n}"))).alias(n) for n in names]).first()
+    rows = [
+        (i, float(mae[f"m{i}"]), len(m.trees), *asdict(c).values())
+        for i, (m, c) in enumerate(zip(found, configs), start=1)
+    ]
     types = {int: "int", float: "double"}
-    columns = ", ".join(f"{k} {types[type(v)]}" for k, v in asdict(configs[0]).items())
+    columns = ", ".join(f"{k} {types[type(v)]}" for k, v in asdict(TreeParams()).items())
     return train.sparkSession.createDataFrame(
         rows, f"iteration int, validation_mae double, trees int, {columns}"
     ).orderBy("validation_mae", "iteration")
@@ -299,71 +288,62 @@ def search(
 # ---- importance ------------------------------------------------------------------------
 
 
-def feature_importance(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
-    pairs = list(zip(features, (float(v) for v in model.featureImportances.toArray())))
+def feature_importance(spark: SparkSession, model: Model) -> DataFrame:
+    """Mean gain of each feature's splits, as a share."""
+    pairs = [(f, float(v)) for f, v in model.importance().items()]
     return spark.createDataFrame(pairs, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
 
 
 def permutation_importance(
-    model, rows: DataFrame, features: Sequence[str], repeats: int = 10, seed: int = 42
+    model: Model, rows: DataFrame, repeats: int = 10, seed: int = 42, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Rise of the MAE when one feature's values are dealt out again at random.
 
-    The rows get a random order from a hash; a permutation moves each value a random number
-    of places along that order, which pairs every row with exactly one other. All features
-    and repeats are scored in one job.
+    Rows are dealt to chunks by a hash of their number in the stored table, so each chunk is a random part of all
+    rows and equal rows are spread. Values are exchanged inside a chunk, and all that leaves
+    a task is one sum per feature and repeat.
     """
-    base = assemble(rows, features).select(
-        vector_to_array("features").alias("x"),
-        "target",
-        F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns]).alias("__h"),
-    )
-    ordered = running_total(
-        base.withColumns(
-            {"__part": F.shiftright("__h", 48), "__one": F.lit(1).cast("bigint")}
+    names = model.features
+    numbered = written(
+        rows.select(
+            *[F.col(f).cast("double") for f in names],
+            F.col("target").cast("double"),
+            F.monotonically_increasing_id().alias("__row"),
         ),
-        ["__h", "target"],
-        {"__place": "__one"},
-        levels=["__part"],
-    ).select("__place", "x", "target")
-
-    n = base.count()
-    step = F.pmod(F.xxhash64(F.lit(seed), "feature_no", "repeat"), F.lit(max(n - 1, 1))) + 1
-    donors = (
-        ordered.select(
-            "__place",
-            F.posexplode("x").alias("feature_no", "value"),
-        )
-        .select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
-        .select(
-            (F.pmod(F.col("__place") - 1 + step, F.lit(n)) + 1).alias("__place"),
-            "feature_no",
-            "repeat",
-            "value",
-        )
+        "permuted",
     )
-    dealt = ordered.join(donors, "__place").select(
-        "target",
-        "feature_no",
-        "repeat",
-        array_to_vector(
-            F.transform("x", lambda v, i: F.when(i == F.col("feature_no"), F.col("value")).otherwise(v))
-        ).alias("features"),
+    n = numbered.count()
+    parts = max(1, -(-n // chunk_rows))
+
+    def exchange(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            row = b["__row"].to_numpy()
+            order = np.argsort(row)
+            target = b["target"].to_numpy()[order]
+            x = b[names].to_numpy(dtype=float).T[:, order].copy()
+            out = [(-1, 0, float(np.abs(target - model.predict(x)).sum()))]
+            for f in range(len(names)):
+                own = x[f].copy()
+                for r in range(repeats):
+                    rng = np.random.default_rng([seed, f, r, int(row.min())])
+                    x[f] = own[rng.permutation(len(own))]
+                    out.append((f, r, float(np.abs(target - model.predict(x)).sum())))
+                x[f] = own
+            yield pd.DataFrame(out, columns=["feature_no", "repeat", "error"])
+
+    dealt = numbered.repartition(parts, F.xxhash64(F.lit(seed), "__row"))
+    sums = dealt.mapInPandas(exchange, "feature_no int, repeat int, error double")
+    mae = sums.groupBy("feature_no", "repeat").agg((F.sum("error") / F.lit(max(n, 1))).alias("mae"))
+    plain = mae.filter("feature_no = -1").select(F.col("mae").alias("plain"))
+    rises = mae.filter("feature_no >= 0").join(F.broadcast(plain)).withColumn(
+        "rise", F.col("mae") - F.col("plain")
     )
-    mae = F.avg(F.abs(F.col("target") - F.col("prediction")))
-    reference = score(model, rows, features).agg(mae).scalar()
-    rises = (
-        model.transform(dealt)
-        .groupBy("feature_no", "repeat")
-        .agg(mae.alias("__mae"))
-        .withColumn("__rise", F.col("__mae") - reference)
-    )
-    name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature_no") + 1)
+    name = F.element_at(F.array(*[F.lit(f) for f in names]), F.col("feature_no") + 1)
     return (
         rises.groupBy("feature_no")
-        .agg(F.avg("__rise").alias("importance_mean"), F.stddev_pop("__rise").alias("importance_std"))
+        .agg(F.avg("rise").alias("importance_mean"), F.stddev_pop("rise").alias("importance_std"))
         .select(name.alias("feature"), "importance_mean", "importance_std")
         .orderBy(F.desc("importance_mean"), "feature")
     )
@@ -379,11 +359,12 @@ REGISTRY_SCHEMA = (
 
 
 def _registry(spark: SparkSession, path: str) -> DataFrame:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not files.exists(location):
+    try:
+        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], REGISTRY_SCHEMA)
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
 
 
 def next_version(spark: SparkSession, registry: str) -> str:
@@ -421,25 +402,50 @@ def register(candidate: DataFrame, registry: str) -> DataFrame:
     return row
 
 
+METRICS = (
+    "version string, model string, split string, horizon_minutes int, mae double, mse double, "
+    "rmse double, pinball_loss double, coverage double, n bigint"
+)
+
+
+def version_metrics(bundle: Bundle, sets: dict[str, DataFrame]) -> DataFrame:
+    """Metrics of the three models per split and horizon, one row each."""
+    parts = []
+    for split, rows in sets.items():
+        scored = score_bundle(bundle, rows)
+        point = evaluate.point_metrics(scored, "point").withColumn("model", F.lit("point"))
+        quantiles = [
+            evaluate.quantile_metrics(scored, name, alpha).withColumn("model", F.lit(name))
+            for name, alpha in (("p50", 0.5), ("p90", 0.9))
+        ]
+        for q in (point, *quantiles):
+            parts.append(q.withColumn("split", F.lit(split)))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part, allowMissingColumns=True)
+    names = [f.split()[0] for f in METRICS.split(", ")]
+    return every.withColumn("version", F.lit(bundle.version)).select(*names)
+
+
 def save(bundle: Bundle, folder: str, params: TreeParams, split_rows: dict[str, int]) -> None:
     """Write the models, the ordered feature list and one row of training metadata."""
-    spark = bundle.p90_offsets.sparkSession
+    spark = SparkSession.active()
     base = f"{folder}/{bundle.version}"
-    bundle.point.write().save(f"{base}/point")
-    bundle.p50.write().save(f"{base}/p50")
-    bundle.p90_offsets.coalesce(1).write.parquet(f"{base}/p90_offsets")
+    named = {"point": bundle.point, "p50": bundle.p50, "p90": bundle.p90}
+    boosting.to_nodes(spark, named).write.parquet(f"{base}/trees")
     about = {
         "version": bundle.version,
         "feature_names": bundle.features,
         "feature_count": len(bundle.features),
+        "trees": {k: len(m.trees) for k, m in named.items()},
         "rows": split_rows,
         "parameters": {k: float(v) for k, v in asdict(params).items()},
         "python": sys.version.split()[0],
         "pyspark": pyspark.__version__,
     }
     schema = (
-        "version string, feature_names array<string>, feature_count int, rows map<string, bigint>, "
-        "parameters map<string, double>, python string, pyspark string"
+        "version string, feature_names array<string>, feature_count int, trees map<string, int>, "
+        "rows map<string, bigint>, parameters map<string, double>, python string, pyspark string"
     )
     spark.createDataFrame([about], schema).withColumn("created_at", F.current_timestamp()).coalesce(
         1
@@ -449,17 +455,46 @@ def save(bundle: Bundle, folder: str, params: TreeParams, split_rows: dict[str,
 def load(spark: SparkSession, folder: str, version: str, s: Settings = Settings()) -> Bundle:
     """Read a saved version; its feature list has to match the model features in order."""
     base = f"{folder}/{version}"
-    features = spark.read.parquet(f"{base}/metadata").first()["feature_names"]
-    if list(features) != s.model_features:
+    names = list(spark.read.parquet(f"{base}/metadata").first()["feature_names"])
+    if names != s.model_features:
         raise ValueError("stored feature list differs from the model features")
-    return Bundle(
-        GBTRegressionModel.load(f"{base}/point"),
-        GBTRegressionModel.load(f"{base}/p50"),
-        spark.read.parquet(f"{base}/p90_offsets"),
-        list(features),
-        version,
+    found = boosting.from_nodes(spark.read.parquet(f"{base}/trees"), names)
+    return Bundle(found["point"], found["p50"], found["p90"], names, version)
+
+
+# ---- workflows -------------------------------------------------------------------------
+
+
+def train(visits: DataFrame, folder: str, params: TreeParams = TreeParams(), s: Settings = Settings()) -> DataFrame:
+    """From visits to a registered version: rows, split, fits, metrics, files, decision.
+
+    Returns the registry row. The candidate becomes active only if both mean validation errors are lower.
+    """
+    spark = visits.sparkSession
+    long = written(supervised.long_set(features.wide_frame(visits, s), s), "long")
+    supervised.check_split(long, s)
+    fitted_on, validation, test = supervised.split(long, s)
+    version = next_version(spark, f"{folder}/registry")
+    bundle = fit_bundle(fitted_on, validation, params, s, version)
+    rows = {
+        "train": fitted_on.count(),
+        "validation": validation.count(),
+        "test": test.count(),
+    }
+    save(bundle, folder, params, rows)
+    metrics = version_metrics(bundle, {"validation": validation, "test": test})
+    metrics.coalesce(1).write.parquet(f"{folder}/{version}/metrics")
+    stored = spark.read.schema(METRICS).parquet(f"{folder}/{version}/metrics")
+    candidate = evaluate.metric_summary(stored.filter("model = 'point' AND split = 'validation'"))
+    return register(
+        candidate.select(F.lit(version).alias("version"), "mean_mae", "mean_mse"), f"{folder}/registry"
     )
 
 
-def check_inputs(rows: DataFrame, bundle: Bundle, s: Settings = Settings()) -> None:
-    check_feature_order(rows, bundle.features, s)
+def forecast_active(
+    visits: DataFrame, instants: DataFrame, folder: str, s: Settings = Settings()
+) -> DataFrame:
+    """Forecasts of the registered active version at each instant; refused instants keep a row with the reason."""
+    spark = visits.sparkSession
+    bundle = load(spark, folder, active_version(spark, f"{folder}/registry"), s)
+    return forecasts_or_reasons(bundle, visits, instants, s)

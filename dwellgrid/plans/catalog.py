@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -809,10 +810,12 @@ def _sets(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     return supervised.split(storage.written(long_of(spark, sf), "long"), S)
 
 
-def _boosted_metrics(sets: tuple[DataFrame, DataFrame, DataFrame], names: list[str]) -> DataFrame:
+def _boosted_metrics(
+    sets: tuple[DataFrame, DataFrame, DataFrame], names: list[str], params: models.TreeParams = PARAMS
+) -> DataFrame:
     train, validation, test = sets
-    model = models.fit_boosted(train, validation, names, PARAMS)
-    return evaluate.point_metrics(models.score(model, test, names))
+    model = models.fit_boosted(train, validation, names, params)
+    return evaluate.point_metrics(models.score(model, test))
 
 
 def _bundle(spark, sf) -> tuple[models.Bundle, DataFrame, DataFrame]:
@@ -829,10 +832,9 @@ def gbt_point(spark, sf):
 @query
 def gbt_p50(spark, sf):
     train, validation, test = _sets(spark, sf)
-    model = models.fit_boosted(train, validation, S.model_features, PARAMS, "absolute")
-    return evaluate.quantile_metrics(
-        models.score(model, test, S.model_features), "prediction", 0.50
-    )
+    median = replace(PARAMS, alpha=0.5)
+    model = models.fit_boosted(train, validation, S.model_features, median)
+    return evaluate.quantile_metrics(models.score(model, test), "prediction", 0.50)
 
 
 @query
@@ -879,7 +881,9 @@ def gbt_single_horizon(spark, sf):
     sets = _sets(spark, sf)
     three, six = (
         _boosted_metrics(
-            tuple(d.filter(F.col("horizon_minutes") == minutes) for d in sets), S.base_features
+            tuple(d.filter(F.col("horizon_minutes") == minutes) for d in sets),
+            S.base_features,
+            models.SINGLE_HORIZON,
         )
         for minutes in (180, 360)
     )
@@ -897,14 +901,14 @@ def param_search(spark, sf):
 def feature_importance(spark, sf):
     train, validation, _ = _sets(spark, sf)
     point = models.fit_boosted(train, validation, S.model_features, PARAMS)
-    return models.feature_importance(spark, point, S.model_features)
+    return models.feature_importance(spark, point)
 
 
 @query
 def permutation_importance(spark, sf):
     train, validation, _ = _sets(spark, sf)
     point = models.fit_boosted(train, validation, S.model_features, PARAMS)
-    return models.permutation_importance(point, validation, S.model_features)
+    return models.permutation_importance(point, validation)
 
 
 @query
@@ -916,7 +920,49 @@ def gbt_reduced(spark, sf):
 def rf_benchmark(spark, sf):
     train, _, test = _sets(spark, sf)
     model = models.fit_forest(train, S.model_features, params=PARAMS)
-    return evaluate.point_metrics(models.score(model, test, S.model_features))
+    return evaluate.point_metrics(models.score_forest(model, test, S.model_features))
+
+
+@query
+def leafwise_benchmark(spark, sf):
+    """The second booster: best leaf first."""
+    return _boosted_metrics(_sets(spark, sf), S.model_features, models.LEAFWISE)
+
+
+@query
+def leafwise_search(spark, sf):
+    """All sampled configurations of the second booster."""
+    train, validation, _ = _sets(spark, sf)
+    return models.search(train, validation, S.model_features, models.sample_leafwise())
+
+
+@query
+def gbt_rows(spark, sf):
+    """Test rows by horizon that were forecast, and how many break what every forecast has to keep."""
+    bundle, _, test = _bundle(spark, sf)
+    scored = models.score_bundle(bundle, test)
+    bad = " OR ".join(f"{c} IS NULL OR isnan({c}) OR abs({c}) > 1e9" for c in ("point", "p50", "p90"))
+    return scored.groupBy("horizon_minutes").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("p90") < F.col("p50")).alias("crossed"),
+        F.count_if(F.expr(bad)).alias("unusable"),
+    )
+
+
+@query
+def forecast_or_reason(spark, sf):
+    """Every instant asked for, with its number of horizons forecast or the reason for none."""
+    bundle, _, _ = _bundle(spark, sf)
+    v = visits(spark, sf)
+    early = v.agg((F.min("entry_time") - F.expr("INTERVAL '1' HOUR")).alias("prediction_time"))
+    asked = _clocks(spark, sf).unionByName(early)
+    return models.forecasts_or_reasons(bundle, v, asked, S).select(
+        "prediction_time",
+        "is_eligible",
+        "reason",
+        F.coalesce(F.size("forecast"), F.lit(0)).cast("long").alias("n_horizons"),
+        "current_active_vehicles",
+    )
 
 
 # ---- stream ----------------------------------------------------------------------------

@@ -353,9 +353,9 @@ def oracle_sql() -> dict[str, str]:
         "visits_clean": (_dirty(), "SELECT * FROM dirty"),
         "validation_stats": (
             _dirty(),
-            "SELECT count(*) AS n, count(*) FILTER (entry_time IS NULL) AS bad_entry, "
-            "count(*) FILTER (exit_time IS NULL) AS bad_exit, count(*) FILTER (duration_min IS NULL) AS bad_duration, "
-            "count(*) FILTER (exit_time < entry_time) AS inverted FROM dirty",
+            "SELECT count(*) AS visits, count(*) FILTER (entry_time IS NULL) AS broken_entry, "
+            "count(*) FILTER (exit_time IS NULL) AS broken_exit, count(*) FILTER (duration_min IS NULL) AS broken_duration, "
+            "count(*) FILTER (exit_time < entry_time) AS broken_order FROM dirty",
         ),
         "visits_lenient": (
             _dirty(),
@@ -477,6 +477,21 @@ def oracle_sql() -> dict[str, str]:
         "supervised_long": (LONG, f"SELECT {_wide_select(LONG_COLS, MEANS)} FROM long"),
         "rows_by_horizon": (LONG, "SELECT horizon_minutes, count(*) AS n FROM long GROUP BY 1"),
         "split_counts": (LONG, "SELECT split, horizon_minutes, count(*) AS n FROM split GROUP BY 1, 2"),
+        "gbt_rows": (
+            LONG,
+            "SELECT horizon_minutes, count(*) AS n, 0::BIGINT AS crossed, 0::BIGINT AS unusable "
+            "FROM split WHERE split = 'test' GROUP BY 1",
+        ),
+        "forecast_or_reason": (
+            RAW,
+            "SELECT t AS prediction_time, why IS NULL AS is_eligible, why AS reason, "
+            "CASE WHEN why IS NULL THEN 6 ELSE 0 END::BIGINT AS n_horizons, "
+            "CASE WHEN why IS NULL THEN inside::DOUBLE END AS current_active_vehicles FROM ("
+            f"SELECT t, {reason('t', 't >= first')} AS why, "
+            "(SELECT count(*) FILTER (entry_time <= t) - count(*) FILTER (exit_time <= t) FROM visits) AS inside FROM ("
+            f"SELECT DISTINCT {bucket('entry_time')} AS t FROM visits UNION SELECT min(entry_time) - INTERVAL 1 HOUR FROM visits), "
+            "(SELECT min(entry_time) AS first FROM visits))",
+        ),
         "split_bounds": (
             LONG,
             "SELECT max(CASE WHEN i = floor(n * 0.70) + 1 THEN timestamp END) AS train_end, "

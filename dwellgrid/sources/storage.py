@@ -31,3 +31,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def emptied(table: DataFrame) -> None:
+    """Drop the rows of a table from ``written`` that nothing reads any more.
+
+    Overwriting removes the files through Spark's own writer, on any file system.
+    """
+    files = table.inputFiles()
+    if files:
+        path = files[0].rsplit("/", 1)[0]
+        spark = table.sparkSession
+        spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)

@@ -13,6 +13,10 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 SOME = [
+    "gbt_rows",
+    "forecast_or_reason",
+    "validation_stats",
+    "visits_lenient",
     "visits_clean",
     "occupancy_grid_keyed",
     "event_occupancy_keyed",

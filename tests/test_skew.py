@@ -49,9 +49,7 @@ def test_grid_keeps_every_visit(skewed):
     assert grid.occupancy_grid(skewed.filter("site = 'hot'"), S).count() == 2
 
 
-@pytest.mark.parametrize("few", [0, 500_000])
-def test_counts_at_both_ways(skewed, few, monkeypatch):
-    monkeypatch.setattr(asof, "FEW_CHUNKS", few)
+def test_counts_at_probes(skewed):
     probes = skewed.selectExpr("site", "entry_time + INTERVAL '10' MINUTE AS probe_ts").distinct()
     probes = probes.filter("probe_ts < timestamp_ntz'2024-01-06 00:00:00'")
     got = asof.counts_at(skewed, probes, SITE).selectExpr("site", "probe_ts", "entered - left AS inside")

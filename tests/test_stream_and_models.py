@@ -85,7 +85,7 @@ def test_forecasts_are_ordered_and_peak_is_first_maximum(spark, fitted):
     bundle, _, _, test = fitted
     scored = models.score_bundle(bundle, test)
     assert scored.filter("p90 < p50").count() == 0 and scored.count() == test.count()
-    assert bundle.point.getNumTrees > 1
+    assert len(bundle.point.trees) > 1
     one = F.struct("horizon_minutes", "point_prediction")
     ties = spark.createDataFrame(
         [("a", 15, 1.0), ("a", 30, 5.0), ("a", 60, 5.0), ("b", 15, 2.0), ("b", 30, 1.0)],
@@ -118,20 +118,61 @@ def test_permuting_a_useless_feature_changes_nothing(spark, fitted):
     bundle, _, validation, _ = fitted
     rows = {
         r.feature: r
-        for r in models.permutation_importance(bundle.point, validation, bundle.features, repeats=2).collect()
+        for r in models.permutation_importance(bundle.point, validation, repeats=2).collect()
     }
     assert len(rows) == 29
-    used = dict(zip(bundle.features, bundle.point.featureImportances.toArray()))
+    used = bundle.point.importance()
     for name, r in rows.items():
         if used[name] == 0.0:
             assert r.importance_mean == pytest.approx(0.0, abs=1e-12)
     assert rows["active_vehicles"].importance_mean > 0
 
 
-def test_kafka_options_are_set(spark):
-    # The connector is not on the class path here, so the source itself cannot be loaded.
-    with pytest.raises(Exception, match="(?i)kafka"):
-        ingest.kafka_messages(spark, "nowhere:9092", "visits")
+class Recorder:
+    """Stands in for a stream reader or writer and keeps what it is told."""
+
+    def __init__(self):
+        self.told = {}
+
+    def __getattr__(self, name):
+        def call(*args, **named):
+            key = args[0] if name == "option" else name
+            self.told[key] = args[1] if name == "option" else (args or named)
+            return self
+
+        return call
+
+
+def test_kafka_options_are_set():
+    reader = Recorder()
+    session = type("Session", (), {"readStream": reader})()
+    ingest.kafka_messages(session, "host:9092", "visits", "latest")
+    assert reader.told == {
+        "format": ("kafka",),
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "visits",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+        "load": {},
+    }
+
+
+def test_start_offsets_by_partition_are_checked():
+    reader = Recorder()
+    session = type("Session", (), {"readStream": reader})()
+    ingest.kafka_messages(session, "host:9092", "visits", {0: 17, 1: "earliest", 2: "latest"})
+    assert reader.told["startingOffsets"] == '{"visits": {"0": 17, "1": -2, "2": -1}}'
+    for wrong in ("yesterday", {}, {0: "soon"}, {-1: 5}, {0: -7}):
+        with pytest.raises(ValueError, match="start"):
+            ingest.kafka_messages(session, "host:9092", "visits", wrong)
+
+
+@pytest.mark.parametrize("drain, trigger", [(False, {"processingTime": "7 seconds"}), (True, {"availableNow": True})])
+def test_triggers_and_checkpoint(drain, trigger):
+    writer = Recorder()
+    rows = type("Rows", (), {"writeStream": writer})()
+    ingest.start(rows, print, "/some/where", 7, drain)
+    assert writer.told == {"foreachBatch": (print,), "checkpointLocation": "/some/where", "trigger": trigger, "start": {}}
 
 
 def test_wide_frame_scans_the_visits_for_two_columns(spark):
