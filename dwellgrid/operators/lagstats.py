@@ -1,12 +1,12 @@
 """Autocorrelation of the occupancy series.
 
-Rows meet their own past through a trailing frame inside a time chunk; the products are
-summed map-side, so only one partial row per lag and task is shuffled.
+A few labelled lags are read through a trailing frame inside a time chunk. For all lags up to a bound, a chunk
+and the rows just before it become one array, and the sums of products of its slices against
+themselves, one row per lag, are all that leaves a chunk.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -64,26 +64,55 @@ def acf_at(flagged: DataFrame, lags: Sequence[tuple[str, int]] = STUDY_LAGS, s:
     )
 
 
-def _lag_pairs(near: DataFrame, max_lag: int, order: str, keys: Sequence[str]) -> DataFrame:
-    """Rows (lag, x, y): a value and the one ``lag`` places before it, lag 0 included."""
-    w = in_chunk(keys, order, (-max_lag, 0))
-    # A struct keeps the place of a null value in the list.
-    past = near.selectExpr("*", f"reverse(collect_list(named_struct('x', x)) {w}) AS __past")
+SUMS = ("pairs", "sx", "sy", "sxy", "sxx", "syy")
+
+
+def _lag_sums(near: DataFrame, max_lag: int, order: str, keys: Sequence[str]) -> DataFrame:
+    """Per lag from 0: pairs of a value and the one ``lag`` places before it, and their sums.
+
+    ``near`` has every place of the series, in chunks of ``halo``; a pair with a null doesn't count.
+    """
+
+    # Local, so that it travels with the plan and workers need not import this package.
+    @F.pandas_udf("array<double>")
+    def products(values: pd.Series, own: pd.Series) -> pd.Series:
+        out = []
+        for v, mine in zip(values, own):
+            x = np.asarray(v, dtype=float)
+            there = ~np.isnan(x)
+            m, z = there.astype(float), np.where(there, x, 0.0)
+            q, n = z * z, len(x)
+            first = n - int(np.sum(mine))  # rows of the chunk before come first
+            sums = np.zeros((max_lag + 1, 6))
+            for k in range(min(max_lag + 1, n)):
+                a, b = slice(max(first, k), n), slice(max(first, k) - k, n - k)
+                sums[k] = m[a] @ m[b], z[a] @ m[b], m[a] @ z[b], z[a] @ z[b], q[a] @ m[b], m[a] @ q[b]
+            out.append(sums.ravel())
+        return pd.Series(out, dtype=object)
+
+    row = F.struct(F.col(order), "x", (F.col(HOME) == F.col(CHUNK)).cast("int").alias("own"))
+    # The rows of one chunk and its halo, which the chunk length bounds.
+    chunks = near.groupBy(*keys, CHUNK).agg(F.array_sort(F.collect_list(row)).alias("__rows"))
+    named = ", ".join(f"__s[6 * k + {i}] AS {c}" for i, c in enumerate(SUMS))
+    lags = chunks.select(
+        *keys, products(F.col("__rows.x"), F.col("__rows.own")).alias("__s")
+    ).selectExpr(*keys, f"inline(transform(sequence(0, {max_lag}), k -> struct(k AS lag_steps, {named})))")
     return (
-        drop_halo(past)
-        .selectExpr(*keys, "x", "posexplode(__past) AS (lag_steps, __y)")
-        .selectExpr(*keys, "lag_steps", "x", "__y.x AS y")
+        lags.groupBy(*keys, "lag_steps")
+        .agg(*[F.sum(c).alias(c) for c in SUMS])
+        .filter("pairs > 0")
     )
 
 
 def acf_pairwise(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -> DataFrame:
     """Pearson autocorrelation at every lag from 1 to ``max_lag``."""
-    pairs = _lag_pairs(_near(flagged, max_lag, s), max_lag, "timestamp", s.keys)
-    return (
-        pairs.filter("lag_steps > 0 AND x IS NOT NULL AND y IS NOT NULL")
-        .groupBy(*s.keys, "lag_steps")
-        .agg(F.corr("x", "y").alias("autocorrelation"))
-        .selectExpr("*", f"lag_steps * {s.bucket_minutes} AS lag_minutes")
+    sums = _lag_sums(_near(flagged, max_lag, s), max_lag, "timestamp", s.keys)
+    spread = "sqrt(greatest(pairs * sxx - sx * sx, 0) * greatest(pairs * syy - sy * sy, 0))"
+    return sums.filter("lag_steps > 0").selectExpr(
+        *s.keys,
+        "lag_steps",
+        f"(pairs * sxy - sx * sy) / nullif({spread}, 0) AS autocorrelation",
+        f"lag_steps * {s.bucket_minutes} AS lag_minutes",
     )
 
 
@@ -109,21 +138,12 @@ def _autocovariance(placed: DataFrame, max_lag: int, s: Settings) -> DataFrame:
         f"pos div {length} AS {HOME}",
         f"explode(sequence(pos div {length}, (pos + {max_lag}) div {length})) AS {CHUNK}",
     )
-    sums = (
-        _lag_pairs(near, max_lag, "pos", s.keys)
-        .groupBy(*s.keys, "lag_steps")
-        .agg(
-            F.count("x").alias("pairs"),
-            F.sum("x").alias("sx"),
-            F.sum("y").alias("sy"),
-            F.expr("sum(x * y)").alias("sxy"),
-        )
-    )
+    sums = _lag_sums(near, max_lag, "pos", s.keys)
     # max_lag + 1 rows per series.
     over = f"OVER ({'PARTITION BY ' + ', '.join(s.keys) if s.keys else ''})"
     first = f"max(CASE WHEN lag_steps = 0 THEN {{}} END) {over}"
     return sums.selectExpr(
-        "*", f"{first.format('pairs')} AS n", f"{first.format('sx / pairs')} AS m"
+        "*", f"cast({first.format('pairs')} AS bigint) AS n", f"{first.format('sx / pairs')} AS m"
     ).selectExpr(
         *s.keys, "lag_steps", "(sxy - m * (sx + sy) + pairs * m * m) / n AS autocovariance", "n"
     )
@@ -183,8 +203,3 @@ def pacf(flagged: DataFrame, max_lag: int = MAX_LAG, s: Settings = Settings()) -
         f"partial_autocorrelation - {half} AS lower_ci",
         f"partial_autocorrelation + {half} AS upper_ci",
     )
-
-
-def band(n: int) -> float:
-    """Half width of the 95 % band for ``n`` observations."""
-    return NORMAL_95 / math.sqrt(n)

@@ -150,7 +150,7 @@ def category_counts(visits: DataFrame, column: str = "risk_category") -> DataFra
 # ---- dwell -----------------------------------------------------------------------------
 
 
-def describe(df: DataFrame, value: str, probs: dict[str, float], cell_width: float = 1.0) -> DataFrame:
+def describe(df: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
     """Rows (statistic, value): count, mean, std, min, the percentiles, max."""
     v = F.col(value)
     basic = df.agg(
@@ -166,7 +166,7 @@ def describe(df: DataFrame, value: str, probs: dict[str, float], cell_width: flo
             F.array(*[F.struct(F.lit(n).alias("statistic"), F.col(n).alias("value")) for n in names])
         )
 
-    tail = percentiles(df, value, probs, cell_width=cell_width)
+    tail = percentiles(df, value, probs)
     return basic.select(rows(["count", "mean", "std", "min", "max"])).unionByName(
         tail.select(rows(list(probs)))
     )

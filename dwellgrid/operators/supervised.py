@@ -93,20 +93,19 @@ def split_bounds(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
         s.keys,
         ["__part"],
     )
-    # The rows of one chunk, which its length bounds; then one row per chunk.
-    parts = numbered.groupBy(*s.keys, F.expr(part).alias("__part")).agg(
-        F.max("__row").alias("__last"), F.array_sort(F.collect_list("timestamp")).alias("__ts")
+    total = rows.groupBy(*s.keys).agg(F.count(F.lit(1)).alias("__n"))
+    if s.keys:
+        numbered = left_join(numbered, total, s.keys)
+    else:
+        numbered = numbered.withColumn("__n", total.select("__n").scalar())
+    bounds = {"train_end": 0.70, "validation_end": 0.85}
+    here = {name: f"__row = floor(__n * {share}D) + 1" for name, share in bounds.items()}
+    # Two rows of a series at most.
+    return (
+        numbered.filter(" OR ".join(here.values()))
+        .groupBy(*s.keys)
+        .agg(*[F.expr(f"max(CASE WHEN {x} THEN timestamp END)").alias(name) for name, x in here.items()])
     )
-    parts = parts.withColumn("__n", F.max("__last").over(Window.partitionBy(*s.keys)))
-
-    def at(share: float, name: str):
-        place = f"(floor(__n * {share}D) + 1)"
-        first = "(__last - size(__ts))"
-        hit = f"{place} > {first} AND {place} <= __last"
-        value = f"element_at(__ts, cast({place} - {first} AS int))"
-        return F.expr(f"max(CASE WHEN {hit} THEN {value} END)").alias(name)
-
-    return parts.groupBy(*s.keys).agg(at(0.70, "train_end"), at(0.85, "validation_end"))
 
 
 def target_audit(wide: DataFrame, long: DataFrame, s: Settings = Settings()) -> DataFrame:

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from dwellgrid.functions import quantiles
 from dwellgrid.functions.quantiles import percentiles
 from dwellgrid.operators import asof, evaluate, features, lagstats
 from dwellgrid.plans import catalog
@@ -16,11 +17,11 @@ PROBS = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(st.floats(-50, 50).map(lambda v: round(v, 1)), min_size=1, max_size=60),
-    width=st.sampled_from([0.5, 7.0, 1000.0]),
+    small=st.sampled_from([1, 10, 1000]),
 )
-def test_percentiles_equal_numpy(spark, values, width):
+def test_percentiles_equal_numpy(spark, values, small):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    row = percentiles(df, "v", PROBS, cell_width=width).first()
+    row = percentiles(df, "v", PROBS, small=small, splits=4).first()
     assert row.n == len(values)
     expected = np.quantile(values, list(PROBS.values()))
     assert np.allclose([row[k] for k in PROBS], expected, atol=1e-9)
@@ -40,6 +41,33 @@ def test_percentiles_with_a_hot_value_a_null_group_and_nulls(spark):
         assert rows[k].n == r.n and rows[k].d == pytest.approx(r.d)
 
 
+def test_percentiles_of_large_groups_split_until_cells_are_small(spark, monkeypatch):
+    """100,000 distinct values over 30 orders of magnitude, a hot value, two groups and far outliers."""
+    df = spark.range(150_000).selectExpr(
+        "id % 2 = 0 AS k",
+        "CASE WHEN id % 3 = 0 THEN 5.5D WHEN id < 4 THEN pow(-10, 280 + id) "
+        "ELSE pow(10, (id * 7919 % 100003) / 100003 * 30 - 15) * (1 - 2 * (id % 5 div 4)) END AS v",
+    )
+    seen = []
+    written = quantiles.written
+    monkeypatch.setattr(quantiles, "written", lambda cells, label: seen.append(written(cells, label)) or seen[-1])
+    probs = {"a": 0.001, "b": 0.3, "c": 0.5, "d": 0.999}
+    rows = {r.k: r for r in percentiles(df, "v", probs, ["k"], small=200, splits=64).collect()}
+    assert seen and seen[-1].filter("__rows > 200 AND __lo < __hi").count() == 0
+    assert seen[-1].count() <= 2 * 2 * len(probs)
+    for k, part in df.toPandas().groupby("k"):
+        assert rows[k].n == len(part)
+        assert np.allclose([rows[k][p] for p in probs], np.quantile(part["v"], list(probs.values())), rtol=1e-12)
+    whole = percentiles(df, "v", probs, small=200, splits=64).first()
+    assert np.allclose([whole[p] for p in probs], np.quantile(df.toPandas()["v"], list(probs.values())), rtol=1e-12)
+
+
+def test_percentiles_of_no_rows(spark):
+    none = spark.createDataFrame([], "k string, v double")
+    assert percentiles(none, "v", PROBS, ["k"]).count() == 0
+    assert percentiles(none, "v", PROBS).first()["c"] is None
+
+
 @pytest.fixture(scope="module")
 def series(spark):
     flagged = features.flagged_grid(catalog.visits(spark, DATA), S)
@@ -78,7 +106,7 @@ def test_standard_acf_and_pacf(series):
         system = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
         last = np.linalg.solve(system, r[1 : k + 1])[-1]
         assert ours[k].partial_autocorrelation == pytest.approx(last, abs=1e-9)
-        half = lagstats.band(len(seg))
+        half = lagstats.NORMAL_95 / np.sqrt(len(seg))
         assert ours[k].upper_ci - ours[k].lower_ci == pytest.approx(2 * half)
 
 
