@@ -14,7 +14,13 @@ from dwellgrid.functions.joins import left_join
 from dwellgrid.functions.running import running_total, window
 from dwellgrid.functions.timecols import at, calendar, floor_index, named, shift, ts_lit
 from dwellgrid.operators.grid import movements
-from dwellgrid.operators.reliability import in_bad_period, overlaps_bad_period
+from dwellgrid.operators.reliability import (
+    in_bad_period,
+    in_near_period,
+    overlaps_bad_period,
+    overlaps_near_period,
+    with_near_periods,
+)
 from dwellgrid.settings import FLOW_MINUTES, LAG_MINUTES, Settings
 
 # Minutes before the instant at which the counts are read.
@@ -39,44 +45,73 @@ def exits_between(a, b) -> Column:
     return F.expr(f"count_if(exit_time > {ts_lit(a)} AND exit_time <= {ts_lit(b)})")
 
 
-def ineligible_reason(ts: str, seen_entry: str | None = None, s: Settings = Settings()) -> str:
-    """The first rule an instant breaks, or null if features can be built."""
-    rules = [(in_bad_period(ts, s), "instant unreliable")]
-    for name, m in LAG_MINUTES:
-        rules.append((in_bad_period(ts, s, m), f"{name} unreliable"))
-    for label, m in FLOW_MINUTES:
-        rules.append((overlaps_bad_period(ts, ts, s, m, 0), f"flow {label} unreliable"))
-    for m in PAST_MINUTES:
-        rules.append((in_bad_period(ts, s, m), "rolling unreliable"))
-    for m in PAST_MINUTES:
-        rules.append((overlaps_bad_period(ts, ts, s, m + STEP, m), "rolling unreliable"))
+def ineligible_reason(
+    ts: str, seen_entry: str | None = None, s: Settings = Settings(), near: bool = False
+) -> str:
+    """The first rule an instant breaks, or null if features can be built.
+
+    Periods are those of the settings, or with ``near`` those of the array of ``with_near_periods``.
+    """
+
+    def inside(m: int) -> str:
+        return in_near_period(ts, m) if near else in_bad_period(ts, s, m)
+
+    def overlap(a: int, b: int) -> str:
+        return overlaps_near_period(ts, a, b) if near else overlaps_bad_period(ts, ts, s, a, b)
+
+    rules = [(inside(0), "instant unreliable")]
+    rules += [(inside(m), f"{name} unreliable") for name, m in LAG_MINUTES]
+    rules += [(overlap(m, 0), f"flow {label} unreliable") for label, m in FLOW_MINUTES]
+    rules += [(inside(m), "rolling unreliable") for m in PAST_MINUTES]
+    rules += [(overlap(m + STEP, m), "rolling unreliable") for m in PAST_MINUTES]
     if seen_entry is not None:
         rules.append((f"NOT ({seen_entry})", "before first entry"))
     return f"CASE {' '.join(f'WHEN {rule} THEN {text!r}' for rule, text in rules)} END"
 
 
-def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) -> DataFrame:
+def _fine_moves(visits: DataFrame, s: Settings) -> DataFrame:
+    return movements(visits, s).selectExpr(
+        *s.keys, "ts", "arrivals", "exits", f"{floor_index('ts', s.fine_seconds)} AS __fine"
+    )
+
+
+def fine_totals(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Arrivals and exits per series and fine chunk; a busy chunk is one partial row per task."""
+    sums = _fine_moves(visits, s).groupBy(*s.keys, "__fine").sum("arrivals", "exits")
+    return sums.toDF(*s.keys, "fine", "arrivals", "exits")
+
+
+def counts_at(
+    visits: DataFrame, probes: DataFrame, s: Settings = Settings(), totals: DataFrame | None = None
+) -> DataFrame:
     """Add ``entered`` and ``left``, the counts up to and including ``probe_ts``.
 
     ``probes`` has the series keys, ``probe_ts`` and any columns to carry along. The visits
     are reduced map-side to movements per fine chunk, whose totals give the count before a
     chunk. Then movements in chunks with probes and the probes are put in order within their chunks.
+
+    ``totals`` (rows of ``fine_totals``, a chunk any number of times) spares the first of the two reads,
+    and of the visits only those are read that end in or after the chunk of the earliest probe.
     """
     keys = list(s.keys)
-    moves = movements(visits, s).selectExpr(
-        *keys, "ts", "arrivals", "exits", f"{floor_index('ts', s.fine_seconds)} AS __fine"
-    )
+    if totals is None:
+        totals = fine_totals(visits, s)
+    else:
+        earliest = probes.agg(F.min("probe_ts")).first()[0]
+        if earliest is not None:
+            visits = visits.filter(f"exit_time >= {ts_lit(earliest)} - INTERVAL '{s.fine_seconds}' SECOND")
+    moves = _fine_moves(visits, s)
     points = probes.selectExpr("*", f"{floor_index('probe_ts', s.fine_seconds)} AS __fine")
     probed = points.select(*keys, "__fine").distinct()
 
     # Chunk totals, with a zero row for each chunk that holds a probe.
-    per_chunk = moves.groupBy(*keys, "__fine").sum("arrivals", "exits")
+    per_chunk = totals.selectExpr(*keys, "fine AS __fine", "arrivals", "exits")
     marks = probed.selectExpr(*keys, "__fine", "0L", "0L", "1")
     chunks = (
         per_chunk.selectExpr("*", "0 AS __probed")
         .union(marks)
         .groupBy(*keys, "__fine")
-        .sum("sum(arrivals)", "sum(exits)", "__probed")
+        .sum("arrivals", "exits", "__probed")
         .toDF(*keys, "__fine", "arrivals", "exits", "__probed")
         .selectExpr("*", f"__fine * {s.fine_seconds} div 86400 AS __coarse")
     )
@@ -121,7 +156,9 @@ def counts_at(visits: DataFrame, probes: DataFrame, s: Settings = Settings()) ->
     )
 
 
-def _instant_counts(visits: DataFrame, instants: DataFrame, s: Settings) -> DataFrame:
+def _instant_counts(
+    visits: DataFrame, instants: DataFrame, s: Settings, totals: DataFrame | None = None
+) -> DataFrame:
     """One row per distinct instant with ``e_<offset>`` and ``x_<offset>`` counts."""
     keys = list(s.keys)
     offsets = ", ".join(str(m) for m in OFFSETS)
@@ -131,7 +168,7 @@ def _instant_counts(visits: DataFrame, instants: DataFrame, s: Settings) -> Data
         .selectExpr(*keys, "prediction_time", f"explode(array({offsets})) AS __offset")
         .selectExpr("*", f"{shift('prediction_time', '-__offset')} AS probe_ts")
     )
-    counted = counts_at(visits, probes, s)
+    counted = counts_at(visits, probes, s, totals)
     cell = "max(CASE WHEN __offset = {m} THEN {c} END)"
     return counted.groupBy(*keys, "prediction_time").agg(
         *[F.expr(cell.format(m=m, c="entered")).alias(f"e_{m}") for m in OFFSETS],
@@ -169,26 +206,49 @@ def _with_horizons(counts: DataFrame, s: Settings) -> DataFrame:
     ).select(*s.keys, "prediction_time", *s.model_features)
 
 
-def eligibility(visits: DataFrame, instants: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Per distinct instant whether a forecast is possible, and if not, why."""
+def eligibility(
+    visits: DataFrame, instants: DataFrame, s: Settings = Settings(), bad_periods: DataFrame | None = None
+) -> DataFrame:
+    """Per distinct instant whether a forecast is possible, and if not, why.
+
+    ``bad_periods`` (series keys, start, end) takes the place of the periods of the settings.
+    """
     keys = list(s.keys)
     first = visits.groupBy(*keys).agg(F.min("entry_time").alias("__first"))
-    points = instants.select(*keys, "prediction_time").distinct()
+    points = _points(instants, s, bad_periods)
     if keys:
         points = left_join(points, first, keys)
     else:
         points = points.withColumn("__first", first.select("__first").scalar())
     seen = "coalesce(__first <= prediction_time, false)"
-    return points.selectExpr(
-        *keys, "prediction_time", f"{ineligible_reason('prediction_time', seen, s)} AS reason"
-    ).selectExpr(*keys, "prediction_time", "reason IS NULL AS is_eligible", "reason")
+    reason = ineligible_reason("prediction_time", seen, s, bad_periods is not None)
+    return points.selectExpr(*keys, "prediction_time", f"{reason} AS reason").selectExpr(
+        *keys, "prediction_time", "reason IS NULL AS is_eligible", "reason"
+    )
+
+
+def _points(instants: DataFrame, s: Settings, bad_periods: DataFrame | None) -> DataFrame:
+    """The distinct instants, with the periods near them if these come from a table."""
+    if bad_periods is None:
+        return instants.select(*s.keys, "prediction_time").distinct()
+    return with_near_periods(instants, bad_periods, max(OFFSETS), s)
 
 
-def features_at(visits: DataFrame, instants: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The 29 model features of every eligible instant, one row per horizon."""
-    usable = instants.filter(f"({ineligible_reason('prediction_time', s=s)}) IS NULL")
+def features_at(
+    visits: DataFrame,
+    instants: DataFrame,
+    s: Settings = Settings(),
+    bad_periods: DataFrame | None = None,
+    totals: DataFrame | None = None,
+) -> DataFrame:
+    """The 29 model features of every eligible instant, one row per horizon.
+
+    ``bad_periods`` is that of ``eligibility``, ``totals`` that of ``counts_at``.
+    """
+    reason = ineligible_reason("prediction_time", s=s, near=bad_periods is not None)
+    usable = _points(instants, s, bad_periods).filter(f"({reason}) IS NULL")
     # An instant before the first entry has seen nobody.
-    return _with_horizons(_instant_counts(visits, usable, s).filter("e_0 > 0"), s)
+    return _with_horizons(_instant_counts(visits, usable, s, totals).filter("e_0 > 0"), s)
 
 
 def features_at_latest(visits: DataFrame, s: Settings = Settings()) -> DataFrame:

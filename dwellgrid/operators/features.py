@@ -107,14 +107,22 @@ def with_calendar(df: DataFrame) -> DataFrame:
     return df.selectExpr("*", *named(calendar("timestamp")))
 
 
-def flagged_grid(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
-    return reliability.flag(grids.occupancy_grid(visits, s), s)
-
-
-def wide_frame(visits: DataFrame, s: Settings = Settings()) -> DataFrame:
+def flagged_grid(
+    visits: DataFrame, s: Settings = Settings(), bad_periods: DataFrame | None = None
+) -> DataFrame:
+    """The grid with its flags, by the periods of the settings or of a table (series keys, start, end)."""
+    grid = grids.occupancy_grid(visits, s)
+    if bad_periods is None:
+        return reliability.flag(grid, s)
+    return reliability.flag_from_table(grid, bad_periods, s)
+
+
+def wide_frame(
+    visits: DataFrame, s: Settings = Settings(), bad_periods: DataFrame | None = None
+) -> DataFrame:
     """Clean visits to one row per bucket with 28 features and 6 targets."""
     df = with_windows(
-        flagged_grid(visits, s), masked_lags, flow_sums, rolling_means, targets, s=s
+        flagged_grid(visits, s, bad_periods), masked_lags, flow_sums, rolling_means, targets, s=s
     )
     derived = {**changes(), **calendar("timestamp")}
     grid = ["timestamp", "arrivals", "exits", "net_flow", "active_vehicles", "is_reliable"]

@@ -166,12 +166,19 @@ def bundle_metrics(bundle: Bundle, rows: DataFrame) -> DataFrame:
 # ---- forecasts at instants -------------------------------------------------------------
 
 
-def forecasts(bundle: Bundle, visits: DataFrame, instants: DataFrame, s: Settings = Settings()) -> DataFrame:
+def forecasts(
+    bundle: Bundle,
+    visits: DataFrame,
+    instants: DataFrame,
+    s: Settings = Settings(),
+    totals: DataFrame | None = None,
+) -> DataFrame:
     """One record per eligible instant with the forecast of every horizon and its peak.
 
-    The peak is the horizon with the highest point forecast, the earliest one on ties.
+    The peak is the horizon with the highest point forecast, the earliest one on ties. ``totals`` is that of
+    ``asof.counts_at``.
     """
-    rows = score_bundle(bundle, asof.features_at(visits, instants, s))
+    rows = score_bundle(bundle, asof.features_at(visits, instants, s, totals=totals))
     one = F.struct(
         "horizon_minutes",
         F.col("point").alias("point_prediction"),

@@ -18,6 +18,7 @@ TAIL_PERCENTILES = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0
 CATEGORY_PERCENTILES = {"median": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95}
 TAIL_THRESHOLDS = (600.0, 700.0, 710.0, 719.0, 719.9)
 EXTREME_DWELL = 600.0
+SKETCH_BITS = 14  # 2**14 registers, a standard error under one per cent
 HISTOGRAM_BINS = 72
 
 
@@ -79,25 +80,58 @@ def duration_worst(visits: DataFrame, n: int = 10) -> DataFrame:
 # ---- quality ---------------------------------------------------------------------------
 
 
+def _values_of(visits: DataFrame, columns: list[str], more: str = "") -> DataFrame:
+    """One row per row and column: the column's name and its value as text."""
+    cells = ", ".join(f"struct('{c}' AS column_name, cast(`{c}` AS string) AS value)" for c in columns)
+    return visits.selectExpr(*([more] if more else []), f"inline(array({cells}))")
+
+
 def quality_summary(visits: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
-    """Missing count, missing percent and distinct count per column."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    stats = [_count().alias("__n")]
-    for c in columns:
-        stats.append(F.count_if(F.col(c).isNull()).alias(f"__m_{c}"))
-        stats.append(distinct(F.col(c)).alias(f"__d_{c}"))
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"__m_{c}").alias("missing"),
-                (F.col(f"__m_{c}") * 100.0 / F.col("__n")).alias("missing_pct"),
-                F.col(f"__d_{c}").alias("distinct_values"),
-            )
-            for c in columns
-        ]
+    """Missing count, missing percent and distinct count per column.
+
+    Exact counts come from one aggregation per value, map-side first, so that a frequent value is one row per
+    task; approximate ones from sketches, which shuffle nothing but themselves.
+    """
+    if approximate:
+        found = united_sketches(_sketches(_values_of(visits, columns), ["column_name"]))
+    else:
+        per_value = _values_of(visits, columns).groupBy("column_name", "value").agg(_count().alias("__n"))
+        found = per_value.groupBy("column_name").agg(
+            F.sum("__n").alias("n"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("__n"))), F.lit(0)).alias("missing"),
+            F.count("value").alias("distinct_values"),
+        )
+    return found.select(
+        "column_name",
+        "missing",
+        (F.col("missing") * 100.0 / F.col("n")).alias("missing_pct"),
+        "distinct_values",
+    )
+
+
+def _sketches(values: DataFrame, by: list[str]) -> DataFrame:
+    return values.groupBy(*by).agg(
+        _count().alias("n"),
+        F.count_if(F.col("value").isNull()).alias("missing"),
+        F.hll_sketch_agg("value", F.lit(SKETCH_BITS)).alias("sketch"),
+    )
+
+
+def daily_sketches(visits: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, missing values and a distinct-count sketch per entry day and column, to be stored.
+
+    A new day adds rows to the stored table; nothing that was counted is read again.
+    """
+    return _sketches(_values_of(visits, columns, "to_date(entry_time) AS day"), ["day", "column_name"])
+
+
+def united_sketches(sketches: DataFrame) -> DataFrame:
+    """Rows, missing values and distinct values per column, over any set of sketches."""
+    return sketches.groupBy("column_name").agg(
+        F.sum("n").alias("n"),
+        F.sum("missing").alias("missing"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"),
     )
-    return visits.agg(*stats).select(F.inline(rows))
 
 
 def timestamp_quality(visits: DataFrame) -> DataFrame:

@@ -67,6 +67,41 @@ def flag_from_table(grid: DataFrame, bad_periods: DataFrame, s: Settings = Setti
     )
 
 
+PERIODS = "__periods"
+
+
+def with_near_periods(
+    instants: DataFrame, bad_periods: DataFrame, minutes: int, s: Settings = Settings(), ts: str = "prediction_time"
+) -> DataFrame:
+    """Add the array of the series' periods that reach into the ``minutes`` before each distinct instant.
+
+    Both sides are laid out by day, so the match is an equi-join of any size; a day without a period
+    in a series sends nothing. The arrays hold what lies near one instant.
+    """
+    points = instants.select(*s.keys, ts).distinct()
+    laid = points.selectExpr(
+        "*", f"explode(sequence(to_date({ts} - INTERVAL '{minutes}' MINUTE), to_date({ts}))) AS __day"
+    )
+    days = bad_periods.filter("start < end").selectExpr(
+        *s.keys, "start", "end", "explode(sequence(to_date(start), to_date(end))) AS __day"
+    )
+    found = left_join(laid, days, s.keys, ["__day"])
+    near = F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "end")))
+    return found.groupBy(*s.keys, ts).agg(near.alias(PERIODS))
+
+
+def in_near_period(ts: str, back: int = 0) -> str:
+    """``in_bad_period`` on the array of ``with_near_periods``."""
+    t = f"({ts} - INTERVAL '{back}' MINUTE)"
+    return f"exists({PERIODS}, p -> {t} >= p.start AND {t} < p.end)"
+
+
+def overlaps_near_period(ts: str, start_back: int, end_back: int) -> str:
+    """Whether the interval between the two instants before ``ts`` overlaps a period of the array."""
+    a, b = (f"({ts} - INTERVAL '{m}' MINUTE)" for m in (start_back, end_back))
+    return f"exists({PERIODS}, p -> {a} < p.end AND {b} > p.start)"
+
+
 def reliability_counts(flagged: DataFrame, s: Settings = Settings()) -> DataFrame:
     return flagged.groupBy(*s.keys, "is_reliable").agg(F.count(F.lit(1)).alias("intervals"))
 

@@ -471,6 +471,36 @@ def exact_features_batch_keyed(spark, sf):
     return rounded(asof.features_at(v, instants, KEYED))
 
 
+def _periods(rows: DataFrame, s: Settings) -> DataFrame:
+    """The periods of the settings as a table, for each series of ``rows``."""
+    each = ", ".join(f"struct({ts_lit(a)} AS start, {ts_lit(b)} AS end)" for a, b in s.bad_periods())
+    return rows.select(*s.keys).distinct().selectExpr(*s.keys, f"inline(array({each}))")
+
+
+@query
+def wide_frame_periods(spark, sf):
+    """The keyed wide frame with the bad periods of each series in a table."""
+    v = visits(spark, sf, "event_type")
+    return rounded(features.wide_frame(v, KEYED, _periods(v, KEYED)))
+
+
+@query
+def prediction_eligibility_periods(spark, sf):
+    """The keyed eligibility with the bad periods in a table; one series has a null key."""
+    v = raw_visits(spark, sf)
+    back = F.col("exit_time") - F.expr("INTERVAL '1' DAY")
+    instants = v.select("risk_category", back.alias("prediction_time"))
+    return asof.eligibility(v, instants, NULL_KEYED, _periods(v, NULL_KEYED))
+
+
+@query
+def exact_features_periods(spark, sf):
+    """The keyed features at every arrival with the bad periods in a table."""
+    v = visits(spark, sf, "event_type")
+    instants = v.select("event_type", F.col("entry_time").alias("prediction_time"))
+    return rounded(asof.features_at(v, instants, KEYED, _periods(v, KEYED)))
+
+
 # ---- profile ---------------------------------------------------------------------------
 
 
@@ -489,6 +519,20 @@ def quality_summary(spark, sf):
     return rounded(profile.quality_summary(raw_visits(spark, sf), clean.VISIT_COLUMNS))
 
 
+@query
+def quality_sketch_errors(spark, sf):
+    """Missing values and rows from daily sketches united, and whether distinct counts are within 3 %."""
+    v = raw_visits(spark, sf)
+    exact = profile.quality_summary(v, clean.VISIT_COLUMNS).select(
+        "column_name", F.col("distinct_values").alias("exact")
+    )
+    daily = storage.written(profile.daily_sketches(v, clean.VISIT_COLUMNS), "sketches")
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(0.03 * F.col("exact"), F.lit(0.5))
+    return profile.united_sketches(daily).join(exact, "column_name").select(
+        "column_name", "n", "missing", near.alias("within_3_pct")
+    )
+
+
 @query
 def timestamp_quality(spark, sf):
     return profile.timestamp_quality(raw_visits(spark, sf))

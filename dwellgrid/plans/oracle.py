@@ -577,6 +577,14 @@ def oracle_sql() -> dict[str, str]:
             ),
         ),
         "quality_summary": (RAW, _quality()),
+        "quality_sketch_errors": (
+            RAW,
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, count(*) AS n, count(*) FILTER ({c} IS NULL) AS missing, "
+                "true AS within_3_pct FROM raw"
+                for c in ("entry_time", "exit_time", "risk_category", "duration_min")
+            ),
+        ),
         "timestamp_quality": (
             RAW,
             "SELECT count(*) FILTER (entry_time IS NULL) AS missing_entry, count(*) FILTER (exit_time IS NULL) AS missing_exit, "
@@ -861,6 +869,10 @@ summary AS (
             "FROM visits WHERE event_type <> 'click'",
         ),
     }
+    # The same periods from a table give the same rows.
+    out["wide_frame_periods"] = out["wide_frame_keyed"]
+    out["prediction_eligibility_periods"] = out["prediction_eligibility_keyed"]
+    out["exact_features_periods"] = out["exact_features_batch_keyed"]
     return {
         name: f"WITH {'RECURSIVE ' if name == 'pacf' else ''}{ctes}\n{select}" for name, (ctes, select) in out.items()
     }

@@ -134,6 +134,25 @@ def test_batch_features_equal_single_features(spark):
     assert rows_of(batch) == rows_of(singles) and batch.count() == 24
 
 
+def test_periods_from_a_table_hold_for_their_series_only(spark):
+    """Half the series have the listed periods, the rest have none; a null key is a series."""
+    s, late = S.keyed("site"), INSTANTS[:3]
+    v = catalog.visits(spark, DATA).withColumn("site", F.expr("nullif(minute(entry_time) % 3, 2)"))
+    listed = ", ".join(f"struct(timestamp_ntz'{a}' AS start, timestamp_ntz'{b}' AS end)" for a, b in S.bad_periods())
+    periods = spark.sql(f"SELECT site, x.* FROM (SELECT explode(array(1, null)) AS site), (SELECT explode(array({listed})) AS x)")
+    instants = _instants(spark, late + list(REFUSED)).selectExpr("explode(array(0, 1, null)) AS site", "*")
+    found = {(r.site, str(r.prediction_time)): r.reason for r in asof.eligibility(v, instants, s, periods).collect()}
+    assert len(found) == 21
+    for t, why in {**dict.fromkeys(late), **REFUSED}.items():
+        assert found[1, t] == found[None, t] == why
+        assert found[0, t] == (why if why == "before first entry" else None)
+    rows = asof.features_at(v, instants, s, periods).groupBy("site").count().collect()
+    assert {r.site: r["count"] for r in rows} == {0: 6 * 6, 1: 6 * 3, None: 6 * 3}
+    wide = features.wide_frame(v, s, periods)
+    bad = wide.groupBy("site").agg(F.count_if(~F.col("is_reliable")).alias("n")).collect()
+    assert {r.site: r.n > 0 for r in bad} == {0: False, 1: True, None: True}
+
+
 def test_counts_include_an_event_at_the_very_instant(spark, make_visits):
     v = make_visits([("2024-01-01 10:15:00", "2024-01-01 10:30:00")])
     got = {}

@@ -1,12 +1,16 @@
+import contextlib
+import io
+import json
+
 import pytest
 from conftest import DATA, rows_of
 from pyspark.sql import functions as F
 
-from dwellgrid.operators import clean, features, grid, models, supervised
+from dwellgrid.operators import asof, clean, features, grid, models, supervised
 from dwellgrid.plans import catalog
 from dwellgrid.plans.catalog import S
 from dwellgrid.sources import storage, visits
-from dwellgrid.streaming import ingest
+from dwellgrid.streaming import ingest, totals
 
 TINY = models.TreeParams(rounds=4, learning_rate=0.3, max_depth=3, max_bins=16)
 
@@ -54,6 +58,45 @@ def test_replayed_batch_is_stored_once_and_empty_one_not_at_all(spark, messages,
     assert len(list((tmp_path / "visits" / "stream_run=r").glob("batch_id=*"))) == 1
 
 
+def test_run_comes_from_the_checkpoint(spark, messages, tmp_path):
+    """Without a name the run is the query's own: the same after a restart, another with a new checkpoint."""
+    parsed = ingest.parse_events(ingest.text_messages(spark, messages, 1))
+    store = ingest.batch_writer(f"{tmp_path}/visits", s=S)
+    for checkpoint in ("one", "one", "two"):
+        ingest.start(parsed, store, f"{tmp_path}/{checkpoint}", drain=True).awaitTermination(120)
+    runs = sorted(p.name for p in (tmp_path / "visits").glob("stream_run=*"))
+    ids = sorted(json.loads((tmp_path / c / "metadata").read_text())["id"] for c in ("one", "two"))
+    assert runs == [f"stream_run={i}" for i in ids]
+    with pytest.raises(RuntimeError, match="outside"):
+        store(ingest.parse_events(spark.read.text(messages)), 0)
+
+
+def test_kept_totals_give_the_same_features(spark, messages, tmp_path):
+    run(spark, messages, tmp_path, "t", totals_out=f"{tmp_path}/totals")
+    batch = visits.load(spark, f"{tmp_path}/visits").filter("batch_id = 1")
+    # A replay of a batch replaces its totals.
+    ingest.batch_writer(f"{tmp_path}/visits", "t", totals_out=f"{tmp_path}/totals")(
+        storage.written(clean.typed(batch.drop("stream_run", "batch_id")), "batch"), 1
+    )
+    landed = clean.strict(visits.load(spark, f"{tmp_path}/visits"))
+    kept = totals.load(spark, f"{tmp_path}/totals", S)
+    assert kept.agg(F.sum("arrivals"), F.sum("exits")).first() == (landed.count(),) * 2
+    instants = landed.filter("entry_time >= timestamp_ntz'2024-01-25 00:00:00'").selectExpr(
+        "entry_time AS prediction_time"
+    )
+    plain = asof.features_at(landed, instants, S)
+    quick = asof.features_at(landed, instants, S, totals=kept)
+    assert rows_of(quick) == rows_of(plain) and plain.count() > 0
+    assert "GreaterThanOrEqual(exit_time,2024-01-2" in plan_of(quick)
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
 @pytest.fixture(scope="module")
 def fitted(spark):
     long = storage.written(catalog.long_of(spark, DATA), "long")
@@ -72,8 +115,6 @@ def test_every_clock_of_a_batch_is_forecast(spark, messages, tmp_path, fitted):
         forecasts_out=f"{tmp_path}/forecasts",
     )
     clocks = ingest.event_clocks(ingest.parse_events(spark.read.text(messages)))
-    from dwellgrid.operators import asof
-
     wanted = asof.eligibility(everything, clocks, S).filter("is_eligible").count()
     records = spark.read.json(f"{tmp_path}/forecasts")
     assert 0 < wanted == records.count() < clocks.count() + 1
