@@ -4,15 +4,22 @@
 the same path of tags and class names are one node (below ``DEPTH`` levels an element counts as its
 ancestor there). A node's presentation importance is the entropy of its child layouts over the
 pages, to the base of the number of pages; its content importance is one minus the mean entropy of
-the text blocks below it, where a block that n of m pages share has entropy ``log n / log m``. The
-importance of a node is the larger of the two: a branch is unimportant only if it looks the same
-*and* says the same everywhere.
+the text blocks below it, where a block that n of m pages share has entropy ``log n / log m``. Its
+composite importance is the mean of the two.
 
-**Removal.** A branch goes if its tag, role or class names say what it is (menu, advert, comments, ...),
-which stands in for importance where a host has few pages, or if its importance over at least
-``LEAST_PAGES`` pages is below ``THRESHOLD``. Paragraphs, headings and other leaves are never judged
-one by one, so sentences that articles share stay. Where a page has articles (else ``main``), text
-outside them goes too.
+**Removal**, on hosts with at least ``LEAST_PAGES`` pages of a node:
+
+1. a branch that looks the same *and* says the same everywhere: both importances below ``THRESHOLD``;
+2. a branch beside a more important one: its composite importance is below ``RELATIVE`` times that of a sibling that
+   stands on at least half as many pages with at least twice the text. Menus, adverts and footers whose
+   words change from page to page go by this rule, since their layout does not change while the
+   layout of articles does. Inside ``article`` and ``main`` it isn't used: parts of one text are no rivals.
+
+On all hosts a branch goes whose tag, role or class names say what it is (menu, advert, comments, ...), which
+is all there is on hosts with few pages and for comments, which vary as much as articles; such a
+branch is no sibling for rule 2. Paragraphs, headings and other leaves are never judged one by
+one, so sentences that articles share stay. Where a page has articles (else ``main``), text outside
+them goes too.
 
 **Scale.** A page sends each of its node features once; counts are combined map-side, so a host with a
 third of all pages is a few partial rows per task. Only unimportant nodes come back, by an
@@ -40,6 +47,7 @@ from dwellgrid.sources.storage import written
 DEPTH = 16
 LEAST_PAGES = 5
 THRESHOLD = 0.3
+RELATIVE = 0.75
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -245,22 +253,32 @@ class Page:
                 self._flush() if tag in BLOCK else None
                 self._pop()
 
-    def features(self) -> Iterator[tuple[int, int, int]]:
-        """(node path, kind, feature) of the page, each once: kind 0 is layout, 1 is text."""
-        seen = set()
+    def features(self) -> Iterator[tuple[int, int | None, bool, int, int, int]]:
+        """(path, parent path, whether names say noise, kind, feature, characters) of every node of the page, each
+        feature once: kind 0 is layout, 1 is text. The parent is null where siblings are not compared."""
         layout: dict[int, list[str]] = {}
-        for x in self.nodes[1:]:
+        text: dict[int, set[int]] = {}
+        size: Counter = Counter()
+        about: dict[int, tuple[int | None, bool]] = {}
+        apart = [False] * len(self.nodes)  # the core or a part of it
+        for i, x in enumerate(self.nodes[1:], start=1):
+            apart[i] = apart[x.parent] or x.tag in ("article", "main")
             if x.container:
                 layout.setdefault(x.path, []).append("/".join(x.children))
-        for path, parts in layout.items():
-            seen.add((path, 0, _hash(tuple(parts))))
-        for i, text in self.blocks:
-            h = _hash((text,))
+                up = self.nodes[x.parent]
+                lone = apart[x.parent] or x.tag in ("html", "head", "body") or x.path == up.path
+                about.setdefault(x.path, (None if lone else up.path, x.noise))
+        for i, block in self.blocks:
+            h, n = _hash((block,)), len(block)
             while i > 0:
                 if self.nodes[i].container:
-                    seen.add((self.nodes[i].path, 1, h))
+                    text.setdefault(self.nodes[i].path, set()).add(h)
+                    size[self.nodes[i].path] += n
                 i = self.nodes[i].parent
-        yield from seen
+        for path, parts in layout.items():
+            yield path, *about[path], 0, _hash(tuple(parts)), size[path]
+            for h in text.get(path, ()):
+                yield path, *about[path], 1, h, 0
 
     def text(self, unimportant: frozenset[int]) -> str:
         """Blocks outside removed branches, and inside the articles or main part if there are any."""
@@ -282,11 +300,14 @@ class Page:
         return "\n".join(t for _, t in kept)
 
 
-FEATURES = "host string, path long, kind int, feature long"
+FEATURES = "host string, path long, up long, noise boolean, kind int, feature long, chars long"
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of every node of every host; ``pages`` has host and html."""
+    """(host, path, pages, presentation, content, importance, best) of every node of every host.
+
+    ``pages`` has host and html; ``best`` is the importance of the sibling that rule 2 compares with, if any.
+    """
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -298,26 +319,58 @@ def style_tree(pages: DataFrame) -> DataFrame:
                     if isinstance(h, str)
                     for f in Page(h).features()
                 ]
-                yield pd.DataFrame(rows, columns=["host", "path", "kind", "feature"])
+                found = pd.DataFrame(rows, columns=["host", "path", "up", "noise", "kind", "feature", "chars"])
+                yield found.astype({"up": "Int64"})
 
     counted = (
         pages.select("host", "html")
         .mapInPandas(emit, FEATURES)
-        .groupBy("host", "path", "kind", "feature")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("host", "path", "up", "kind", "feature")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.max("noise").alias("noise"))
     )
     # Layouts of a node are one per page, so their counts sum to its pages.
-    nodes = counted.groupBy("host", "path").agg(
+    nodes = counted.groupBy("host", "path", "up").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
         F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("layout"),
         F.avg(F.when(F.col("kind") == 1, F.log("n"))).alias("shared"),
+        F.sum("chars").alias("chars"),
+        F.max("noise").alias("noise"),
     )
     base = F.log(F.greatest(F.col("pages"), F.lit(2)))
-    presentation = (F.log("pages") - F.col("layout") / F.col("pages")) / base
-    content = 1 - F.coalesce(F.col("shared"), base) / base
-    return nodes.select(
-        "host", "path", "pages", F.greatest(presentation, content).alias("importance")
+    scored = nodes.select(
+        "host",
+        "path",
+        "up",
+        "pages",
+        "chars",
+        "noise",
+        ((F.log("pages") - F.col("layout") / F.col("pages")) / base).alias("presentation"),
+        (1 - F.coalesce(F.col("shared"), base) / base).alias("content"),
+    ).withColumn("importance", (F.col("presentation") + F.col("content")) / 2)
+    rivals = scored.filter("up IS NOT NULL AND NOT noise").select(
+        "host",
+        "up",
+        F.col("pages").alias("r_pages"),
+        F.col("chars").alias("r_chars"),
+        F.col("importance").alias("r_importance"),
     )
+    # The most important sibling with text enough; one row per parent, so no pairs of siblings are made.
+    top = rivals.groupBy("host", "up").agg(
+        F.max_by(F.struct("r_pages", "r_chars", "r_importance"), F.struct("r_chars", "r_importance")).alias("r")
+    )
+    stands = (F.col("r.r_pages") * 2 >= F.col("pages")) & (F.col("r.r_chars") >= 2 * F.col("chars"))
+    return (
+        scored.join(top, ["host", "up"], "left")
+        .withColumn("best", F.when(stands, F.col("r.r_importance")))
+        .select("host", "path", "pages", "presentation", "content", "importance", "best")
+    )
+
+
+def weak_nodes(tree: DataFrame) -> DataFrame:
+    """(host, path) of the nodes that the tree removes."""
+    same = F.greatest("presentation", "content") < THRESHOLD
+    beside = F.coalesce(F.col("importance") < RELATIVE * F.col("best"), F.lit(False))
+    return tree.filter((F.col("pages") >= LEAST_PAGES) & (same | beside)).select("host", "path")
 
 
 PRESENT = "host string, address string, path long"
@@ -330,9 +383,7 @@ def extract(pages: DataFrame) -> DataFrame:
         "page_id", "url", "html", host.alias("host"), F.coalesce("url", F.lit("")).alias("address")
     )
     tree = written(style_tree(named), "style-tree")
-    weak = tree.filter(
-        (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < THRESHOLD)
-    ).select("host", "path")
+    weak = weak_nodes(tree)
 
     def paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
