@@ -6,16 +6,18 @@ neither a phone nor a card by pattern: one greedy match swallows both numbers an
 
 **The field** (``Field``) segments every region around digits and at-signs into spans of the four kinds
 and single atoms outside. A segment is scored as a whole: number and grouping of its digits, its
-affixes, its separators, the check digit, whether it cuts through a word. Segments have at most
-``ATOMS`` atoms, so the dynamic programme is linear in the text. Forward-backward gives the
-posterior of each segment; Viterbi chooses boundaries and kinds jointly. Base spans are clamped:
-the programme keeps them and may only add spans beside them. A candidate must also pass the exact
+affixes, its separators, the check digit, whether it cuts through a word, the word before it. A span is also
+scored by the kind of the span that ends just before it, white space apart, so kinds and boundaries
+of neighbours are chosen together. Segments have at most ``ATOMS`` atoms, so the dynamic programme is
+linear in the text. Forward-backward gives the posterior of each segment and of each pair of
+neighbouring kinds; Viterbi chooses boundaries and kinds jointly. Base spans are clamped: the
+programme keeps them and may only add spans beside them. A candidate must also pass the exact
 check of its kind, and a chosen segment needs a posterior of ``CONFIDENCE``.
 
-**Training** (``train``) takes base spans from at most ``documents`` documents (smallest hash of the
-identifier), joins, reformats and surrounds them at random, adds numbers that are no personal
-data, and maximises the likelihood by stochastic gradient on the driver; the sample is bounded
-whatever the input. Decoding covers every whole text and depends on the row alone.
+**Training** (``train``) takes base spans and the words before them from at most ``documents`` documents (smallest
+hash of the identifier), joins, reformats and surrounds them at random, adds numbers that are no
+personal data, and maximises the likelihood by stochastic gradient on the driver, on half of the texts
+with base spans clamped as in decoding; the sample is bounded whatever the input. Decoding covers every whole text and depends on the row alone.
 
 Null and empty texts have no spans. Repeated rows are repeated, other columns are kept (a column
 called ``spans`` is replaced). Without a base span in the sample the spans of ``SEEDS`` are used.
@@ -26,7 +28,7 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -40,10 +42,13 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from dwellgrid.sources.storage import written
+
 KINDS = ("email", "ip", "card", "phone")
 ATOMS = 24
 CONFIDENCE = 0.9
 CONTEXT = 12
+CARRY = -1
 
 # Fixed patterns; possessive quantifiers and the look-behind only make failing matches linear.
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -112,6 +117,7 @@ def base_spans(text: str) -> list[Span]:
 CUE = re.compile(r"[0-9]|@|[\[({<](?:at|dot)[\])}>]", re.IGNORECASE)
 ATOM = re.compile(r"[^\W_]+|\s|[^\s]")
 WORD = re.compile(r"\S+")
+LETTERS = re.compile(r"([^\W\d_]+)[^\w@]*$")
 AT = re.compile(r"\s?[\[({<]at[\])}>]\s?", re.IGNORECASE)
 DOT = re.compile(r"\s?[\[({<](?:dot|\.)[\])}>]\s?", re.IGNORECASE)
 EMAIL_WHOLE = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -158,8 +164,14 @@ def valid(kind: str, s: str) -> bool:
     return 10 <= len(d) <= 15 and DIALLED.fullmatch(s) is not None
 
 
-def features(kind: str, s: str, before: str, after: str) -> list[str]:
-    """Whole-span features of a candidate segment."""
+def word_before(text: str, start: int) -> str:
+    """The last word among the ``CONTEXT`` characters before a position, in lower case."""
+    m = LETTERS.search(text[max(0, start - CONTEXT) : start])
+    return m[1].lower() if m else ""
+
+
+def features(kind: str, s: str, before: str, after: str, word: str = "") -> list[str]:
+    """Whole-span features of a candidate segment, from the character before it, two after it and a word before."""
     d = _digits(s)
     groups = re.findall(r"[0-9]+", s)
     out = [
@@ -169,8 +181,11 @@ def features(kind: str, s: str, before: str, after: str) -> list[str]:
         f"first{s[0] if s[0] in '+(' else 'd' if s[0].isdigit() else 'a' if s[0].isalpha() else '?'}",
         f"last{'d' if s[-1].isdigit() else 'a' if s[-1].isalpha() else '?'}",
         f"cutleft{before.isalnum() or before in '.-+@'}" if before else "edgeleft",
-        f"cutright{after.isalnum() or after in '-@'}" if after else "edgeright",
+        f"cutright{after[0].isalnum() or after[0] in '-@'}" if after else "edgeright",
+        # A dot that a letter or digit follows goes on; at the end of a sentence it doesn't.
+        f"goeson{len(after) > 1 and after[0] in '.[(' and after[1].isalnum()}",
         f"luhn{14 <= len(d) <= 19 and luhn(d)}",
+        f"word{word}",
     ]
     if kind == "phone":
         shape = "-".join(str(min(len(g), 5)) for g in groups[:6])
@@ -195,6 +210,7 @@ class Region:
             edges = sorted(set(cuts) | inner)
             atoms = list(zip(edges, edges[1:]))
         self.atoms, self.start, self.end = atoms, start, end
+        self.blank = [text[a:b].isspace() for a, b in atoms]
         taken = [False] * len(atoms)
         for i, (a, b) in enumerate(atoms):
             taken[i] = any(x < b and a < y for _, x, y in fixed)
@@ -213,8 +229,9 @@ class Region:
                 for kind in KINDS:
                     if valid(kind, s):
                         left = text[a - 1] if a else ""
-                        right = text[b] if b < len(text) else ""
-                        self.segments[j + 1].append((i, kind, features(kind, s, left, right)))
+                        right = text[b : b + 2]
+                        feats = features(kind, s, left, right, word_before(text, a))
+                        self.segments[j + 1].append((i, kind, feats))
 
 
 class Field:
@@ -228,20 +245,23 @@ class Field:
         return sum(w.get(f, 0.0) for f in feats)
 
     def _lattice(self, r: Region) -> list[list[tuple[int, int, float]]]:
-        """Per end position: (begin, label, score); label 0 is outside, spans count from 1."""
+        """Per end position: (begin, label, score). Spans count from 1; label 0 is an atom outside, and
+        ``CARRY`` white space, after which the kind of the span before it still counts."""
         out: list[list[tuple[int, int, float]]] = [[]]
         for j in range(1, len(r.atoms) + 1):
-            row = [(j - 1, 0, 0.0)]
+            row = [(j - 1, CARRY if r.blank[j - 1] else 0, 0.0)]
             for i, kind, feats in r.segments[j]:
                 row.append((i, 1 + KINDS.index(kind), self._score(feats)))
             out.append(row)
         return out
 
     def _step(self, before: int, label: int) -> float:
-        return self.w.get(f"after{before}:{label}", 0.0) if label and before else 0.0
+        return self.w.get(f"after{before}:{label}", 0.0) if label > 0 else 0.0
 
-    def posteriors(self, r: Region) -> tuple[dict[tuple[int, int, int], float], float]:
-        """Posterior of each span and the log partition, by forward-backward over segments."""
+    def posteriors(
+        self, r: Region
+    ) -> tuple[dict[tuple[int, int, int], float], dict[tuple[int, int], float], float]:
+        """Posterior of each span, expected number of each pair (kind before, kind), log partition."""
         lattice, n, k = self._lattice(r), len(r.atoms), len(KINDS) + 1
         low = -1e30
         fwd = [[low] * k for _ in range(n + 1)]
@@ -249,7 +269,9 @@ class Field:
         for j in range(1, n + 1):
             sums: list[list[float]] = [[] for _ in range(k)]
             for i, label, s in lattice[j]:
-                sums[label] += [fwd[i][q] + s + self._step(q, label) for q in range(k) if fwd[i][q] > low]
+                for q in range(k):
+                    if fwd[i][q] > low:
+                        sums[q if label == CARRY else label].append(fwd[i][q] + s + self._step(q, label))
             fwd[j] = [_lse(x) if x else low for x in sums]
         bwd = [[low] * k for _ in range(n + 1)]
         bwd[n] = [0.0] * k
@@ -259,39 +281,49 @@ class Field:
                 follow[i].append((j, label, s))
         for i in range(n - 1, -1, -1):
             for q in range(k):
-                bwd[i][q] = _lse([s + self._step(q, label) + bwd[j][label] for j, label, s in follow[i]])
+                bwd[i][q] = _lse(
+                    [
+                        s + self._step(q, label) + bwd[j][q if label == CARRY else label]
+                        for j, label, s in follow[i]
+                    ]
+                )
         z = _lse([x for x in fwd[n] if x > low])
-        post = {}
+        post: dict[tuple[int, int, int], float] = {}
+        pairs: dict[tuple[int, int], float] = {}
         for j in range(1, n + 1):
             for i, label, s in lattice[j]:
-                if label:
-                    into = _lse(
-                        [fwd[i][q] + self._step(q, label) for q in range(k) if fwd[i][q] > low]
-                    )
-                    post[i, j, label] = math.exp(min(0.0, into + s + bwd[j][label] - z))
-        return post, z
+                if label <= 0:
+                    continue
+                for q in range(k):
+                    if fwd[i][q] > low:
+                        v = fwd[i][q] + self._step(q, label) + s + bwd[j][label] - z
+                        p = math.exp(min(0.0, v))
+                        post[i, j, label] = post.get((i, j, label), 0.0) + p
+                        pairs[q, label] = pairs.get((q, label), 0.0) + p
+        return post, pairs, z
 
     def best(self, r: Region) -> list[tuple[int, int, int]]:
         """Viterbi: the spans (begin atom, end atom, label) of the best segmentation."""
         lattice, n, k = self._lattice(r), len(r.atoms), len(KINDS) + 1
         low = -1e30
-        best = [[(low, -1, 0)] * k for _ in range(n + 1)]
-        best[0][0] = (0.0, -1, 0)
+        best = [[(low, -1, 0, 0)] * k for _ in range(n + 1)]
+        best[0][0] = (0.0, -1, 0, 0)
         for j in range(1, n + 1):
             for i, label, s in lattice[j]:
                 for q in range(k):
                     v = best[i][q][0]
                     if v > low:
                         v += s + self._step(q, label)
-                        if v > best[j][label][0]:
-                            best[j][label] = (v, i, q)
-        j, label = n, max(range(k), key=lambda q: best[n][q][0])
+                        to = q if label == CARRY else label
+                        if v > best[j][to][0]:
+                            best[j][to] = (v, i, q, label)
+        j, state = n, max(range(k), key=lambda q: best[n][q][0])
         out = []
         while j > 0:
-            _, i, q = best[j][label]
-            if label:
+            _, i, q, label = best[j][state]
+            if label > 0:
                 out.append((i, j, label))
-            j, label = i, q
+            j, state = i, q
         return out[::-1]
 
     def added(self, text: str, fixed: list[Span]) -> list[Span]:
@@ -312,28 +344,53 @@ class Field:
             r = Region(text, start, end, near)
             if not any(r.segments):
                 continue
-            post, _ = self.posteriors(r)
+            post, _, _ = self.posteriors(r)
             for i, j, label in self.best(r):
                 if post[i, j, label] >= CONFIDENCE:
                     out.append((KINDS[label - 1], r.atoms[i][0], r.atoms[j - 1][1]))
         return out
 
-    def learn(self, text: str, gold: list[Span], rate: float, shrink: float) -> None:
-        """One gradient step on the log-likelihood of the gold segmentation of a text."""
+    def learn(self, text: str, gold: list[Span], rate: float, shrink: float, fixed: Sequence[Span] = ()) -> None:
+        """One gradient step on the log-likelihood of the gold segmentation of a text.
+
+        ``fixed`` spans are clamped as in decoding, and the rest is learnt beside them.
+        """
+        known = {(a, b): kind for kind, a, b in gold}
         for start, end in regions(text):
-            r = Region(text, start, end, [])
+            near = [x for x in fixed if x[1] < end and x[2] > start]
+            if any(a <= start and b >= end for _, a, b in near):
+                continue
+            r = Region(text, start, end, near)
             if not any(r.segments):
                 continue
-            post, _ = self.posteriors(r)
-            known = {(a, b): kind for kind, a, b in gold}
+            post, pairs, _ = self.posteriors(r)
+            truth: dict[int, tuple[int, int]] = {}  # begin atom: end atom and label
+            rise: dict[str, float] = {}
             for j in range(1, len(r.atoms) + 1):
                 for i, kind, feats in r.segments[j]:
-                    truth = known.get((r.atoms[i][0], r.atoms[j - 1][1])) == kind
-                    g = truth - post[i, j, 1 + KINDS.index(kind)]
-                    if abs(g) > 1e-4:
-                        for f in feats:
-                            w = self.w.get(f, 0.0)
-                            self.w[f] = w + rate * (g - shrink * w)
+                    label = 1 + KINDS.index(kind)
+                    is_gold = known.get((r.atoms[i][0], r.atoms[j - 1][1])) == kind
+                    if is_gold:
+                        truth[i] = (j, label)
+                    for f in feats:
+                        rise[f] = rise.get(f, 0.0) + is_gold - post[i, j, label]
+            at, before = 0, 0
+            while at < len(r.atoms):
+                if at in truth:
+                    at, label = truth[at]
+                    f = f"after{before}:{label}"
+                    rise[f] = rise.get(f, 0.0) + 1
+                    before = label
+                else:
+                    before = before if r.blank[at] else 0
+                    at += 1
+            for (q, label), expected in pairs.items():
+                f = f"after{q}:{label}"
+                rise[f] = rise.get(f, 0.0) - expected
+            for f, g in rise.items():
+                if abs(g) > 1e-4:
+                    w = self.w.get(f, 0.0)
+                    self.w[f] = w + rate * (g - shrink * w)
 
 
 def _lse(x: list[float]) -> float:
@@ -387,7 +444,8 @@ def _noise(rng: random.Random) -> str:
 
 
 def examples(found: dict[str, list[str]], count: int, seed: int = 7) -> list[tuple[str, list[Span]]]:
-    """Texts with gold spans: sampled spans, reformatted, set side by side and amid noise."""
+    """Texts with gold spans: sampled spans (after a word and a tab, if any), reformatted, set side by side
+    and amid noise."""
     rng = random.Random(seed)
     words = ["the", "ou", "call", "see,", "in", "de", "und", "x", "no."]
     out = []
@@ -399,9 +457,12 @@ def examples(found: dict[str, list[str]], count: int, seed: int = 7) -> list[tup
                 text += _noise(rng)
                 continue
             kind = rng.choice(KINDS)
-            s = _variant(kind, rng.choice(found[kind]), rng)
+            word, _, s = rng.choice(found[kind]).rpartition("\t")
+            s = _variant(kind, s, rng)
             if not valid(kind, s):
                 continue
+            if word and rng.random() < 0.7:
+                text += word + rng.choice([" ", ": "])
             gold.append((kind, len(text), len(text) + len(s)))
             text += s
         out.append((text + rng.choice(["", ".", ",", " " + rng.choice(words)]), gold))
@@ -412,15 +473,18 @@ def train(docs: DataFrame, documents: int = 4000, spans: int = 2000, steps: int
     """Fit the field on base spans of at most ``documents`` documents, ``spans`` of each kind."""
     chosen = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(documents)
     udf = F.pandas_udf(
-        lambda text: text.map(lambda t: [f"{k}:{t[a:b]}" for k, a, b in base_spans(t or "")]),
+        lambda text: text.map(
+            lambda t: [f"{k}:{word_before(t, a)}\t{t[a:b]}" for k, a, b in base_spans(t)] if t else []
+        ),
         ArrayType(StringType()),
     )
-    rows = (
+    rows = written(
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id", "left_semi")
         .select(F.explode(udf("text")).alias("s"))
         .distinct()
-        .withColumn("kind", F.substring_index("s", ":", 1))
+        .withColumn("kind", F.substring_index("s", ":", 1)),
+        "pii-spans",
     )
     found: dict[str, list[str]] = {}
     for kind in KINDS:
@@ -429,7 +493,8 @@ def train(docs: DataFrame, documents: int = 4000, spans: int = 2000, steps: int
     field = Field()
     texts = examples(found, steps)
     for i, (text, gold) in enumerate(texts):
-        field.learn(text, gold, 0.3 / (1 + 3 * i / len(texts)), 1e-3)
+        clamped = base_spans(text) if i % 2 else ()
+        field.learn(text, gold, 0.3 / (1 + 3 * i / len(texts)), 1e-3, clamped)
     return field
 
 
