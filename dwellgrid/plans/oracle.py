@@ -2,14 +2,64 @@
 
 from __future__ import annotations
 
-from dwellgrid.operators.asof import OFFSETS, PAST_MINUTES
-from dwellgrid.operators.lagstats import STUDY_LAGS
-from dwellgrid.plans.catalog import FLOW_BOUNDS, FROM_TIME, INSTANT, S
-from dwellgrid.settings import FLOW_COLUMNS, FLOW_MINUTES, LAG_MINUTES
+# Fixed values, stated here again so that an error in the package's own doesn't hide: lags, windows, horizons
+# and instants in minutes, the unreliable periods, the split bounds and the columns in model order.
+LAG_MINUTES = (
+    ("lag_15m", 15),
+    ("lag_30m", 30),
+    ("lag_1h", 60),
+    ("lag_2h", 120),
+    ("lag_3h", 180),
+    ("lag_4h", 240),
+    ("lag_6h", 360),
+    ("lag_24h", 1440),
+)
+FLOW_MINUTES = (("15m", 15), ("30m", 30), ("1h", 60))
+FLOW_COLUMNS = ("arrivals", "exits", "net_flow")
+PAST_MINUTES = (15, 30, 45, 60)
+OFFSETS = (0, 15, 30, 45, 60, 75, 120, 180, 240, 360, 1440)
+HORIZONS = (15, 30, 60, 120, 180, 360)
+STUDY_LAGS = (
+    ("15 min", 15),
+    ("30 min", 30),
+    ("1 hour", 60),
+    ("2 hours", 120),
+    ("3 hours", 180),
+    ("4 hours", 240),
+    ("6 hours", 360),
+    ("24 hours", 1440),
+    ("7 days", 10080),
+)
+BAD_DATES = ("2024-01-13", "2024-01-14")
+BAD_PERIODS = (
+    ("2024-01-13 00:00:00", "2024-01-14 00:00:00"),
+    ("2024-01-14 00:00:00", "2024-01-15 00:00:00"),
+    ("2024-01-15 00:00:00", "2024-01-15 12:00:00"),
+)
+TRAIN_END = "2024-01-22 00:00:00"
+VALIDATION_END = "2024-01-26 12:00:00"
+INSTANT = "2024-01-20 03:41:12"
+FLOW_BOUNDS = ("2024-01-25 09:17:00", "2024-01-25 10:17:00")
+FROM_TIME = "2024-01-20 00:00:00"
+LAG_NAMES = [name for name, _ in LAG_MINUTES]
+FLOW_NAMES = [f"{c}_{w}" for c in FLOW_COLUMNS for w, _ in FLOW_MINUTES]
+CHANGE_NAMES = [f"occupancy_change_{w}" for w in ("15m", "1h", "2h")]
+ROLLING_NAMES = [f"rolling_mean_{c}_1h" for c in ("occupancy", "arrivals", "exits", "net_flow")]
+TARGET_NAMES = [f"target_{m}m" for m in HORIZONS]
+BASE_FEATURES = [
+    "active_vehicles",
+    *LAG_NAMES,
+    *FLOW_NAMES,
+    *CHANGE_NAMES,
+    *ROLLING_NAMES,
+    "hour",
+    "day_of_week",
+    "is_weekend",
+]
+MODEL_FEATURES = [*BASE_FEATURES, "horizon_minutes"]
 
 W = "INTERVAL 15 MINUTE"
-# Fixed value: a week of quarter hours.
-ACF_LAGS = 672
+ACF_LAGS = 672  # a week of quarter hours
 STEPS = [(name, m // 15) for name, m in LAG_MINUTES]
 
 
@@ -26,16 +76,16 @@ def bucket(x: str) -> str:
 
 
 def bad(x: str) -> str:
-    return "(" + " OR ".join(f"({x} >= {ts(a)} AND {x} < {ts(b)})" for a, b in S.bad_periods()) + ")"
+    return "(" + " OR ".join(f"({x} >= {ts(a)} AND {x} < {ts(b)})" for a, b in BAD_PERIODS) + ")"
 
 
 def overlap(a: str, b: str) -> str:
-    hits = " OR ".join(f"({a} < {ts(hi)} AND {b} > {ts(lo)})" for lo, hi in S.bad_periods())
+    hits = " OR ".join(f"({a} < {ts(hi)} AND {b} > {ts(lo)})" for lo, hi in BAD_PERIODS)
     return f"({b} > {a} AND ({hits}))"
 
 
 def complete(day: str) -> str:
-    return f"{day} NOT IN ({', '.join(f'DATE {chr(39)}{d}{chr(39)}' for d in S.bad_dates)})"
+    return f"{day} NOT IN ({', '.join(f'DATE {chr(39)}{d}{chr(39)}' for d in BAD_DATES)})"
 
 
 RAW = """raw AS (
@@ -82,7 +132,7 @@ def grid_ctes(keys: tuple[str, ...] = ()) -> str:
     ]
     targets = [
         f"CASE WHEN lead(is_reliable, {m // 15}) OVER w THEN lead(active_vehicles, {m // 15}) OVER w END AS target_{m}m"
-        for m in S.horizons
+        for m in HORIZONS
     ]
     return f"""{RAW},
 moves AS (
@@ -114,20 +164,20 @@ wide AS (
 
 
 GRID = grid_ctes()
-_FEATURES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in S.base_features)
-_FULL = " AND ".join(["is_reliable", *[f"{c} IS NOT NULL" for c in S.base_features]])
+_FEATURES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in BASE_FEATURES)
+_FULL = " AND ".join(["is_reliable", *[f"{c} IS NOT NULL" for c in BASE_FEATURES]])
 LONG = (
     GRID
     + ",\nlong AS ("
     + " UNION ALL ".join(
         f"SELECT timestamp, {_FEATURES}, {m} AS horizon_minutes, CAST(target_{m}m AS DOUBLE) AS target "
         f"FROM wide WHERE {_FULL} AND target_{m}m IS NOT NULL"
-        for m in S.horizons
+        for m in HORIZONS
     )
     + f"""),
 split AS (
-  SELECT *, CASE WHEN timestamp < {ts(S.train_end)} THEN 'train'
-                 WHEN timestamp < {ts(S.validation_end)} THEN 'validation' ELSE 'test' END AS split,
+  SELECT *, CASE WHEN timestamp < {ts(TRAIN_END)} THEN 'train'
+                 WHEN timestamp < {ts(VALIDATION_END)} THEN 'validation' ELSE 'test' END AS split,
          timestamp + to_minutes(horizon_minutes) AS at_time
   FROM long)"""
 )
@@ -210,7 +260,7 @@ found AS (
 at_instant AS (SELECT {k}prediction_time, {cols} FROM found GROUP BY {k}prediction_time),
 exact AS (
   SELECT {k}prediction_time, {', '.join(f)}, horizon_minutes
-  FROM at_instant, (SELECT unnest({list(S.horizons)}) AS horizon_minutes) WHERE e0 > 0)"""
+  FROM at_instant, (SELECT unnest({list(HORIZONS)}) AS horizon_minutes) WHERE e0 > 0)"""
 
 
 def reason(t: str, seen: str | None = None) -> str:
@@ -231,13 +281,13 @@ def _wide_select(names: list[str], doubles: tuple[str, ...] = ()) -> str:
     return ", ".join(f"{r(c)} AS {c}" if c in doubles else c for c in names)
 
 
-MEANS = tuple(S.rolling_names)
+MEANS = tuple(ROLLING_NAMES)
 VISIT = "entry_time, exit_time, risk_category, duration_min"
 METRICS = (
     f"{r('avg(abs(target - p))')} AS mae, {r('avg((target - p) * (target - p))')} AS mse, "
     f"{r('sqrt(avg((target - p) * (target - p)))')} AS rmse"
 )
-LONG_COLS = ["timestamp", *S.base_features, "horizon_minutes", "target"]
+LONG_COLS = ["timestamp", *BASE_FEATURES, "horizon_minutes", "target"]
 BASE = ["timestamp", "arrivals", "exits", "net_flow", "active_vehicles", "is_reliable"]
 PACF_LAGS = ACF_LAGS
 
@@ -341,9 +391,9 @@ H = 1.959963984540054
 
 def oracle_sql() -> dict[str, str]:
     keyed = grid_ctes(("event_type",))
-    wide_cols = [*BASE, *S.base_features[1:], *S.target_names]
+    wide_cols = [*BASE, *BASE_FEATURES[1:], *TARGET_NAMES]
     exact_doubles = ", ".join(
-        f"{r(c)} AS {c}" if c in MEANS else c for c in ["prediction_time", *S.model_features]
+        f"{r(c)} AS {c}" if c in MEANS else c for c in ["prediction_time", *MODEL_FEATURES]
     )
     out = {
         "visits_scan": (RAW, f"SELECT {VISIT} FROM visits"),
@@ -431,7 +481,7 @@ def oracle_sql() -> dict[str, str]:
             " UNION ALL ".join(
                 f"SELECT '{a}' AS period_start, count(*) AS intervals FROM occ "
                 f"WHERE timestamp >= {ts(a)} AND timestamp < {ts(b)} HAVING count(*) > 0"
-                for a, b in S.bad_periods()
+                for a, b in BAD_PERIODS
             ),
         ),
         "reliable_segments": (SEGMENTS, "SELECT * FROM segments"),
@@ -450,15 +500,15 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(f"lag(active_vehicles, {n}) OVER (ORDER BY timestamp) AS {name}" for name, n in STEPS)
             + " FROM occ",
         ),
-        "occupancy_lags": (GRID, f"SELECT timestamp, {', '.join(S.lag_names)} FROM wide"),
-        "flow_windows": (GRID, f"SELECT timestamp, {', '.join(S.flow_names)} FROM wide"),
-        "occupancy_change": (GRID, f"SELECT timestamp, {', '.join(S.change_names)} FROM wide"),
+        "occupancy_lags": (GRID, f"SELECT timestamp, {', '.join(LAG_NAMES)} FROM wide"),
+        "flow_windows": (GRID, f"SELECT timestamp, {', '.join(FLOW_NAMES)} FROM wide"),
+        "occupancy_change": (GRID, f"SELECT timestamp, {', '.join(CHANGE_NAMES)} FROM wide"),
         "rolling_means": (GRID, f"SELECT timestamp, {_wide_select(list(MEANS), MEANS)} FROM wide"),
         "calendar_features": (GRID, "SELECT timestamp, hour, day_of_week, is_weekend FROM wide"),
         "targets_raw": (
             GRID,
             "SELECT timestamp, "
-            + ", ".join(f"lead(active_vehicles, {m // 15}) OVER (ORDER BY timestamp) AS target_{m}m" for m in S.horizons)
+            + ", ".join(f"lead(active_vehicles, {m // 15}) OVER (ORDER BY timestamp) AS target_{m}m" for m in HORIZONS)
             + " FROM occ",
         ),
         "grid_null_audit": (
@@ -467,7 +517,7 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing FROM wide" for c in wide_cols
             ),
         ),
-        "targets": (GRID, f"SELECT timestamp, {', '.join(S.target_names)} FROM wide"),
+        "targets": (GRID, f"SELECT timestamp, {', '.join(TARGET_NAMES)} FROM wide"),
         "wide_frame": (GRID, f"SELECT {_wide_select(wide_cols, MEANS)} FROM wide"),
         "wide_frame_keyed": (keyed, f"SELECT event_type, {_wide_select(wide_cols, MEANS)} FROM wide"),
         "supervised_180m": (
@@ -513,7 +563,7 @@ def oracle_sql() -> dict[str, str]:
             LONG,
             " UNION ALL ".join(
                 f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing FROM long"
-                for c in [*S.model_features, "target"]
+                for c in [*MODEL_FEATURES, "target"]
             ),
         ),
         "active_at": (
