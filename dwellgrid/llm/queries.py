@@ -185,25 +185,27 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+def _notices() -> str:
+    """The templates as rows of a VALUES list."""
+    texts = [(name, text.replace("'", "''")) for name, text in licenses.templates()]
+    return ",\n  ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(texts))
+
+
 _SQL = {
-    "op4_license_scan": r"""
+    "op4_license_scan": rf"""
 WITH templates(id, license, notice) AS (VALUES
-  (0, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
-  (1, 'Apache-2.0', 'Licensed under the Apache License, Version 2.0 (the "License");'),
-  (2, 'MIT', 'Released under the MIT License.'),
-  (3, 'MIT', 'This project is licensed under the MIT License.'),
-  (4, 'GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
-  (5, 'GPL-2.0', 'This work is licensed under the GNU General Public License, version 2.'),
-  (6, 'CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
-  (7, 'CC-BY-4.0', 'Licensed under CC BY 4.0.'),
-  (8, 'CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0.'),
-  (9, 'BSD-3-Clause', 'Use of this source code is governed by a BSD-style license.'),
-  (10, 'all-rights-reserved', 'All rights reserved.')),
+  {_notices()}),
 lines AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
-raw AS (
-  SELECT doc_id, unnest(CASE WHEN len(parts) > 1 THEN list_append(parts, text) ELSE parts END) AS t
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts,
+    list_filter(string_split_regex(text, '\n[ \t\r]*\n'), lambda x: regexp_matches(x, '[A-Za-z0-9]')) AS paras
+  FROM documents WHERE text IS NOT NULL),
+found AS (
+  SELECT doc_id, parts, CASE WHEN len(parts) > 1 THEN [text] ELSE [] END AS whole,
+    CASE WHEN len(paras) > 1 THEN list_filter(paras, lambda x: contains(x, chr(10))) ELSE [] END AS wraps,
+    flatten(list_transform(range(2, least({licenses.RUN}, len(paras) - 1) + 1), lambda k:
+      list_transform(range(1, len(paras) - k + 2), lambda i: array_to_string(paras[i:i + k - 1], ' ')))) AS runs
   FROM lines),
+raw AS (SELECT doc_id, unnest(list_concat(list_concat(parts, whole), list_concat(wraps, runs))) AS t FROM found),
 folded AS (
   SELECT doc_id, trim(regexp_replace(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')) AS unit FROM raw),
@@ -221,13 +223,13 @@ grams AS (
 known AS (
   SELECT id, license, g FROM templates JOIN grams ON t = trim(regexp_replace(translate(notice,
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))),
-flat AS (SELECT t, len(g) AS n, unnest(g) AS b FROM grams WHERE len(g) <= 16),
+flat AS (SELECT t, len(g) AS n, unnest(g) AS b FROM grams WHERE len(g) <= 400),
 target AS (SELECT id, license, len(g) AS m, unnest(g) AS b FROM known),
 dice AS (
   SELECT t, license, id, 2.0::DOUBLE * count(*) / (n + m) AS dice
   FROM flat JOIN target USING (b) GROUP BY t, n, license, id, m),
 best AS (
-  SELECT t, max({'dice': dice, 'license': license}) AS x FROM dice WHERE dice >= 0.9 GROUP BY t)
+  SELECT t, max({{'dice': dice, 'license': license}}) AS x FROM dice WHERE dice >= 0.9 GROUP BY t)
 SELECT doc_id, x.license AS license, max(x.dice) AS dice, CAST(sum(times) AS BIGINT) AS n_units
 FROM units JOIN best ON unit = t GROUP BY doc_id, x.license
 """,
