@@ -498,3 +498,53 @@ def test_licences(odd, none):
     rows = licenses.scan(clash(odd, "license", "unit")).collect()
     assert [(r["doc_id"], r["license"], r["dice"], r["n_units"]) for r in rows] == [(8, "Apache-2.0", 1.0, 1)]
     assert licenses.scan(none).count() == 0
+
+
+def dice_by_hand(text, threshold=0.9):
+    """Best licence of each unit of a text, by sets."""
+    def fold(x):
+        w = re.findall("[a-z0-9]+", "".join(c.lower() if c.isascii() else " " for c in x))
+        return frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset((x,) for x in w)
+
+    lines = text.split("\n")
+    paras = [x for x in re.split(r"\n[ \t\r]*\n", text) if re.search("[A-Za-z0-9]", x)]
+    units = lines + ([text] if len(lines) > 1 else [])
+    if len(paras) > 1:
+        units += [x for x in paras if "\n" in x]
+        units += [" ".join(paras[i : i + k]) for k in range(2, min(licenses.RUN, len(paras) - 1) + 1) for i in range(len(paras) - k + 1)]
+    out = {}
+    for u in units:
+        a, best = fold(u), None
+        for name, t in licenses.templates():
+            b = fold(t)
+            d = 2 * len(a & b) / (len(a) + len(b)) if a else 0.0
+            if d >= threshold and (best is None or (d, name) > best):
+                best = (d, name)
+        if best:
+            d, name = best
+            was = out.get(name, (0.0, 0))
+            out[name] = max(d, was[0]), was[1] + 1
+    return out
+
+
+def test_wrapped_edited_and_embedded_licences(spark):
+    rng = random.Random(8)
+    texts = [""]
+    for name, t in licenses.templates():
+        words = t.split()
+        texts.append("Some words.\n\n" + t + "\n\nand others\nfollow here")
+        texts.append("Intro of a file\n\n" + "\n   # ".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9)) + "\n\nend")
+        edited = [w if rng.random() > 0.02 else "edited" for w in words]
+        texts.append(" ".join(edited))
+        texts.append(" ".join(w if rng.random() > 0.2 else "changed" for w in words).upper())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in licenses.scan(docs).collect():
+        found.setdefault(r["doc_id"], {})[r["license"]] = (r["dice"], r["n_units"])
+    for i, t in enumerate(texts):
+        want = dice_by_hand(t)
+        got = found.get(i, {})
+        assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}, t
+        assert all(abs(got[k][0] - v[0]) < 1e-12 for k, v in want.items())
+    for i, (name, t) in enumerate(licenses.templates()):
+        assert name in found[1 + 4 * i], name
