@@ -39,6 +39,7 @@ from dwellgrid.sources.storage import written
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX2 = np.uint64(0xD6E8FEB86659FD93)
+HOT = 1000
 
 
 @dataclass(frozen=True)
@@ -313,6 +314,7 @@ def near_duplicates(docs: DataFrame, p: Near = Near()) -> DataFrame:
         .groupBy("fp1", "fp2")
         .agg(
             F.min("doc_id").alias("rep"),
+            F.count(F.lit(1)).alias("members"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("half_a").alias("half_a"),
             F.first("half_b").alias("half_b"),
@@ -320,25 +322,33 @@ def near_duplicates(docs: DataFrame, p: Near = Near()) -> DataFrame:
         "classes",
     )
     label = links(docs, classes, p)
-    reps = classes.select("fp1", "fp2", "rep")
+    reps = classes.select("fp1", "fp2", "rep", "members")
     if label is not None:
         reps = reps.join(label.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "fp1", "fp2", F.coalesce("component", "rep").alias("component")
+            "fp1", "fp2", "members", F.coalesce("component", "rep").alias("component")
         )
     else:
         reps = reps.withColumnRenamed("rep", "component")
-    return (
-        signed.select("doc_id", "n_shingles", "fp1", "fp2")
-        .join(reps, ["fp1", "fp2"], "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias(
-                "component_id"
-            ),
-        )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    reps = written(reps, "representatives")
+    # Fewer than HOT classes hold more than one in HOT of the rows: these are broadcast, so that no task gets
+    # a large group of copies. The rest is joined by key, and empty sets are alone.
+    hot = F.col("members") * HOT > signed.count()
+    plain = signed.select("doc_id", "n_shingles", "fp1", "fp2")
+    many = F.broadcast(reps.filter(hot).select("fp1", "fp2", F.col("component").alias("large")))
+    dealt = plain.filter("n_shingles > 0").join(many, ["fp1", "fp2"], "left")
+    small = dealt.filter("large IS NULL").join(
+        reps.filter(~hot).select("fp1", "fp2", "component"), ["fp1", "fp2"], "left"
+    )
+    names = ["doc_id", "n_shingles"]
+    found = (
+        small.select(*names, "component")
+        .union(dealt.filter("large IS NOT NULL").select(*names, "large"))
+        .union(plain.filter("n_shingles = 0").select(*names, F.lit(None).cast("long")))
     )
+    return found.select(
+        *names,
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicated(docs: DataFrame, p: Near = Near()) -> DataFrame:
