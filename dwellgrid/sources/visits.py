@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -33,19 +34,17 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     CSV cells stay text, so that unreadable values become null in cleaning and are counted.
     """
     path = str(path)
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not files.exists(location):
-        raise FileNotFoundError(path)
-    suffix = path.rsplit(".", 1)[-1].lower() if "." in path.rsplit("/", 1)[-1] else ""
+    is_csv = path.rstrip("/").lower().endswith(".csv")
     try:
-        if suffix == "csv":
-            return spark.read.csv(path, header=True)
-        if suffix == "parquet" or files.getFileStatus(location).isDirectory():
-            return spark.read.parquet(path)
+        return spark.read.csv(path, header=True) if is_csv else spark.read.parquet(path)
     except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(path) from e
         raise VisitDataError(f"cannot read {path}: {e}") from e
-    raise VisitDataError(f"cannot read {path}: expected a .csv file, a .parquet file or a folder")
+    except (PySparkException, Py4JJavaError) as e:
+        raise VisitDataError(
+            f"cannot read {path}: expected a .csv file, a .parquet file or a folder"
+        ) from e
 
 
 def text_rows(spark: SparkSession, rows: Iterable[tuple], columns: list[str]) -> DataFrame:
