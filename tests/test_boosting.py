@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 
+import duckdb
 import numpy as np
 import pytest
 from conftest import DATA, rows_of
@@ -177,6 +178,30 @@ def test_forecasts_beat_persistence_and_p90_covers(bundle, sets):
     assert p90["mean_pinball_loss"] <= simple["mean_pinball_loss"] * 1.02
 
 
+def test_metrics_equal_sql_over_stored_predictions(spark, bundle, sets, tmp_path):
+    models.score_bundle(bundle, sets[2]).write.parquet(f"{tmp_path}/scored")
+    pinball = "avg(greatest({a} * (target - {p}), ({a} - 1) * (target - {p})))"
+    sql = f"""
+        SELECT horizon_minutes, avg(abs(target - point)) AS mae, avg((target - point) ** 2) AS mse,
+          sqrt(avg((target - point) ** 2)) AS rmse, {pinball.format(a=0.5, p="p50")} AS p50_pinball,
+          avg(abs(target - p50)) AS p50_mae, avg((target <= p50)::INT) AS p50_coverage,
+          {pinball.format(a=0.9, p="p90")} AS p90_pinball, avg((target <= p90)::INT) AS p90_coverage, count(*) AS n
+        FROM '{tmp_path}/scored/*.parquet' GROUP BY 1"""
+    found = duckdb.sql(sql)
+    names = [d[0] for d in found.description]
+    want = {r[0]: r[1:] for r in found.fetchall()}
+    rows = models.bundle_metrics(bundle, sets[2]).collect()
+    assert len(rows) == 6 and {r["horizon_minutes"] for r in rows} == set(want)
+    for r in rows:
+        assert np.allclose([r[c] for c in names[1:]], want[r["horizon_minutes"]], rtol=1e-12)
+    by_model = {(r["model"], r["horizon_minutes"]): r for r in models.version_metrics(bundle, {"test": sets[2]}).collect()}
+    for h, values in want.items():
+        row = dict(zip(names[1:], values))
+        assert abs(by_model["point", h]["mae"] - row["mae"]) < 1e-9
+        assert abs(by_model["p90", h]["pinball_loss"] - row["p90_pinball"]) < 1e-9
+        assert abs(by_model["p50", h]["coverage"] - row["p50_coverage"]) < 1e-12
+
+
 def test_search_bins_once_and_ranks(spark, sets, monkeypatch):
     seen = []
     binned = boosting.binned
