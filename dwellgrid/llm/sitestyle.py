@@ -21,9 +21,10 @@ branch is no sibling for rule 2. Paragraphs, headings and other leaves are never
 one, so sentences that articles share stay. Where a page has articles (else ``main``), text outside
 them goes too.
 
-**Scale.** A page sends each of its node features once; counts are combined map-side, so a host with a
-third of all pages is a few partial rows per task. Only unimportant nodes come back, by an
-equi-join on (host, node), grouped per page address, and the text is extracted in a second pass.
+**Scale.** A page sends each of its node features once, under a 64-bit hash of its host; counts are combined map-side,
+so a host with a third of all pages is a few partial rows per task. Only unimportant nodes come
+back. Up to ``BROADCAST_NODES`` of them, counted first, are broadcast; beyond that they meet the pages' nodes by an
+equi-join on (host, node), grouped per page address. The text is extracted in a second pass.
 
 Null html is an empty page and gives an empty text; null or malformed addresses form the host ''.
 Repeated rows give repeated rows and empty tables empty tables. Only the named columns are read.
@@ -48,6 +49,7 @@ DEPTH = 16
 LEAST_PAGES = 5
 THRESHOLD = 0.3
 RELATIVE = 0.75
+BROADCAST_NODES = 200_000
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -300,13 +302,13 @@ class Page:
         return "\n".join(t for _, t in kept)
 
 
-FEATURES = "host string, path long, up long, noise boolean, kind int, feature long, chars long"
+FEATURES = "site long, path long, up long, noise boolean, kind int, feature long, chars long"
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, presentation, content, importance, best) of every node of every host.
+    """(site, path, pages, presentation, content, importance, best) of every node of every site.
 
-    ``pages`` has host and html; ``best`` is the importance of the sibling that rule 2 compares with, if any.
+    ``pages`` has site and html; ``best`` is the importance of the sibling that rule 2 compares with, if any.
     """
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,22 +316,29 @@ def style_tree(pages: DataFrame) -> DataFrame:
             for at in range(0, len(batch), 200):
                 part = batch.iloc[at : at + 200]
                 rows = [
-                    (host, *f)
-                    for host, h in zip(part["host"], part["html"])
+                    (site, *f)
+                    for site, h in zip(part["site"], part["html"])
                     if isinstance(h, str)
                     for f in Page(h).features()
                 ]
-                found = pd.DataFrame(rows, columns=["host", "path", "up", "noise", "kind", "feature", "chars"])
+                found = pd.DataFrame(rows, columns=["site", "path", "up", "noise", "kind", "feature", "chars"])
                 yield found.astype({"up": "Int64"})
 
+    # What a path has besides features is the same in all its layouts.
     counted = (
-        pages.select("host", "html")
+        pages.select("site", "html")
         .mapInPandas(emit, FEATURES)
-        .groupBy("host", "path", "up", "kind", "feature")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.max("noise").alias("noise"))
+        .groupBy("site", "path", "kind", "feature")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("chars").alias("chars"),
+            F.max("up").alias("up"),
+            F.max("noise").alias("noise"),
+        )
     )
     # Layouts of a node are one per page, so their counts sum to its pages.
-    nodes = counted.groupBy("host", "path", "up").agg(
+    nodes = counted.groupBy("site", "path").agg(
+        F.max("up").alias("up"),
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
         F.sum(F.when(F.col("kind") == 0, F.col("n") * F.log("n"))).alias("layout"),
         F.avg(F.when(F.col("kind") == 1, F.log("n"))).alias("shared"),
@@ -338,7 +347,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     )
     base = F.log(F.greatest(F.col("pages"), F.lit(2)))
     scored = nodes.select(
-        "host",
+        "site",
         "path",
         "up",
         "pages",
@@ -348,75 +357,94 @@ def style_tree(pages: DataFrame) -> DataFrame:
         (1 - F.coalesce(F.col("shared"), base) / base).alias("content"),
     ).withColumn("importance", (F.col("presentation") + F.col("content")) / 2)
     rivals = scored.filter("up IS NOT NULL AND NOT noise").select(
-        "host",
+        "site",
         "up",
         F.col("pages").alias("r_pages"),
         F.col("chars").alias("r_chars"),
         F.col("importance").alias("r_importance"),
     )
     # The most important sibling with text enough; one row per parent, so no pairs of siblings are made.
-    top = rivals.groupBy("host", "up").agg(
+    top = rivals.groupBy("site", "up").agg(
         F.max_by(F.struct("r_pages", "r_chars", "r_importance"), F.struct("r_chars", "r_importance")).alias("r")
     )
     stands = (F.col("r.r_pages") * 2 >= F.col("pages")) & (F.col("r.r_chars") >= 2 * F.col("chars"))
     return (
-        scored.join(top, ["host", "up"], "left")
+        scored.join(top, ["site", "up"], "left")
         .withColumn("best", F.when(stands, F.col("r.r_importance")))
-        .select("host", "path", "pages", "presentation", "content", "importance", "best")
+        .select("site", "path", "pages", "presentation", "content", "importance", "best")
     )
 
 
 def weak_nodes(tree: DataFrame) -> DataFrame:
-    """(host, path) of the nodes that the tree removes."""
+    """(site, path) of the nodes that the tree removes."""
     same = F.greatest("presentation", "content") < THRESHOLD
     beside = F.coalesce(F.col("importance") < RELATIVE * F.col("best"), F.lit(False))
-    return tree.filter((F.col("pages") >= LEAST_PAGES) & (same | beside)).select("host", "path")
+    return tree.filter((F.col("pages") >= LEAST_PAGES) & (same | beside)).select("site", "path")
 
 
-PRESENT = "host string, address string, path long"
+PRESENT = "site long, address string, path long"
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) of every page."""
-    host, _ = host_and_path(F.col("url"))
-    named = pages.select(
-        "page_id", "url", "html", host.alias("host"), F.coalesce("url", F.lit("")).alias("address")
-    )
-    tree = written(style_tree(named), "style-tree")
-    weak = weak_nodes(tree)
+def _paths_by_address(named: DataFrame, weak: DataFrame) -> DataFrame:
+    """(address, unimportant): the nodes to remove on the pages of each address."""
 
     def paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
-                (host, address, p)
-                for host, address, h in zip(batch["host"], batch["address"], batch["html"])
+                (site, address, p)
+                for site, address, h in zip(batch["site"], batch["address"], batch["html"])
                 if isinstance(h, str)
                 for p in {x.path for x in Page(h).nodes if x.container and x.tag not in ("html", "body")}
             ]
-            yield pd.DataFrame(rows, columns=["host", "address", "path"])
+            yield pd.DataFrame(rows, columns=["site", "address", "path"])
 
-    hosts = weak.select("host").distinct()
-    removed = (
-        named.join(hosts, "host", "left_semi")
-        .select("host", "address", "html")
+    return (
+        named.join(weak.select("site").distinct(), "site", "left_semi")
+        .select("site", "address", "html")
         .mapInPandas(paths, PRESENT)
-        .join(weak, ["host", "path"])
+        .join(weak, ["site", "path"])
         .groupBy("address")
         .agg(F.collect_set("path").alias("unimportant"))
     )
 
-    @F.pandas_udf("string")
-    def text(html: pd.Series, unimportant: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                Page(h).text(frozenset(() if u is None else u.tolist())) if isinstance(h, str) else ""
-                for h, u in zip(html, unimportant)
-            ],
-            dtype=object,
-        )
 
-    return (
-        named.join(removed, "address", "left")
-        .select("page_id", "url", text("html", "unimportant").alias("text"))
-        .withColumn("n_chars", F.length("text").cast("long"))
+def _text(html: object, unimportant: frozenset[int]) -> str:
+    return Page(html).text(unimportant) if isinstance(html, str) else ""
+
+
+def extract(pages: DataFrame, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+    """(page_id, url, text, n_chars) of every page."""
+    host, _ = host_and_path(F.col("url"))
+    named = pages.select(
+        "page_id",
+        "url",
+        "html",
+        F.xxhash64(host).alias("site"),
+        F.coalesce("url", F.lit("")).alias("address"),
     )
+    weak = written(weak_nodes(style_tree(named)), "weak-nodes")
+    if weak.count() <= broadcast_nodes:
+        found: dict[int, set[int]] = {}
+        for site, path in zip(*(c.to_pylist() for c in weak.select("site", "path").toArrow().columns)):
+            found.setdefault(site, set()).add(path)
+        known = pages.sparkSession.sparkContext.broadcast({k: frozenset(v) for k, v in found.items()})
+
+        @F.pandas_udf("string")
+        def text(html: pd.Series, site: pd.Series) -> pd.Series:
+            of = known.value.get
+            return pd.Series([_text(h, of(k, frozenset())) for h, k in zip(html, site)], dtype=object)
+
+        rows = named.select("page_id", "url", text("html", "site").alias("text"))
+    else:
+
+        @F.pandas_udf("string")
+        def text_of(html: pd.Series, unimportant: pd.Series) -> pd.Series:
+            return pd.Series(
+                [_text(h, frozenset(() if u is None else u.tolist())) for h, u in zip(html, unimportant)],
+                dtype=object,
+            )
+
+        rows = named.join(_paths_by_address(named, weak), "address", "left").select(
+            "page_id", "url", text_of("html", "unimportant").alias("text")
+        )
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
