@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from dwellgrid.llm import sitestyle
 
@@ -69,8 +70,10 @@ def test_tree_equals_the_plain_version(spark):
     rows = [(u.split("/")[2], h) for x, s in (("one", 1), ("two", 2)) for _, u, h in made(x, 9, s, s == 1)[0]]
     rows += [("three", "<p>x</p>"), ("three", "<article><div>a</div><div class=b>c</div></article>"), ("three", "")]
     pages = spark.createDataFrame([*rows, ("three", None)], "host string, html string").repartition(3)
+    pages = pages.withColumn("site", F.xxhash64("host"))
+    hosts = {r["site"]: r["host"] for r in pages.select("site", "host").distinct().collect()}
     want = tree_by_hand(rows)
-    found = {(r["host"], r["path"]): r for r in sitestyle.style_tree(pages).collect()}
+    found = {(hosts[r["site"]], r["path"]): r for r in sitestyle.style_tree(pages).collect()}
     assert set(found) == set(want)
     for k, (m, a, b, best) in want.items():
         r = found[k]
@@ -83,8 +86,10 @@ def test_tree_equals_the_plain_version(spark):
 def test_the_tree_alone_finds_the_text(spark, neutral):
     """No tag, role or class name says what a branch is: the menu, advert and footer go by their layout."""
     rows, texts = made("plain.example.com", 40, 7, neutral)
-    found = sitestyle.extract(spark.createDataFrame(rows, PAGES)).collect()
-    assert {r["page_id"]: r["text"] for r in found} == dict(enumerate(texts))
+    pages = spark.createDataFrame(rows, PAGES)
+    for most in (sitestyle.BROADCAST_NODES, 0):  # broadcast nodes, joined nodes
+        found = sitestyle.extract(pages, most).collect()
+        assert {r["page_id"]: r["text"] for r in found} == dict(enumerate(texts))
     few = sitestyle.extract(spark.createDataFrame(rows[:3], PAGES)).collect()
     assert all((r["text"] == texts[r["page_id"]]) == (not neutral) for r in few)
 
