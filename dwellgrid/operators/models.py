@@ -267,11 +267,11 @@ def search(
     validation: DataFrame,
     features: Sequence[str],
     configs: Sequence[TreeParams],
-    together: int = 10,
+    together: int = 30,
 ) -> DataFrame:
     """Fit every configuration and rank them by validation MAE.
 
-    The rows are binned once; ``together`` configurations grow in step, which bounds the sums of a pass.
+    The rows are binned once; ``together`` configurations grow in step, which bounds the margins kept of a row.
     All models are scored in one pass over the validation rows.
     """
     table = boosting.binned(train, validation, features, configs[0].max_bins)

@@ -1,5 +1,6 @@
 """Boosted trees against plain versions on one machine, and the train and predict workflows."""
 
+import pickle
 from dataclasses import replace
 
 import duckdb
@@ -119,6 +120,26 @@ def test_configurations_in_step_equal_each_alone(made):
         assert np.allclose(boosting.fit(table, [c])[0].losses, m.losses)
 
 
+def test_passes_send_the_driver_a_few_numbers_per_node(made, monkeypatch):
+    """With all blocks in one task and with blocks dealt out; the sums of one pass alone are over 100 KB."""
+    x, _, table, _ = made
+    configs = [replace(TreeParams(), rounds=2), replace(TreeParams(), rounds=2, alpha=0.9)]
+    sent, collect = [], boosting.RDD.collect
+
+    def weighed(rdd):
+        out = collect(rdd)
+        sent.append(len(pickle.dumps(out)))
+        return out
+
+    monkeypatch.setattr(boosting.RDD, "collect", weighed)
+    found = []
+    for rows in (boosting.ROWS_ALONE, 0):
+        monkeypatch.setattr(boosting, "ROWS_ALONE", rows)
+        found.append([m.predict(x.T) for m in boosting.fit(table, configs)])
+    assert sent and max(sent) < 16_000
+    assert np.allclose(found[0], found[1])
+
+
 def test_quantile_leaves_hold_the_residual_quantile(made):
     x, y, table, _ = made
     p = replace(WHOLE, rounds=1, alpha=0.9, learning_rate=1.0, max_depth=3, min_gain=0.0)
