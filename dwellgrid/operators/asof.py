@@ -168,7 +168,8 @@ def _instant_counts(
         .selectExpr(*keys, "prediction_time", f"explode(array({offsets})) AS __offset")
         .selectExpr("*", f"{shift('prediction_time', '-__offset')} AS probe_ts")
     )
-    counted = counts_at(visits, probes, s, totals)
+    # An instant's rows meet before they are spread over columns: before that no two of them share a task.
+    counted = counts_at(visits, probes, s, totals).drop("probe_ts").repartition(*keys, "prediction_time")
     cell = "max(CASE WHEN __offset = {m} THEN {c} END)"
     return counted.groupBy(*keys, "prediction_time").agg(
         *[F.expr(cell.format(m=m, c="entered")).alias(f"e_{m}") for m in OFFSETS],
