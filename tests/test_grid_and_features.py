@@ -218,3 +218,17 @@ def test_bucket_width_is_a_parameter(spark):
     joined = fine.filter("lag_1h IS NOT NULL").join(lagged, "timestamp")
     assert joined.filter("before != lag_1h OR NOT ok").count() == 0
     assert joined.count() == lagged.filter("ok").join(fine, "timestamp").count() > 0
+
+
+def test_rows_of_an_instant_meet_before_they_are_aggregated(make_visits):
+    """The wide aggregation buffers are not laid out in the tasks that count movements."""
+    from dwellgrid.operators import asof
+
+    visits = make_visits([("2026-09-01 10:00:00", "2026-09-01 10:40:00"), ("2026-09-01 10:20:00", "2026-09-01 11:00:00")])
+    found = asof.features_at(visits, visits.selectExpr("entry_time AS prediction_time"))
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "partial_max" in line)
+    below = next(line for line in plan[at + 1 :] if "Project" not in line)
+    assert "Exchange hashpartitioning(prediction_time" in below
+    rows = sorted((str(r["prediction_time"]), r["active_vehicles"], r["arrivals_30m"]) for r in found.collect())
+    assert rows == [("2026-09-01 10:00:00", 1, 1)] * 6 + [("2026-09-01 10:20:00", 2, 2)] * 6
