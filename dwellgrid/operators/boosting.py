@@ -270,20 +270,19 @@ def _loss(block: _Block, ask: _Ask, rest: np.ndarray) -> np.ndarray:
     return np.array([loss.sum(), len(e), train.min(initial=np.inf), train.max(initial=-np.inf)])
 
 
-def _sums(block: _Block, ask: _Ask, rest: np.ndarray, place: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients and rows per (slot, feature, code)."""
-    p, n_features = ask.params, len(place)
+def _sums(block: _Block, ask: _Ask, rest: np.ndarray, codes: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and rows per (slot, feature, code); a feature at a time, so that its columns stay in the cache."""
+    p, size = ask.params, ask.slots * bins
     slot = ask.slot[ask.growing.leaf_of(block.codes)]
     rows = np.flatnonzero(_used(block, ask) & (slot >= 0))
-    e = rest[rows]
-    g = -e if not p.alpha else np.where(e < 0, 1 - p.alpha, -p.alpha)
-    at = (place[:, rows] + slot[rows] * (n_features * bins)).ravel()
-    shape = (ask.slots, n_features, bins)
-    size = int(np.prod(shape))
-    return (
-        np.bincount(at, np.tile(g, n_features), size).reshape(shape),
-        np.bincount(at, minlength=size).reshape(shape),
-    )
+    e, first = rest[rows], slot[rows] * bins
+    grad = -e if not p.alpha else np.where(e < 0, 1 - p.alpha, -p.alpha)
+    g, n = np.empty((ask.slots, len(codes), bins)), np.empty((ask.slots, len(codes), bins), dtype=np.int64)
+    for f, own in enumerate(codes):
+        at = first + own[rows]
+        g[:, f] = np.bincount(at, grad, size).reshape(-1, bins)
+        n[:, f] = np.bincount(at, minlength=size).reshape(-1, bins)
+    return g, n
 
 
 def _cells(block: _Block, ask: _Ask, rest: np.ndarray) -> np.ndarray:
@@ -304,19 +303,17 @@ def _cells(block: _Block, ask: _Ask, rest: np.ndarray) -> np.ndarray:
 def _partial(fit: str, blocks: Iterator[_Block], asks: list[tuple[int, _Ask]], bins: int) -> Iterator[tuple]:
     """((number of the ask, slot), sums) of a task's blocks; slot -1 has the loss, slots without rows are left out."""
     while chunk := list(islice(blocks, CHUNK_BLOCKS)):
-        n_features = len(chunk[0].codes)
-        first = np.arange(n_features)[:, None] * bins
-        places = [np.minimum(b.codes, bins - 1) + first for b in chunk]
+        capped = [np.minimum(b.codes, bins - 1) for b in chunk]
         for k, a in asks:
             loss, g, n = [], 0, 0
-            for b, place in zip(chunk, places):
+            for b, codes in zip(chunk, capped):
                 rest = b.target - _margin(fit, b, a)
                 if a.loss:
                     loss.append(_loss(b, a, rest))
                 if a.span is not None:
                     n = n + _cells(b, a, rest)
                 elif a.slots:
-                    more = _sums(b, a, rest, place, bins)
+                    more = _sums(b, a, rest, codes, bins)
                     g, n = g + more[0], n + more[1]
             if loss:
                 x = np.array(loss)
