@@ -140,6 +140,31 @@ def test_passes_send_the_driver_a_few_numbers_per_node(made, monkeypatch):
     assert np.allclose(found[0], found[1])
 
 
+def test_what_the_driver_gets_does_not_grow_with_rows(made, monkeypatch):
+    """The three losses of a bundle on the training rows once and four times, alone in a task and dealt out."""
+    _, _, table, validation = made
+    four = table.train
+    for _ in range(3):
+        four = four.unionByName(table.train)
+    more = boosting.binned(four, validation, table.features, 16)
+    configs = [replace(WHOLE, rounds=3, max_depth=3, alpha=a) for a in (0.0, 0.5, 0.9)]
+    sent, collect = [0], boosting.RDD.collect
+
+    def weighed(rdd):
+        out = collect(rdd)
+        sent[-1] += len(pickle.dumps(out))
+        return out
+
+    monkeypatch.setattr(boosting.RDD, "collect", weighed)
+    for rows in (boosting.ROWS_ALONE, 0):
+        monkeypatch.setattr(boosting, "ROWS_ALONE", rows)
+        for t in (table, more):
+            boosting.fit(t, configs)
+            sent.append(0)
+        *_, once, fourfold, _ = sent
+        assert 0 < once < 30_000 and fourfold < 1.2 * once
+
+
 def test_quantile_leaves_hold_the_residual_quantile(made):
     x, y, table, _ = made
     p = replace(WHOLE, rounds=1, alpha=0.9, learning_rate=1.0, max_depth=3, min_gain=0.0)
